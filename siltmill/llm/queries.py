@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.llm import line_ratio, rule_ledger, shard_table, source_mix, url_automaton
+from siltmill.llm import jaccard_forest, line_ratio, rule_ledger, shard_table, source_mix, url_automaton, vector_hash
 from siltmill.llm.tables import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_forest.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("component_id", "class_id")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rule_ledger.verdicts(rule_ledger.ledger(table(spark, sf_dir, "documents")))
     base = F.col("kept_base")
@@ -19,6 +23,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_hash.near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "copies", "kept")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
@@ -32,7 +40,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_ratio.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_url_filter, op6_sharding, op8_source_mix, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op3_quality_rules, op4_url_filter, op5_vector_dedup, op6_sharding, op8_source_mix, op10_line_dedup)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
