@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.llm import jaccard_forest, line_ratio, rule_ledger, shard_table, source_mix, url_automaton, vector_hash
+from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, piece_sampling, rule_ledger, shard_table, source_mix, url_automaton, vector_hash
 from siltmill.llm.tables import table
 
 
@@ -13,6 +13,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_forest.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("component_id", "class_id")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"), keep=("url",))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rule_ledger.verdicts(rule_ledger.ledger(table(spark, sf_dir, "documents")))
     base = F.col("kept_base")
@@ -31,16 +35,40 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = piece_sampling.sample_encodings(table(spark, sf_dir, "documents"))
+    size = F.coalesce(F.size("pieces"), F.lit(0)).cast("long")
+    return drawn.select("doc_id", "sample", F.greatest(size, F.lit(0)).alias("n_pieces"), F.xxhash64("pieces").alias("pieces_digest"), "log_prob", "perturbed", "log_inclusion", "decodes")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_ratio.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op3_quality_rules, op4_url_filter, op5_vector_dedup, op6_sharding, op8_source_mix, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_jaccard_join,
+        op2_html_text,
+        op3_quality_rules,
+        op4_url_filter,
+        op5_vector_dedup,
+        op6_sharding,
+        op7_language_id,
+        op8_source_mix,
+        op9_piece_sampling,
+        op10_line_dedup,
+    )
+}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
