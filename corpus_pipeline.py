@@ -1,2 +1,56 @@
+"""The corpus pipeline: documents through five stages, each written as Parquet and read again by the next.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltmill.llm import jaccard_forest, language_id, line_ratio, piece_sampling, source_mix
+from siltmill.llm.tables import table, written
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no language that the labels teach go: null texts, texts without letters, scores too low."""
+    return language_id.understood(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A source's boilerplate lines go from its documents; documents of nothing else go. n_chars follows the text,
+    where lines went."""
+    cut = line_ratio.drop_boilerplate(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", "text", "source"))
+    stays = cut.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    own = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.when(F.col("n_dropped") == 0, F.col("__row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return stays.select(*[own.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of the smallest id stays."""
+    return jaccard_forest.one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the sources' target weights take them."""
+    return source_mix.emit(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's drawn segmentations; a document that the mix repeats draws the same again."""
+    return piece_sampling.sample_encodings(docs)
+
+
+STAGES = [("language_id", language), ("line_dedup", lines), ("near_duplicates", near_duplicates), ("source_mix", mix), ("piece_sampling", pieces)]
+
+#: The first stage learns a model and the last searches a lattice: no SQL expresses them.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
