@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltmill.llm.tables import WORD
+from siltmill.llm.tables import WORD, written
 
 MOST_REPEATS = 3
 WEIGHTS = (1, 2, 3)
@@ -62,7 +62,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sized = docs.drop("source_size", "target", "copies", "taken").withColumns(own)
     sized = sized.withColumns({"__class": size_class(F.col("size")), "__salt": F.substring("__mark", 1, 2)})
     cell = ["__source", "__class", "__salt"]
-    cells = sized.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__words"))
+    cells = written(sized.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__words")), "cells")  # read twice
     sources = source_targets(
         cells.groupBy("__source").agg(F.sum("__words").alias("source_size")).select(F.when(F.col("__source") != "", F.substring("__source", 2, 1 << 30)).alias("source"), "source_size")
     ).select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("__source"), "source_size", "target")
