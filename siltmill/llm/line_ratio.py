@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltmill.llm.tables import written
+
 #: A line on more than this part of a host's pages is boilerplate.
 RATIO = 0.1
 #: And only if it is on that many pages at least, so that hosts of a few pages keep their texts.
 LEAST_PAGES = 3
+#: Digests (of 16 bytes) in all hosts' lists up to which they are broadcast; beyond, they are joined by host.
+MOST_BROADCAST = 100_000
 
 
 def _lines(text: Column) -> Column:
@@ -44,7 +48,9 @@ def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "s
     stays null with 0 lines, an empty text is one empty line, a null host has no boilerplate. Repeated rows count as
     pages and stay repeated.
     """
-    found = boilerplate(docs, text_col, host_col, ratio, least_pages).withColumnsRenamed({"host": "__host", "keys": "__keys"})
+    found = written(boilerplate(docs, text_col, host_col, ratio, least_pages).withColumnsRenamed({"host": "__host", "keys": "__keys"}), "boilerplate")
+    if (found.agg(F.sum(F.size("__keys"))).first()[0] or 0) <= MOST_BROADCAST:  # then no text is shuffled
+        found = F.broadcast(found)
     joined = docs.drop("n_lines", "n_dropped").join(found, docs[host_col] == F.col("__host"), "left").withColumn("__lines", _lines(F.col(text_col)))
     stays = F.filter("__lines", lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__keys"), _key(x)))
     left = joined.withColumn("__left", F.when(F.col("__keys").isNull(), F.col("__lines")).otherwise(stays))
