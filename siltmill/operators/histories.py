@@ -186,8 +186,9 @@ def with_stats(histories: DataFrame) -> DataFrame:
     last = F.aggregate(reviews, F.array().cast("array<struct<id:bigint,state:string>>"), lambda a, r: F.concat(F.filter(a, lambda o: ~o["id"].eqNullSafe(r["id"])), F.array(r)))
     out = out.withColumn("__last", last)
     count = lambda keep: F.size(F.filter("__last", keep)).cast("long")
+    in_state = lambda state: lambda r: r["state"] == state
     known = lambda r: F.coalesce(r["state"].isin(*STATES), F.lit(False))
-    return out.withColumns({**{f"review_n_{s}": count(lambda r, s=s: r["state"] == s) for s in STATES}, "review_n_other": count(lambda r: ~known(r))}).drop("__last")
+    return out.withColumns({**{f"review_n_{s}": count(in_state(s)) for s in STATES}, "review_n_other": count(lambda r: ~known(r))}).drop("__last")
 
 
 def discussed(stats: DataFrame) -> DataFrame:
