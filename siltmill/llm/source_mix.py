@@ -26,7 +26,8 @@ def text_size(text: Column) -> Column:
 def size_class(size: Column) -> Column:
     """Eight classes per power of two, by the four leading bits."""
     n = F.length(F.bin(size))
-    return F.when(size < 16, size).otherwise(n * 8 + F.floor(size / F.pow(F.lit(2.0), n - 4)) - 8).cast("long")
+    high = F.when(size < 16, size).otherwise(n * 8 + F.floor(size / F.pow(F.lit(2.0), n - 4)) - 8).cast("long")
+    return F.coalesce(high, F.lit(0).cast("long"))  # never null, so that joins on it need no filter that counts words again
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
