@@ -13,12 +13,15 @@ word's lattice built once a batch. All that is random is a hash of the row key,
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +34,9 @@ SEED = 7
 _CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are walked at once.
-_BATCH = 2_000_000
+_BATCH = 1_200_000
+_NONE = np.iinfo(np.int32).min
+_DENSE = 4
 
 
 @dataclass
@@ -59,10 +64,40 @@ class Vocabulary:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8")[1:]
 
 
+class _Numbers(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, key: str) -> int:
+        value = self[key] = len(self)
+        return value
+
+
 def _rolled(points: np.ndarray) -> np.ndarray:
     return (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def _units(key: int, draw: int, place: int) -> Iterator[float]:
+    """Numbers in (0, 1) for one word of one row."""
+    state = xxhash.xxh64_intdigest(f"{key}:{draw}:{place}")
+    while True:
+        state = xxhash.xxh64_intdigest(state.to_bytes(8, "little"))
+        yield (state >> 12) * 2.0**-52 + 2.0**-53
+
+
+def _chosen(options: list[tuple[float, object]], u: float):  # noqa: ANN202
+    """One of (log weight, item), by weight."""
+    if len(options) == 1:
+        return options[0][1]
+    top = max(w for w, _ in options)
+    mass = [math.exp(w - top) for w, _ in options]
+    left = u * sum(mass)
+    for m, (_, item) in zip(mass, options):
+        left -= m
+        if left <= 0:
+            break
+    return item
+
+
 class Encoder:
     """Draws segmentations of batches of texts."""
 
@@ -76,69 +111,125 @@ class Encoder:
         self.logw[sorted(texts.values())] = -np.log(ranked)  # pieces stand in order of frequency: Zipf's law
         self.logw[vocabulary.first_byte : vocabulary.first_byte + 256] = -np.log(len(texts) + 2.0)
         total = np.exp(self.logw).sum()
-        self.logw = alpha * (self.logw - np.log(total))
-        self.tables = []  # by length: sorted hashes of the pieces' beginnings, and ids of those that are pieces or -1
-        for n in range(1, max(map(len, texts)) + 1):
-            mine = sorted((self._hash(p), texts.get(p, -1)) for p in {p[:n] for p in texts if len(p) >= n})
-            self.tables.append((np.array([h for h, _ in mine], np.uint64), np.array([i for _, i in mine], np.int64)))
+        self.logw = (alpha * (self.logw - np.log(total))).astype(np.float32).astype(np.float64)  # lattices hold 32 bits
+        self.reach = max(map(len, texts))
+        begun = {p[:n] for p in texts for n in range(1, len(p) + 1)}
+        self.bits = 64 - (4 * len(begun)).bit_length()
+        self.slots = np.zeros(1 << (64 - self.bits), np.uint64)  # hashes of the pieces' beginnings, by their first bits
+        self.ids = np.full(len(self.slots), _NONE, np.int32)  # of the pieces; _NONE for mere beginnings
+        for text in begun:
+            h = self._hash(text)
+            at = int(h) >> self.bits
+            while self.slots[at]:
+                at = (at + 1) % len(self.slots)
+            self.slots[at], self.ids[at] = h, texts.get(text, _NONE)
 
     @staticmethod
-    def _hash(piece: str) -> int:
+    def _hash(piece: str) -> np.uint64:
         h = np.zeros(1, np.uint64)
         for c in piece:
             h = h * _P + _rolled(np.array([ord(c)]))
-        return int(h[0])
+        return h[0]
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Slots of hashes, or -1."""
+        found, rest, at = np.full(len(h), -1), np.arange(len(h)), (h >> np.uint64(self.bits)).astype(np.int64)
+        while len(rest):
+            there = self.slots[at]
+            hit = there == h[rest]
+            found[rest[hit]] = at[hit]
+            more = (there != 0) & ~hit
+            rest, at = rest[more], (at[more] + 1) % len(self.slots)
+        return found
 
     def lattice(self, chunks: list[str]) -> None:
-        """Nodes, edges and edge probabilities of the chunks' lattices, side by side. A chunk of n characters has
-        n + 1 nodes in a row; beta is the log weight of all paths from a node to the chunk's end."""
+        """Lattices of the chunks, side by side.
+
+        The chunks stand by length, longest first; a node is a chunk and the characters left to its end, and nodes of
+        equally many left are neighbours. So the nodes of a level and those that their edges go to are slices of one
+        array. The edge of n characters from a node has the number (n - 1) * nodes + node. beta is the log weight of
+        all paths from a node, paths their number (up to 2^24), atleast the probability of an edge of n characters or
+        more (-inf where the node has no edge of n characters, if n is large).
+        """
         sizes = np.array([len(c) for c in chunks])
-        points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        which = np.repeat(np.arange(len(chunks)), sizes)
+        order = np.argsort(-sizes, kind="stable")
+        self.slot = np.empty(len(chunks), np.int64)
+        self.slot[order] = np.arange(len(chunks))
+        self.size = sizes = sizes[order]
+        points = np.frombuffer("".join([chunks[i] for i in order]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        at_level = len(sizes) - np.cumsum(np.bincount(sizes))  # chunks of more characters
+        at_level = np.concatenate([[len(sizes)], at_level[:-1]])
+        self.base = np.cumsum(at_level) - at_level
+        self.nodes = int(at_level.sum())
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))  # characters to the chunk's end
-        node = np.arange(len(points)) + which
-        rolled, h, live = _rolled(points), np.zeros(len(points), np.uint64), np.arange(len(points))
-        found, alone = [], np.ones(len(points), bool)
-        for n, (hashes, ids) in enumerate(self.tables, 1):
-            live = live[left[live] >= n]
-            h[live] = h[live] * _P + rolled[live + n - 1]
-            at = np.minimum(np.searchsorted(hashes, h[live]), len(hashes) - 1)
-            begun = hashes[at] == h[live]
-            live, ended = live[begun], ids[at[begun]]
-            whole = ended >= 0
-            found.append((live[whole], np.full(whole.sum(), n), ended[whole]))
-            if n == 1:
-                alone[live[whole]] = False
-        lone = np.flatnonzero(alone)  # characters that are no piece: their bytes are one edge
-        lone_points = points[lone].astype(np.int64)
-        found.append((lone, np.ones(len(lone), np.int64), np.where(lone_points < 128, self.v.first_byte + lone_points, -1 - lone_points)))
-        src, size, piece = (np.concatenate(x) for x in zip(*found))
-        width = 1 + (-1 - piece > 0x7F).astype(int) + (-1 - piece > 0x7FF) + (-1 - piece > 0xFFFF)
-        logw = np.where(piece < 0, width * self.logw[self.v.first_byte], self.logw[piece])
-        order = np.lexsort((src, left[src]))  # towards the chunks' starts
-        src, size, piece, logw = src[order], size[order], piece[order], logw[order]
-        beta, paths = np.zeros(len(points) + len(chunks)), np.ones(len(points) + len(chunks))
-        a, b = node[src], node[src] + size
-        steps = np.flatnonzero(np.diff(left[src], prepend=-1))
-        for lo, hi in zip(steps, np.append(steps[1:], len(src))):
-            heads = lo + np.flatnonzero(np.diff(a[lo:hi], prepend=-1))
-            beta[a[heads]] = np.logaddexp.reduceat(logw[lo:hi] + beta[b[lo:hi]], heads - lo)
-            paths[a[heads]] = np.minimum(np.add.reduceat(paths[b[lo:hi]], heads - lo), 1e100)
-        order = np.argsort(a, kind="stable")
-        a, b, piece, logw = a[order], b[order], piece[order], logw[order]
-        first = np.flatnonzero(np.diff(a, prepend=-1))
-        out = np.diff(np.append(first, len(a)))
-        logp = np.where(np.repeat(out, out) == 1, 0.0, np.minimum(logw + beta[b] - beta[a], 0.0))
-        summed = np.cumsum(np.exp(logp))
-        within = summed - np.repeat(summed[first] - np.exp(logp[first]), out)
-        within[first + out - 1] = 1.0
-        self.rank = np.zeros(len(beta), np.int64)  # of nodes that have edges
-        self.rank[a[first]] = np.arange(len(first))
-        self.first, self.out = first, out
-        self.pick = np.repeat(np.arange(len(first)), out) + np.minimum(within, 1.0)
-        self.to, self.piece, self.logp, self.paths = b, piece, logp, paths
-        self.start = np.cumsum(sizes) - sizes + np.arange(len(chunks))
-        self.end = self.start + sizes
+        node = self.base[left] + np.repeat(np.arange(len(chunks)), sizes)
+        self.piece = np.full((self.reach, self.nodes), _NONE, np.int32)
+        self.atleast = np.full((self.reach, self.nodes), -np.inf, np.float32)
+        self.longest = np.ones(self.nodes, np.int64)
+        rolled, h, live, hits = _rolled(points), np.zeros(len(points), np.uint64), np.arange(len(points)), []
+        for n in range(self.reach):
+            inside = left[live] > n
+            live = live[inside]
+            h = h[inside] * _P + rolled[live + n]
+            at = self._find(h)
+            known = at >= 0
+            live, h = live[known], h[known]
+            ids = self.ids[at[known]]
+            whole = ids != _NONE
+            ends, ids = node[live[whole]], ids[whole]
+            self.piece[n, ends], self.atleast[n, ends], self.longest[ends] = ids, self.logw[ids], n + 1
+            hits.append(ends)
+        alone = self.piece[0, node] == _NONE  # characters that are no piece: their bytes are one edge
+        code, which = np.unique(points[alone], return_inverse=True)
+        width = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+        self.lone = [chr(c).encode("utf-8", "surrogatepass") for c in code]  # numbered behind the pieces
+        self.weight = np.concatenate([self.logw, width * self.logw[self.v.first_byte]])
+        number = np.where(code < 128, self.v.first_byte + code.astype(np.int64), len(self.logw) + np.arange(len(code)))[which]
+        self.piece[0, node[alone]], self.atleast[0, node[alone]] = number, self.weight[number]
+        self.beta, self.paths = np.zeros(self.nodes), np.ones(self.nodes, np.float32)
+        few = [np.sort(x) for x in hits[_DENSE:]]  # long edges are rare
+        for d in range(1, len(at_level)):  # from the chunks' ends to their starts
+            lo, m = self.base[d], at_level[d]
+            n = min(d, _DENSE)
+            edges, top, count = np.empty((n, m)), np.full(m, -np.inf), np.zeros(m, np.float32)
+            for j in range(n):
+                to = slice(self.base[d - j - 1], self.base[d - j - 1] + m)
+                np.add(self.atleast[j, lo : lo + m], self.beta[to], out=edges[j])
+                np.maximum(top, edges[j], out=top)
+                count += np.where(self.piece[j, lo : lo + m] != _NONE, self.paths[to], 0)
+            long = []
+            for j in range(_DENSE, min(d, self.reach)):
+                ends = few[j - _DENSE]
+                here = ends[slice(*np.searchsorted(ends, [lo, lo + m]))] - lo
+                if len(here):
+                    w = self.atleast[j, lo + here] + self.beta[self.base[d - j - 1] + here]
+                    top[here] = np.maximum(top[here], w)
+                    count[here] += self.paths[self.base[d - j - 1] + here]
+                    long.append((j, here, w))
+            total = np.zeros(m)
+            for j, here, w in reversed(long):
+                total[here] += np.exp(w - top[here])
+                self.atleast[j, lo + here] = total[here]
+            edges -= top
+            np.exp(edges, out=edges)
+            for j in range(n - 1, -1, -1):
+                total += edges[j]
+                edges[j] = total
+            edges /= total
+            self.atleast[:n, lo : lo + m] = edges
+            for j, here, _ in long:
+                self.atleast[j, lo + here] /= total[here]
+            self.beta[lo : lo + m] = top + np.log(total)
+            self.paths[lo : lo + m] = np.minimum(count, 1 << 24)
+
+    def pick(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """Lengths of edges drawn from the nodes: the longest that has probability u with those above it."""
+        n = self.longest[nodes]
+        table, rest = self.atleast.ravel(), np.arange(len(nodes))
+        while len(rest):
+            rest = rest[table[(n[rest] - 1) * self.nodes + nodes[rest]] <= u[rest]]
+            n[rest] -= 1
+        return n
 
     def uniform(self, key: np.ndarray, draw: int, place: np.ndarray, step: int) -> np.ndarray:
         """In (0, 1), by row key, draw, word of the row and step; step 0 is the word's perturbation."""
@@ -149,16 +240,23 @@ class Encoder:
 
     def walk(self, words: np.ndarray, key: np.ndarray, place: np.ndarray, draw: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A free draw for each word: edges of all, where each word's begin, log-probabilities."""
-        at, on, done = self.start[words], np.arange(len(words)), self.end[words]
-        logp, visits, step = np.zeros(len(words)), [], 0
+        slot = self.slot[words]
+        left, on = self.size[slot], np.arange(len(words))
+        at = self.base[left] + slot
+        logp, visits, step = -self.beta[at], [], 0
+        only = self.paths[at] == 1
+        pieces = self.piece.ravel()
         while len(on):
             step += 1
-            edge = np.searchsorted(self.pick, self.rank[at] + self.uniform(key[on], draw, place[on], step))
+            n = self.pick(at, self.uniform(key[on], draw, place[on], step))
+            edge = (n - 1) * self.nodes + at
             visits.append((on, edge))
-            logp[on] += self.logp[edge]
-            at = self.to[edge]
-            more = at != done[on]
-            on, at = on[more], at[more]
+            logp[on] += self.weight[pieces[edge]]
+            left = left - n
+            more = left > 0
+            on, left = on[more], left[more]
+            at = self.base[left] + slot[on]
+        logp = np.where(only, 0.0, np.minimum(logp, 0.0))
         count = np.zeros(len(words), np.int64)
         for on, _ in visits:
             count[on] += 1
@@ -168,41 +266,69 @@ class Encoder:
             edges[begin[on] + step] = edge
         return edges, begin, logp
 
+    def logp(self, word: int, path: tuple[int, ...]) -> float:
+        """Log-probability of a word's segmentation; 0 if it has no other."""
+        first = self.base[self.size[self.slot[word]]] + self.slot[word]
+        if self.paths.item(first) == 1:
+            return 0.0
+        return min(sum(self.weight.item(self.piece.item(e // self.nodes, e % self.nodes)) for e in path) - self.beta.item(first), 0.0)
+
     def elsewhere(self, word: int, taken: list[tuple[int, ...]], key: int, place: int, draw: int) -> tuple[int, ...]:
         """A draw for one word given that it is none of the taken segmentations: where it leaves them, then freely."""
+        slot = int(self.slot[word])
+        size = int(self.size[slot])
+        unit = _units(key, draw, place)
+
+        def leaving(path: tuple[int, ...]) -> list[tuple[float, int]]:
+            """Edges from the path's end with their log weights, paths beyond them included."""
+            left = size - sum(edge // self.nodes + 1 for edge in path)
+            node = int(self.base[left]) + slot
+            out = []
+            for n in range(int(self.longest[node])):
+                piece = self.piece.item(n, node)
+                if piece != _NONE:
+                    out.append((self.weight.item(piece) + self.beta.item(self.base.item(left - n - 1) + slot), n * self.nodes + node))
+            return out
+
         follow: dict[tuple[int, ...], set[int]] = {}
         for path in taken:
             for n in range(len(path)):
                 follow.setdefault(path[:n], set()).add(path[n])
-        k, p = np.array([key], np.uint64), np.array([place])
-        draws = iter(range(1_000_000, 2_000_000))
-        u = lambda: float(self.uniform(k, draw, p, next(draws))[0])
+        so_far: dict[tuple[int, ...], float] = {(): 0.0}
         options = []
-        for path, edges in follow.items():
-            at = self.rank[self.to[path[-1]] if path else self.start[word]]
-            rest = [e for e in range(self.first[at], self.first[at] + self.out[at]) if e not in edges]
-            if rest:
-                options.append((sum(self.logp[e] for e in path) + np.logaddexp.reduce(self.logp[rest]), path, rest))
-        mass = np.exp(np.array([x[0] for x in options]) - max(x[0] for x in options))
-        _, path, rest = options[min(int(np.searchsorted(np.cumsum(mass), u() * mass.sum())), len(options) - 1)]
-        p_rest = np.exp(self.logp[rest] - self.logp[rest].max())
-        path = (*path, rest[min(int(np.searchsorted(np.cumsum(p_rest), u() * p_rest.sum())), len(rest) - 1)])
-        while self.to[path[-1]] != self.end[word]:
-            path = (*path, int(np.searchsorted(self.pick, self.rank[self.to[path[-1]]] + u())))
-        return tuple(map(int, path))
+        for path in sorted(follow, key=len):
+            for w, edge in leaving(path):
+                if edge in follow[path]:
+                    so_far[*path, edge] = so_far[path] + self.weight.item(self.piece.item(edge // self.nodes, edge % self.nodes))
+                else:
+                    options.append((so_far[path] + w, (*path, edge)))
+        path = _chosen(options, next(unit))
+        while sum(edge // self.nodes + 1 for edge in path) < size:
+            path = (*path, _chosen(leaving(path), next(unit)))
+        return path
 
     def draw(self, texts: list[str], keys: list[int], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """Per text up to k draws: piece ids, log-probability, perturbed value, log inclusion probability."""
-        index: dict[str, int] = {}
-        parts = [[index.setdefault(c, len(index)) for c in _CHUNK.findall(" " + t)] for t in texts]
-        self.lattice(list(index))
+        results: list[list] = [[] for _ in texts]
+        for docs, ids, ends, *scores in self.draws(texts, keys, k):
+            for d, part, *own in zip(docs.tolist(), np.split(ids, ends[:-1]), *(x.tolist() for x in scores)):
+                results[d].append((part, *own))
+        return results
+
+    def draws(self, texts: list[str], keys: list[int], k: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """The first draws of all texts, then the second ones, and so on: the texts that have one, their piece ids
+        one after the other, where each text's end, log-probabilities, perturbed values, log inclusion probabilities.
+        """
+        index = _Numbers()
+        parts = [_CHUNK.findall(" " + t) for t in texts]
         sizes = np.array([len(p) for p in parts])
+        words = np.fromiter(map(index.__getitem__, chain.from_iterable(parts)), np.int64, sizes.sum())
+        self.lattice(list(index))
         doc, begin = np.repeat(np.arange(len(parts)), sizes), np.cumsum(sizes) - sizes
-        words = np.concatenate([np.array(p) for p in parts])
         place = np.arange(len(words)) - begin[doc]
         salt = np.uint64(self.seed * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
         key = np.array(keys, np.uint64) ^ salt
-        many = self.paths[self.start[words]]
+        many = self.paths[self.base[self.size[self.slot[words]]] + self.slot[words]]
         edges, starts, logp = self.walk(words, key[doc], place, 0)
         flat, n_flat = [edges], len(edges)
         at, size, logps, agenda = [starts[:-1]], [np.diff(starts)], [logp], []
@@ -245,12 +371,12 @@ class Encoder:
                 seg = self.elsewhere(int(words[w]), gone, int(key[d]), int(place[w]), path)
                 taken[(path, w)] = [*gone, seg]
                 new_at[lo:w], new_size[lo:w], new_logp[lo:w] = at[p][lo:w], size[p][lo:w], logps[p][lo:w]
-                new_at[w], new_size[w], new_logp[w] = n_flat, len(seg), self.logp[list(seg)].sum()
+                new_at[w], new_size[w], new_logp[w] = n_flat, len(seg), self.logp(int(words[w]), seg)
                 flat.append(np.array(seg))
                 n_flat += len(seg)
                 fresh[w + 1 : hi] = True
                 turned.append(w)
-                mass = sum(float(np.exp(self.logp[list(s)].sum())) for s in taken[(path, w)])
+                mass = sum(math.exp(self.logp(int(words[w]), s)) for s in taken[(path, w)])
                 rests.append(np.log(max(1 - mass, 1e-18)) if many[w] > len(taken[(path, w)]) else -np.inf)
             where = np.flatnonzero(fresh)
             if len(where):
@@ -265,20 +391,17 @@ class Encoder:
             spots = np.concatenate([np.array(turned, np.int64), where])
             perturb(path, spots, np.concatenate([np.array(rests), others(new_logp[where], many[where])]))
         flat = np.concatenate(flat)
-        results: list[list] = [[] for _ in texts]
         for path in range(len(at)):
             total = np.add.reduceat(logps[path], begin)
             apart = total - value[-1]
             with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
                 chosen = np.where(np.isfinite(value[-1]), np.where(apart < -30, apart, np.log(-np.expm1(-np.exp(np.minimum(apart, 700))))), 0.0)
-            n = size[path]
+            n = np.where(has[path][doc], size[path], 0)
             skip = np.cumsum(n) - n
-            ids = self.piece[flat[np.repeat(at[path] - skip, n) + np.arange(n.sum())]]
-            ends = np.add.reduceat(n, begin).cumsum()
-            for d, (lo, hi) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends)):
-                if has[path][d]:
-                    results[d].append((self.spelled(ids[lo:hi]), float(total[d]), float(value[path][d]), float(chosen[d])))
-        return results
+            ids = self.piece.ravel()[flat[np.repeat(at[path] - skip, n) + np.arange(n.sum())]]
+            docs = np.flatnonzero(has[path])
+            ids, ends = self.spelled(ids, np.add.reduceat(n, begin).cumsum()[docs])
+            yield docs, ids, ends, total[docs], value[path][docs], chosen[docs]
 
     @staticmethod
     def flat_at(flat: list[np.ndarray], at: int, size: int) -> list[int]:
@@ -288,17 +411,17 @@ class Encoder:
             at -= len(part)
         raise IndexError(at)
 
-    def spelled(self, ids: np.ndarray) -> np.ndarray:
-        """Edges of characters outside the vocabulary as their bytes' ids."""
-        lone = np.flatnonzero(ids < 0)
+    def spelled(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids with characters outside the vocabulary as the ids of their bytes, and where the texts end then."""
+        lone = np.flatnonzero(ids >= len(self.logw))
         if not len(lone):
-            return ids.astype(np.int32)
-        spelled = [np.frombuffer(chr(-1 - int(i)).encode("utf-8", "surrogatepass"), np.uint8).astype(np.int64) + self.v.first_byte for i in ids[lone]]
+            return ids, ends
+        spelled = [np.frombuffer(self.lone[i - len(self.logw)], np.uint8).astype(np.int32) + self.v.first_byte for i in ids[lone].tolist()]
         width = np.ones(len(ids), np.int64)
         width[lone] = [len(s) for s in spelled]
         out = np.repeat(ids, width)
-        out[np.repeat(ids < 0, width)] = np.concatenate(spelled)
-        return out.astype(np.int32)
+        out[np.repeat(ids >= len(self.logw), width)] = np.concatenate(spelled)
+        return out, np.concatenate([[0], np.cumsum(width)])[ends]
 
 
 COLUMNS = "sample int, pieces array<int>, log_prob double, perturbed double, log_inclusion double, decodes boolean"
@@ -313,31 +436,41 @@ def sample_encodings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows of equal id and text draw alike; other columns are ignored.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
-    names = [x.split()[0] for x in COLUMNS.split(", ")]
 
-    def batches_of(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
-        for frame in frames:
-            now, n = [], 0
-            for row in zip(frame["id"], frame["text"]):
-                now.append(row)
-                n += len(row[1] or "")
-                if n > _BATCH:
-                    yield now
-                    now, n = [], 0
-            if now:
-                yield now
-
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value, alpha, seed)
-        for batch in batches_of(frames):
-            rows = [(i, 1, None if t is None else [], 0.0, None, 0.0, None if t is None else True) for i, t in batch if not t]
-            full = [(i, t) for i, t in batch if t]
-            if full:
-                keys = [xxhash.xxh64_intdigest("" if pd.isna(i) else str(i)) for i, _ in full]
-                for (i, t), drawn in zip(full, encoder.draw([t for _, t in full], keys, k)):
-                    rows += [(i, n, ids, p, g, q, encoder.v.decode(ids.tolist()) == t) for n, (ids, p, g, q) in enumerate(drawn, 1)]
-            yield pd.DataFrame(rows, columns=["id", *names])
+        for frame in frames:
+            sizes = np.array(pc.fill_null(pc.binary_length(frame.column(1)), 0).to_pylist(), np.int64)
+            part = np.cumsum(sizes) // _BATCH
+            for start, stop in zip(*(lambda cut: (cut, [*cut[1:], len(sizes)]))(np.flatnonzero(np.diff(part, prepend=-1)).tolist())):
+                yield from _encoded(encoder, frame.column(0)[start:stop], frame.column(1)[start:stop], k)
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return slim.mapInPandas(encode, f"id {kind}, {COLUMNS}").withColumnRenamed("id", id_col)
+    return slim.mapInArrow(encode, f"id {kind}, {COLUMNS}").withColumnRenamed("id", id_col)
+
+
+def _encoded(encoder: Encoder, ids: pa.Array, texts: pa.Array, k: int) -> Iterator[pa.RecordBatch]:
+    """The draws of a batch of rows, and one row for each null or empty text."""
+    keys, rows = ids.to_pylist(), texts.to_pylist()
+
+    def table(at: np.ndarray, sample: int, pieces: pa.Array, *scores: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(np.full(len(at), sample, np.int32)), pieces, *scores], ["id", *(x.split()[0] for x in COLUMNS.split(", "))])
+
+    bare = np.array([i for i, t in enumerate(rows) if not t], np.int64)
+    if len(bare):
+        known = [rows[i] is not None for i in bare]
+        zero = pa.array(np.zeros(len(bare)))
+        yield table(bare, 1, pa.array([[] if x else None for x in known], pa.list_(pa.int32())), zero, pa.nulls(len(bare), pa.float64()), zero, pa.array([x or None for x in known], pa.bool_()))
+    full = np.array([i for i, t in enumerate(rows) if t], np.int64)
+    if not len(full):
+        return
+    seeds = [xxhash.xxh64_intdigest("" if keys[i] is None else str(keys[i])) for i in full]
+    for sample, (docs, pieces, ends, *scores) in enumerate(encoder.draws([rows[i] for i in full], seeds, k), 1):
+        if not len(docs):
+            continue
+        decoded = list(map(encoder.v.pieces.__getitem__, pieces.tolist()))
+        starts = np.concatenate([[0], ends[:-1]])
+        good = [b"".join(decoded[lo:hi])[1:] == rows[full[d]].encode("utf-8", "surrogatepass") for d, lo, hi in zip(docs.tolist(), starts.tolist(), ends.tolist())]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]), pa.int32()), pa.array(pieces, pa.int32()))
+        yield table(full[docs], sample, lists, *map(pa.array, scores), pa.array(good, pa.bool_()))
