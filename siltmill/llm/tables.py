@@ -1,45 +1,16 @@
-"""Input tables and tables written in the folder that all executors share."""
+"""Input tables and the words of the contracts."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from siltmill.storage import written
+
+__all__ = ["WORD", "table", "written"]
+
 #: Words as the contracts define them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where it is unset (tests on one machine), a folder of this process."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="siltmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends here and a lost executor costs no recomputation.
-
-    The table goes when the driver's Python ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/siltmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # the JVM may be gone by now
-        return
