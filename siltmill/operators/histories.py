@@ -88,7 +88,7 @@ def issue_histories(events: DataFrame) -> DataFrame:
     comment_id). A history that does not begin with its opening gets one from what its first event says of the issue.
     Deleted comments carry no text, and only openings, reopenings and edits a title and description."""
     e = _gathered(events, "issue_id", F.col("created_at"), F.col("type"), F.coalesce("comment_id", F.lit(0)))
-    first = F.col("events")[0]
+    first = F.get("events", F.lit(0))
     full = lambda x: x["action"].isin("opened", "edited", "reopened")
 
     def entry(x: Column) -> Column:
@@ -143,7 +143,7 @@ def pull_histories(events: DataFrame) -> DataFrame:
     place = F.array_position(F.transform("issues", lambda x: F.coalesce(opens("IssuesEvent")(x), F.lit(False))), True)
     rest = F.filter("issues", lambda x, i: (place == 0) | (i != place - 1))
     names = [f.name for f in e.schema["events"].dataType.elementType.fields]
-    first = F.col("pulls")[0]
+    first = F.get("pulls", F.lit(0))
     made = {"type": F.lit(PULL), "action": F.lit("opened"), "created_at": first["pull_created_at"], "actor_login": first["pull_user_login"], "title": first["pull_title"], "text": first["pull_body"]}
     opening = F.struct(*[made.get(n, first[n]).alias(n) for n in names])
     begun = F.exists("pulls", lambda x: F.coalesce(opens(PULL)(x), F.lit(False)))

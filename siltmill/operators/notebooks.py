@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import warnings
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -116,7 +117,9 @@ def cells_of(notebooks: DataFrame, content: str = "content", drop_share: float =
         return column.map(lambda cells: None if cells is None else [[markdown_of(x) for x in (outputs if outputs is not None else [])] for outputs in cells])
 
     htmls = F.transform("__cells", lambda c: F.coalesce(F.transform(c["outputs"], lambda o: F.when(is_table(F.lit("text/html"), html(o)), html(o))), F.array().cast("array<string>")))
-    rendered = parsed.withColumn("__html", htmls).withColumn("__tables", F.pandas_udf(convert, "array<array<string>>")("__html"))
+    # marked as not deterministic so that the optimizer leaves the call in a projection of its own, outside lambdas
+    to_tables = F.pandas_udf(convert, "array<array<string>>").asNondeterministic()
+    rendered = parsed.withColumn("__html", htmls).withColumn("__tables", to_tables("__html"))
     whole = F.filter(
         F.transform("__cells", lambda c, i: F.struct(c["cell_type"].alias("cell_type"), joined(c["source"]).alias("input"), F.coalesce(output_text(c["outputs"], F.col("__tables")[i]), F.lit(EMPTY)).alias("output"), i.alias("i"))),
         lambda c: F.length(c["input"]) > 0,
@@ -208,7 +211,12 @@ def scripts(notebooks: DataFrame, templates: tuple[str, ...] = (), with_results:
     """The table after each step: original, parsed (not too long, a script of some length), compiled."""
     parsed = cells_of(notebooks.filter(F.length("content") <= MOST_CONTENT)).withColumn("script", script(F.col("cells"), with_results)).drop("cells")
     long = parsed.filter(F.length("script") > LEAST_SCRIPT)
-    good = long.filter(compiles(F.col("script")))
+
+    def compiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[batch["script"].map(_compiles)]
+
+    good = long.mapInPandas(compiled, long.schema)
     for t in templates:
         good = good.withColumn("script", strip_prefix(F.col("script"), t))
     return {"original": notebooks, "parsed": long, "compiled": good}
