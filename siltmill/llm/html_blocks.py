@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK = "text string, words int, links int, chrome boolean, article boolean"
+BLOCK = "text string, words int, links int, chrome boolean, article boolean, beside boolean"
 
 #: Fixed vocabularies of HTML: elements that end the block before them, that hold no text to read, that have no end
 #: tag, and that frame a page.
@@ -36,27 +36,38 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-def _hinted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether the element's role, class, id or state says that it is not the article."""
-    if not attributes.strip():
-        return False
-    found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
-        return True
+def _attributes(text: str) -> dict[str, str]:
+    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text.strip() else {}
+
+
+def _hidden(found: dict[str, str]) -> bool:
+    return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
+
+
+def _hinted(name: str, found: dict[str, str], in_article: bool) -> bool:
+    """Whether the element's role, class or id says that it is not the article."""
     if name in ("html", "body", "main"):
         return False
     if found.get("role", "").lower() in _ROLES:
         return True
     parts = {p.lower() for p in _PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
     if name == "article":  # its class may name features of the page; a comment may be an article too
-        return bool(parts & _TALK) and (in_article or bool(parts <= _TALK))
+        return bool(parts & _TALK) and (in_article or parts <= _TALK)
     return bool(parts & (_HINTS - {"header", "byline", "tags"} if in_article else _HINTS))
 
 
+def _marks_article(name: str, found: dict[str, str]) -> bool:
+    return name in ("article", "main") or found.get("role", "").lower() == "main" or found.get("itemprop", "").lower() == "articlebody"
+
+
+#: Why an element frames a page: it does not, its element or state says so, or only its class or id does.
+_NOT, _SURELY, _BY_NAME = 0, 1, 2
+
+
 def blocks_of(page: str | None) -> list[dict]:
     """The page's blocks with text, in order."""
     out: list[dict] = []
-    stack: list[tuple[str, bool]] = []  # open elements and whether they frame
+    stack: list[tuple[str, int, bool]] = []  # open elements, whether they frame, whether they hold the article
     chrome = article = links = 0
     text: list[str] = []
     linked: list[str] = []
@@ -64,12 +75,12 @@ def blocks_of(page: str | None) -> list[dict]:
     def flush() -> None:
         words = " ".join("".join(text).split())
         if words:
-            out.append({"text": words, "words": words.count(" ") + 1, "links": len("".join(linked).split()), "chrome": chrome > 0, "article": article > 0})
+            out.append({"text": words, "words": words.count(" ") + 1, "links": len("".join(linked).split()), "chrome": chrome > 0, "article": article > 0, "beside": False})
         text.clear()
         linked.clear()
 
     def put(piece: str) -> None:
-        if piece and not any(name in _DROPPED for name, _ in stack[-4:]):
+        if piece and not any(x[0] in _DROPPED for x in stack[-4:]):
             piece = html.unescape(piece)
             text.append(piece)
             if links:
@@ -78,9 +89,9 @@ def blocks_of(page: str | None) -> list[dict]:
     def shut(depth: int) -> None:
         nonlocal chrome, article, links
         while len(stack) > depth:
-            name, frames = stack.pop()
-            chrome -= frames
-            article -= name in ("article", "main")
+            name, frames, holds = stack.pop()
+            chrome -= frames != _NOT
+            article -= holds
             links -= name == "a"
 
     page, at = page or "", 0
@@ -119,37 +130,53 @@ def blocks_of(page: str | None) -> list[dict]:
                         break
             if name == "a" and links:
                 shut(max(k for k, x in enumerate(stack) if x[0] == "a"))
-            frames = name in _FRAME or name == "header" and not article or _hinted(name, m[3], article > 0)
-            stack.append((name, frames))
-            chrome += frames
-            article += name in ("article", "main")
+            found = _attributes(m[3])
+            sure = name in _FRAME or name == "header" and not article or _hidden(found) or name != "body" and _TALK >= set(_PARTS.findall(found.get("id", "").lower())) != set()
+            frames = _SURELY if sure else _BY_NAME if _hinted(name, found, article > 0) else _NOT
+            holds = frames == _NOT and _marks_article(name, found)
+            if holds and chrome and all(x[1] != _SURELY for x in stack):
+                # an article inside says that a class like with-sidebar named the page's layout
+                stack = [(x, _NOT, held) for x, _, held in stack]
+                chrome = 0
+            stack.append((name, frames, holds))
+            chrome += frames != _NOT
+            article += holds
             links += name == "a"
     flush()
+    if any(b["article"] and not b["chrome"] for b in out):
+        for b in out:
+            b["beside"] = not b["article"]
     return out
 
 
-FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_frame", "in_article")
+FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_frame", "in_article", "beside_article")
 #: The labelled table: FEATURES of blocks of hand-labelled pages, and whether the block is main text.
 LABELLED = (
     # menus, headers, footers, sidebars, notices, adverts, forms and comments in their frames
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0), (2, 1.0, 1, 1.0, 7, 0.0, 1, 0, 0), (8, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0),
-    (25, 0.0, 40, 0.0, 30, 0.0, 1, 0, 0), (60, 0.0, 80, 0.0, 6, 0.0, 1, 0, 0), (12, 0.1, 90, 0.0, 0, 0.0, 1, 0, 0), (5, 0.0, 120, 0.0, 0, 0.0, 1, 0, 0),
-    (33, 0.0, 22, 0.0, 41, 0.0, 1, 1, 0), (3, 0.0, 64, 0.0, 20, 0.0, 1, 1, 0), (140, 0.0, 35, 0.0, 3, 0.3, 1, 1, 0), (1, 1.0, 50, 0.0, 1, 1.0, 1, 1, 0),
-    (15, 0.5, 3, 1.0, 4, 1.0, 1, 0, 0), (18, 0.0, 1, 1.0, 70, 0.0, 1, 0, 0), (75, 0.0, 10, 0.0, 15, 0.0, 1, 1, 0), (4, 0.0, 0, 0.0, 60, 0.0, 1, 1, 0),
+    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0), (2, 1.0, 1, 1.0, 7, 0.0, 1, 0, 0, 0), (8, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0, 0),
+    (25, 0.0, 40, 0.0, 30, 0.0, 1, 0, 0, 0), (60, 0.0, 80, 0.0, 6, 0.0, 1, 0, 0, 0), (12, 0.1, 90, 0.0, 0, 0.0, 1, 0, 0, 0), (5, 0.0, 120, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (33, 0.0, 22, 0.0, 41, 0.0, 1, 1, 0, 0), (3, 0.0, 64, 0.0, 20, 0.0, 1, 1, 0, 0), (140, 0.0, 35, 0.0, 3, 0.3, 1, 1, 0, 0), (1, 1.0, 50, 0.0, 1, 1.0, 1, 1, 0, 0),
+    (15, 0.5, 3, 1.0, 4, 1.0, 1, 0, 0, 0), (18, 0.0, 1, 1.0, 70, 0.0, 1, 0, 0, 0), (75, 0.0, 10, 0.0, 15, 0.0, 1, 1, 0, 0), (4, 0.0, 0, 0.0, 60, 0.0, 1, 1, 0, 0),
     # blocks of an article: headings, paragraphs of any length, lists, quotes, captions, links on their own
-    (6, 0.0, 5, 0.0, 80, 0.0, 0, 1, 1), (90, 0.0, 6, 0.0, 75, 0.0, 0, 1, 1), (1, 0.0, 75, 0.0, 1, 0.0, 0, 1, 1), (1, 0.0, 1, 0.0, 60, 0.0, 0, 1, 1),
-    (55, 0.2, 1, 0.0, 12, 0.0, 0, 1, 1), (12, 0.0, 55, 0.2, 9, 0.0, 0, 1, 1), (3, 1.0, 40, 0.0, 38, 0.0, 0, 1, 1), (210, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1),
-    (2, 0.0, 0, 0.0, 2, 0.0, 0, 1, 1), (7, 0.6, 30, 0.0, 0, 0.0, 0, 1, 1), (18, 0.0, 2, 1.0, 2, 1.0, 0, 1, 1), (4, 0.0, 1, 1.0, 1, 1.0, 0, 1, 1),
-    (30, 0.4, 22, 0.1, 3, 1.0, 0, 1, 1), (1, 1.0, 33, 0.0, 24, 0.0, 0, 1, 1), (64, 0.0, 3, 1.0, 5, 0.0, 0, 1, 1), (5, 0.0, 64, 0.0, 44, 0.0, 0, 1, 1),
+    (6, 0.0, 5, 0.0, 80, 0.0, 0, 1, 0, 1), (90, 0.0, 6, 0.0, 75, 0.0, 0, 1, 0, 1), (1, 0.0, 75, 0.0, 1, 0.0, 0, 1, 0, 1), (1, 0.0, 1, 0.0, 60, 0.0, 0, 1, 0, 1),
+    (55, 0.2, 1, 0.0, 12, 0.0, 0, 1, 0, 1), (12, 0.0, 55, 0.2, 9, 0.0, 0, 1, 0, 1), (3, 1.0, 40, 0.0, 38, 0.0, 0, 1, 0, 1), (210, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 0, 0.0, 2, 0.0, 0, 1, 0, 1), (7, 0.6, 30, 0.0, 0, 0.0, 0, 1, 0, 1), (18, 0.0, 2, 1.0, 2, 1.0, 0, 1, 0, 1), (4, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1),
+    (30, 0.4, 22, 0.1, 3, 1.0, 0, 1, 0, 1), (1, 1.0, 33, 0.0, 24, 0.0, 0, 1, 0, 1), (64, 0.0, 3, 1.0, 5, 0.0, 0, 1, 0, 1), (5, 0.0, 64, 0.0, 44, 0.0, 0, 1, 0, 1),
     # pages that mark neither: text among text is main text, links and short lines among links are not
-    (45, 0.0, 6, 0.0, 52, 0.0, 0, 0, 1), (52, 0.05, 45, 0.0, 38, 0.0, 0, 0, 1), (38, 0.0, 52, 0.05, 2, 1.0, 0, 0, 1), (90, 0.1, 1, 1.0, 70, 0.0, 0, 0, 1),
-    (26, 0.0, 40, 0.0, 31, 0.1, 0, 0, 1), (31, 0.1, 26, 0.0, 8, 0.0, 0, 0, 1), (120, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (22, 0.0, 2, 1.0, 64, 0.0, 0, 0, 1),
-    (9, 0.0, 60, 0.0, 48, 0.0, 0, 0, 1), (3, 0.0, 48, 0.0, 55, 0.0, 0, 0, 1), (1, 0.0, 33, 0.0, 41, 0.0, 0, 0, 1), (7, 0.0, 1, 1.0, 80, 0.0, 0, 0, 1),
-    (6, 0.0, 0, 0.0, 45, 0.0, 0, 0, 1), (14, 0.2, 70, 0.0, 90, 0.0, 0, 0, 1), (19, 0.0, 25, 0.0, 28, 0.0, 0, 0, 1), (28, 0.0, 19, 0.0, 17, 0.0, 0, 0, 1),
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0), (2, 1.0, 1, 1.0, 45, 0.0, 0, 0, 0), (3, 1.0, 60, 0.0, 2, 1.0, 0, 0, 0), (5, 0.8, 3, 1.0, 4, 0.9, 0, 0, 0),
-    (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0), (6, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0), (12, 0.9, 6, 1.0, 8, 0.8, 0, 0, 0), (30, 0.8, 4, 1.0, 2, 1.0, 0, 0, 0),
-    (2, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0), (8, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0), (18, 0.7, 50, 0.0, 60, 0.0, 0, 0, 0), (25, 0.6, 3, 1.0, 40, 0.0, 0, 0, 0),
-    (1, 1.0, 40, 0.0, 35, 0.0, 0, 0, 0), (2, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0), (5, 0.0, 4, 1.0, 1, 1.0, 0, 0, 0), (40, 0.9, 30, 0.0, 6, 1.0, 0, 0, 0),
+    (45, 0.0, 6, 0.0, 52, 0.0, 0, 0, 0, 1), (52, 0.05, 45, 0.0, 38, 0.0, 0, 0, 0, 1), (38, 0.0, 52, 0.05, 2, 1.0, 0, 0, 0, 1), (90, 0.1, 1, 1.0, 70, 0.0, 0, 0, 0, 1),
+    (26, 0.0, 40, 0.0, 31, 0.1, 0, 0, 0, 1), (31, 0.1, 26, 0.0, 8, 0.0, 0, 0, 0, 1), (120, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (22, 0.0, 2, 1.0, 64, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 60, 0.0, 48, 0.0, 0, 0, 0, 1), (3, 0.0, 48, 0.0, 55, 0.0, 0, 0, 0, 1), (1, 0.0, 33, 0.0, 41, 0.0, 0, 0, 0, 1), (7, 0.0, 1, 1.0, 80, 0.0, 0, 0, 0, 1),
+    (6, 0.0, 0, 0.0, 45, 0.0, 0, 0, 0, 1), (14, 0.2, 70, 0.0, 90, 0.0, 0, 0, 0, 1), (19, 0.0, 25, 0.0, 28, 0.0, 0, 0, 0, 1), (28, 0.0, 19, 0.0, 17, 0.0, 0, 0, 0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (2, 1.0, 1, 1.0, 45, 0.0, 0, 0, 0, 0), (3, 1.0, 60, 0.0, 2, 1.0, 0, 0, 0, 0), (5, 0.8, 3, 1.0, 4, 0.9, 0, 0, 0, 0),
+    (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (6, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (12, 0.9, 6, 1.0, 8, 0.8, 0, 0, 0, 0), (30, 0.8, 4, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (2, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0, 0), (8, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0), (18, 0.7, 50, 0.0, 60, 0.0, 0, 0, 0, 0), (25, 0.6, 3, 1.0, 40, 0.0, 0, 0, 0, 0),
+    (1, 1.0, 40, 0.0, 35, 0.0, 0, 0, 0, 0), (2, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (5, 0.0, 4, 1.0, 1, 1.0, 0, 0, 0, 0), (40, 0.9, 30, 0.0, 6, 1.0, 0, 0, 0, 0),
+    # pages of one block
+    (7, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    # pages that mark their article: whatever is beside it is none
+    (40, 0.0, 90, 0.0, 1, 1.0, 0, 0, 1, 0), (12, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1, 0), (75, 0.1, 3, 0.0, 80, 0.0, 0, 0, 1, 0), (3, 0.0, 0, 0.0, 5, 0.0, 0, 0, 1, 0),
+    (28, 0.0, 45, 0.0, 31, 0.0, 0, 0, 1, 0), (8, 0.0, 110, 0.0, 22, 0.0, 0, 0, 1, 0), (150, 0.0, 12, 0.0, 4, 0.0, 0, 0, 1, 0), (1, 0.0, 1, 1.0, 70, 0.0, 0, 0, 1, 0),
+    (22, 0.2, 30, 0.0, 25, 0.0, 0, 0, 1, 0), (60, 0.0, 0, 0.0, 95, 0.0, 0, 0, 1, 0), (17, 0.0, 80, 0.0, 12, 0.0, 0, 0, 1, 0), (35, 0.0, 2, 1.0, 50, 0.0, 0, 0, 1, 0),
 )
 
 
@@ -185,11 +212,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", k
     reader = F.pandas_udf(parse, f"array<struct<{BLOCK.replace(' ', ':').replace(',:', ',')}>>")
     tree = train(pages.sparkSession)
     read = pages.select(id_col, *keep, reader(F.col(html_col)).alias("b"))
-    none = "named_struct('text', '', 'words', 0, 'links', 0, 'chrome', false, 'article', false)"
+    none = "named_struct('text', '', 'words', 0, 'links', 0, 'chrome', false, 'article', false, 'beside', false)"
     density = lambda x: f"IF({x}.words > 0, {x}.links / {x}.words, 0D)"
     before, after = f"IF(i > 0, b[i - 1], {none})", f"IF(i + 1 < size(b), b[i + 1], {none})"
     features = f"""named_struct('words', CAST(x.words AS DOUBLE), 'link_density', {density("x")}, 'words_before', CAST(y.words AS DOUBLE), 'density_before', {density("y")},
-        'words_after', CAST(z.words AS DOUBLE), 'density_after', {density("z")}, 'in_frame', CAST(x.chrome AS DOUBLE), 'in_article', CAST(x.article AS DOUBLE))"""
+        'words_after', CAST(z.words AS DOUBLE), 'density_after', {density("z")}, 'in_frame', CAST(x.chrome AS DOUBLE), 'in_article', CAST(x.article AS DOUBLE), 'beside_article', CAST(x.beside AS DOUBLE))"""
     around = f"transform(b, (x, i) -> named_struct('x', x, 'y', {before}, 'z', {after}))"
     marked = f"transform({around}, n -> named_struct('text', n.x.text, 'f', {re.sub(r'\b([xyz])\.', r'n.\1.', features)}))"
     rated = read.withColumn("__rated", F.expr(marked)).withColumn("__main", F.expr(f"transform(filter(__rated, r -> {tree.replace('f.', 'r.f.')}), r -> r.text)"))

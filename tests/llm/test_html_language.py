@@ -20,6 +20,19 @@ def test_article_is_taken_whole(spark):
     assert h.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
 
 
+WRAPPED = """<body><div class="layout sidebar-right"><div class="promo">Buy this thing now because it is the best thing that you could buy today</div>
+<div role="main"><h2>T</h2><p>Short.</p><p hidden>no</p><p style="display: none">no</p></div><p>A long paragraph beside the article that no frame and no class tells from the article itself, but its place does.</p></div>
+<div id="comments"><article class="comment"><p>I have a lot to say about this and will say all of it right here.</p></article></div></body>"""
+BARE = """<body><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul><p>A paragraph of a page that marks no article, long enough to be told from links by its words alone.</p>
+<p>And one more of these, with some more words in it so that the tree has no doubt at all about it.</p><ul><li><a href=3>Three</a></li></ul></body>"""
+
+
+def test_pages_without_plain_articles(spark):
+    got = {r["page_id"]: r["text"] for r in h.extract(spark.createDataFrame([(1, WRAPPED), (2, BARE)], "page_id long, html string")).collect()}
+    assert got[1] == "T Short."
+    assert got[2].startswith("A paragraph") and got[2].endswith("about it.") and "One" not in got[2] and "Three" not in got[2]
+
+
 def test_tree_knows_its_table(spark):
     tree = h.train(spark)
     rows = spark.createDataFrame([tuple(map(float, r)) for r in h.LABELLED], ", ".join(f"{x} double" for x in (*h.FEATURES, "label")))
