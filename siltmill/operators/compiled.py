@@ -12,14 +12,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Commands by language; {src} and {out} are file names.
-CLANG = "-S {level} -fno-discard-value-names -fstandalone-debug -emit-llvm {src} -o {out}"
+# Commands by extension, for speed and for size; {src} and {out} are file names.
+_CLANG = "-S {} -fno-discard-value-names -fstandalone-debug -emit-llvm {{src}} -o {{out}}"
+_OBJC = "clang -S {} -std=c89 -fno-discard-value-names -fstandalone-debug -fmodules -emit-llvm {{src}} -o {{out}}"
+_RUST = "rustc --emit=llvm-ir -C strip=symbols -C embed-bitcode=no -C debuginfo=0 -C codegen-units=1 -C opt-level={} -C inline-threshold=0 -C force-unwind-tables=off {{src}} -o {{out}}"
+_D = "ldc2 {} --output-ll --noasm {{src}} -of {{out}}"
+_FORTRAN = "flang-new-16 -S {} -fno-discard-value-names -fstandalone-debug -emit-llvm -ffree-form {{src}} -o {{out}}"
+_GO = "llvm-goc -S {} -fno-inline -fno-integrated-as -emit-llvm -fno-debug-info-for-profiling -fno-go-debug-optimization {{src}} -o {{out}}"
+_HASKELL = "sh -c 'ghc \"{{src}}\" -fllvm -keep-llvm-file {} && mv \"$(dirname {{src}})\"/source.ll \"{{out}}\"'"
+_NIM = "nlvm compile --llvm-emit-call-site-info --llvm-Oz --opt:{} --compileOnly:on -o:{{out}} {{src}}"
 COMMANDS = {
-    "c": (f"clang-17 {CLANG.replace('{level}', '-O3')}", f"clang-17 {CLANG.replace('{level}', '-Oz')}"),
-    "cpp": (f"clang++-17 {CLANG.replace('{level}', '-O3')}", f"clang++-17 {CLANG.replace('{level}', '-Oz')}"),
-    "rs": ("rustc --emit=llvm-ir -C opt-level=3 {src} -o {out}", "rustc --emit=llvm-ir -C opt-level=z {src} -o {out}"),
-    "d": ("ldc2 --output-ll -O3 {src} --of={out}", "ldc2 --output-ll -Oz {src} --of={out}"),
-    "f90": ("flang-new-17 -S -emit-llvm -O3 {src} -o {out}", "flang-new-17 -S -emit-llvm -O0 {src} -o {out}"),
+    "c": (f"clang-17 {_CLANG.format('-O3')}", f"clang-17 {_CLANG.format('-Oz')}"),
+    "cpp": (f"clang++-17 {_CLANG.format('-O3')}", f"clang++-17 {_CLANG.format('-Oz')}"),
+    "m": (_OBJC.format("-O3"), _OBJC.format("-Oz")),
+    "rs": (_RUST.format("3"), _RUST.format("z")),
+    "d": (_D.format("-O3"), _D.format("-Oz")),
+    "f90": (_FORTRAN.format("-O3"), _FORTRAN.format("-O0")),
+    "go": (_GO.format("-O3"), _GO.format("-Os")),
+    "hs": (_HASKELL.format("-O3"), _HASKELL.format("-O0")),
+    "nim": (_NIM.format("speed"), _NIM.format("size")),
 }
 # End of fixed values.
 NOT_RUN = -1

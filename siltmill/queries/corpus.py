@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltmill.operators import compiled, diffs, histories, instruct, notebooks, tree
-from siltmill.plans import pull_render
+from siltmill.operators import compiled, diffs, histories, instruct, joins, notebooks, tree
+from siltmill.plans import license_typing, pull_render, repo_merge
 from siltmill.sources.readers import table
 
 QUERIES, ORACLE = {}, {}
@@ -264,3 +264,71 @@ def pull_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pull_renders(spark: SparkSession, sf_dir: str) -> DataFrame:
     pulls = histories.pull_histories(histories.routed(histories.flat_events(_pulls(spark, sf_dir)))[1])
     return pull_render.render(pulls, _pairs(spark, sf_dir), pull_render.Params(randomness=False)).select("pull_guid", "length", "render")
+
+
+@query("""
+SELECT user_id AS github_id, 'u' || (user_id % 50) AS full_name, nullif(count(*) FILTER (event_type = 'view'), 0) AS star_events_count, nullif(count(*) FILTER (event_type = 'error' AND value > 80), 0) AS fork_events_count FROM events GROUP BY user_id""")
+def repo_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "view", "WatchEvent").when((F.col("event_type") == "error") & (F.col("value") > 80), "ForkEvent").otherwise("PushEvent")
+    name = F.concat(F.lit("u"), (F.col("user_id") % 50).cast("string"))
+    raw = table(spark, sf_dir, "events").select(kind.alias("type"), F.struct(F.col("user_id").alias("id"), name.alias("name")).alias("repo"))
+    return repo_merge.activity(raw)
+
+
+@query("""
+WITH f AS (SELECT regexp_extract(url, '://([^/?#]*)', 1) AS directory_id, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) || '/' || page_id AS path, 'b' || (page_id % 90) AS blob_id,
+    CASE (page_id % 90) % 5 WHEN 0 THEN ['MIT'] WHEN 1 THEN ['GPL-3.0'] ELSE [] END AS licenses FROM pages),
+r AS (SELECT DISTINCT directory_id, CASE length(directory_id) % 3 WHEN 0 THEN 'MIT' WHEN 1 THEN 'NOASSERTION' END AS repo, length(directory_id) % 4 AS stars FROM f),
+b AS (SELECT directory_id, regexp_extract(path, '^(.*/)', 1) AS base, flatten(list(licenses)) AS found FROM f WHERE len(licenses) > 0 GROUP BY ALL),
+o AS (SELECT directory_id, path, blob_id FROM (SELECT f.*, row_number() OVER (PARTITION BY blob_id ORDER BY repo IN ('MIT') DESC NULLS LAST, stars DESC NULLS LAST, f.directory_id, path) AS n FROM f JOIN r ON f.directory_id = r.directory_id) WHERE n = 1),
+d AS (SELECT o.directory_id, path, blob_id, list_sort(list_distinct(coalesce(flatten(list(found)), []))) AS found FROM o LEFT JOIN b ON o.directory_id = b.directory_id AND starts_with(path, base) GROUP BY ALL)
+SELECT blob_id, d.directory_id, path, array_to_string(found, ',') AS detected, CASE WHEN repo = 'MIT' THEN 'permissive' WHEN len(found) = 0 THEN CASE WHEN repo IS NULL THEN 'no_license' ELSE 'non_permissive' END
+  WHEN found = ['MIT'] THEN 'permissive' ELSE 'non_permissive' END AS license_type FROM d JOIN r ON d.directory_id = r.directory_id""")
+def typed_license_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host, path = F.regexp_extract("url", "://([^/?#]*)", 1), F.regexp_extract("url", "://[^/?#]*([^?#]*)", 1)
+    blob = F.concat(F.lit("b"), (F.col("page_id") % 90).cast("string"))
+    pages = table(spark, sf_dir, "pages").select(host.alias("directory_id"), F.concat(path, F.lit("/"), F.col("page_id").cast("string")).alias("path"), blob.alias("content_id"), blob.alias("blob_id"), (F.col("page_id") % 90).alias("k"))
+    found = F.expr("CASE k % 5 WHEN 0 THEN array('MIT') WHEN 1 THEN array('GPL-3.0') ELSE array() END")
+    contents = pages.select("blob_id", found.alias("licenses")).distinct()
+    n = F.length("directory_id")
+    repos = pages.select("directory_id").distinct().select("directory_id", F.when(n % 3 == 0, "MIT").when(n % 3 == 1, "NOASSERTION").alias("gha_license_id"), (n % 4).alias("star_events_count"), F.lit(0).alias("fork_events_count"), F.lit(0).alias("revision_date"), F.lit(0).alias("visit_date"))
+    typed = license_typing.typed_files(pages.drop("k"), contents, repos, ("MIT",))
+    return typed.select("blob_id", "directory_id", "path", F.array_join("detected_licenses", ",").alias("detected"), "license_type")
+
+
+@query("""
+WITH b AS (SELECT l_orderkey AS k, 'p' || (l_partkey % 9) AS path, arg_max(l_suppkey, (l_linenumber, l_partkey, l_suppkey)) AS v FROM lineitem WHERE l_linenumber <= 4 GROUP BY ALL),
+h AS (SELECT l_orderkey AS k, 'p' || (l_partkey % 9) AS path, arg_max(l_suppkey, (l_linenumber, l_partkey, l_suppkey)) AS v FROM lineitem WHERE l_linenumber > 2 GROUP BY ALL)
+SELECT k AS l_orderkey, string_agg(path || ':' || b.v || '>' || h.v, ' ' ORDER BY path) AS files, count(*) AS num_diff_files FROM b JOIN h USING (k, path) GROUP BY k""")
+def commit_file_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    file = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.concat(F.lit("p"), (F.col("l_partkey") % 9).cast("string")).alias("path"))
+    side = lambda keep: F.sort_array(F.collect_list(F.when(keep, file)))
+    commits = items.groupBy("l_orderkey").agg(side(F.col("l_linenumber") <= 4).alias("base_files"), side(F.col("l_linenumber") > 2).alias("head_files"))
+    shown = F.transform("head_base_files", lambda f: F.concat(f["base"]["path"], F.lit(":"), f["base"]["l_suppkey"].cast("string"), F.lit(">"), f["head"]["l_suppkey"].cast("string")))
+    return joins.paired_files(commits, ["l_orderkey"]).select("l_orderkey", F.array_join(shown, " ").alias("files"), "num_diff_files")
+
+
+@query("""
+WITH s AS (SELECT 'u' || user_id AS u, list(DISTINCT CASE event_type WHEN 'view' THEN 'all' WHEN 'click' THEN 'Commits' WHEN 'error' THEN 'GitHub issue' ELSE event_type || '/r' END) AS scopes FROM events WHERE value > 95 GROUP BY 1)
+SELECT 'user_repos' AS kind, u AS name FROM s WHERE list_contains(scopes, 'all') UNION SELECT 'user_commits', u FROM s WHERE list_has_any(scopes, ['all', 'Commits']) UNION SELECT 'user_issues', u FROM s WHERE list_has_any(scopes, ['all', 'GitHub issue'])
+UNION SELECT 'repo', x FROM (SELECT unnest(scopes) AS x FROM s) WHERE x NOT IN ('all', 'Commits', 'GitHub issue')""")
+def opt_out_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scope = F.expr("CASE event_type WHEN 'view' THEN 'all' WHEN 'click' THEN 'Commits' WHEN 'error' THEN 'GitHub issue' ELSE concat(event_type, '/r') END")
+    listed = table(spark, sf_dir, "events").filter("value > 95").groupBy(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user")).agg(F.collect_set(scope).alias("scopes"))
+    return joins.opt_out_lists(listed)
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN true WHEN turn % 3 = 1 THEN false ELSE true END AS compiles FROM conversations""")
+def syntax_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("turn") % 3 == 0, "x = 1").when(F.col("turn") % 3 == 1, "x = = 1").otherwise("def f():\n    return 2")
+    return _turns(spark, sf_dir).select("conv_id", "turn", notebooks.compiles(code).alias("compiles"))
+
+
+@query("""
+SELECT 'documents' AS dataset, doc_id AS id, n_chars FROM documents UNION ALL SELECT 'conversations', conv_id * 1000 + turn, length(text) FROM conversations""")
+def concatenated_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("dataset"), F.col("doc_id").alias("id"), "n_chars")
+    turns = _turns(spark, sf_dir).select(F.lit("conversations").alias("dataset"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.length("text").cast("long").alias("n_chars"))
+    return docs.unionByName(turns)
