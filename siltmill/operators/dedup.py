@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltmill.storage import written
+
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int = 1) -> DataFrame:
     """The first rows of each key. order must end in what is unique, or ties fall as they may.
@@ -41,21 +43,24 @@ def slice_of(df: DataFrame, order: Sequence[str], part: int, parts: int) -> Data
 def with_rank(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """df with __rank, from 0 in the given order, and __total.
 
-    Rows are dealt into buckets by the order's first, numeric column's quantiles; a bucket's rank starts where the
-    buckets before it end.
+    Rows are dealt into ranges of the order and written; a range's ranks start where the ranges before it end, so
+    that each task numbers its own range only.
     """
-    first = order[0]
-    cuts = df.agg(F.percentile_approx(first, [i / 64 for i in range(1, 64)], 10_000)).first()[0] or []
-    bucket = F.lit(0)
-    for cut in sorted(set(cuts)):
-        bucket = bucket + F.when(F.col(first) > cut, 1).otherwise(0)
-    dealt = df.withColumn("__bucket", bucket)
-    sizes = dealt.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = written(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     all_rows = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    starts = sizes.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"), F.sum("__n").over(all_rows).alias("__total"))
-    own = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order)) - 1
-    return dealt.join(F.broadcast(starts), "__bucket").withColumn("__rank", own + F.col("__start")).drop("__bucket", "__start")
+    starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"), F.sum("__n").over(all_rows).alias("__total"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
+    # one row per range, of which there are as many as shuffle partitions
+    return dealt.join(F.broadcast(starts), "__range").withColumn("__rank", own + F.col("__start")).drop("__range", "__start")
+
+
+def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
+    """df with the number of rows that share its key, nulls too: counted before it is joined back, so that a key with
+    a third of all rows is no single task's."""
+    sizes = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias(name))
+    return df.join(sizes, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def round_robin(df: DataFrame, order: Sequence[str], parts: int) -> DataFrame:

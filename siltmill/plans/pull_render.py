@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from siltmill.functions.text import drop_markup_comments, shifted_hunk, strip_mail, truncate_lines
 from siltmill.operators import histories as h
-from siltmill.operators.dedup import repo_rate, uniform
+from siltmill.operators.dedup import repo_rate, uniform, with_group_size
 from siltmill.operators.diffs import change_range, hunks
 
 # The marks of a rendered pull request, and the rules that thin out generated files.
@@ -107,15 +107,14 @@ def event_text(e: Column, opened: Column, skipped: Column, p: Params = Params())
 def eligible(pulls: DataFrame, pairs: DataFrame, p: Params = Params()) -> DataFrame:
     """Approved or merged requests on one base whose first commits have a diff; sampled by their repository's number
     of requests. pulls: pull_guid, events; pairs: pull_guid, head_commit_id, base_commit_id, files."""
-    repo = F.split_part("pull_guid", F.lit("/pull/"), F.lit(1))
-    counted = pulls.withColumn("__in_repo", F.count(F.lit(1)).over(Window.partitionBy(repo)))
+    counted = with_group_size(pulls.withColumn("__repo", F.split_part("pull_guid", F.lit("/pull/"), F.lit(1))), "__repo", "__in_repo")
     good = counted.filter(((h.approvals(F.col("events")) > 0) | h.is_merged(F.col("events"))) & (h.rebases(F.col("events")) == 0))
     if p.randomness:
         good = good.filter(uniform(F.lit("pull"), F.col("pull_guid")) < repo_rate(F.col("__in_repo")))
     first = h.first_commits(F.col("events"))
     good = good.withColumns({"__head": first["head"], "__base": first["base"]})
     commits = pairs.select("pull_guid", F.col("head_commit_id").alias("__head"), F.col("base_commit_id").alias("__base"))
-    return good.join(commits, ["pull_guid", "__head", "__base"], "left_semi").drop("__head", "__base", "__in_repo")
+    return good.join(commits, ["pull_guid", "__head", "__base"], "left_semi").drop("__head", "__base", "__repo", "__in_repo")
 
 
 def base_files(pairs: DataFrame, p: Params = Params()) -> DataFrame:

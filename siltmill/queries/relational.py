@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.functions.text import base_name, bucket, repo_of_url
@@ -195,7 +195,7 @@ def flatten_distinct_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, source, count(*) OVER (PARTITION BY source) AS in_source FROM documents")
 def group_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", F.count(F.lit(1)).over(Window.partitionBy("source")).alias("in_source"))
+    return dedup.with_group_size(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "in_source")
 
 
 @query("""
@@ -219,9 +219,8 @@ def sha_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, source FROM (SELECT doc_id, source, count(*) OVER (PARTITION BY source) AS n, ('0x' || left(sha256('doc|' || doc_id), 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM documents)
 WHERE u < CASE WHEN n <= 1000 THEN 0.8007::DOUBLE - 0.0007::DOUBLE * n ELSE 100.0::DOUBLE / n END""")
 def size_based_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    n = F.count(F.lit(1)).over(Window.partitionBy("source"))
-    return docs.withColumn("n", n).filter(dedup.uniform(F.lit("doc"), F.col("doc_id")) < dedup.repo_rate(F.col("n"))).drop("n")
+    docs = dedup.with_group_size(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "n")
+    return docs.filter(dedup.uniform(F.lit("doc"), F.col("doc_id")) < dedup.repo_rate(F.col("n"))).drop("n")
 
 
 @query("SELECT p_partkey, p_name FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS r, count(*) OVER () AS n FROM part) WHERE r >= (n // 7) * 6")
