@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from siltmill.llm import links
 from siltmill.llm.tables import written
@@ -107,14 +108,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             rows.sort(key=lambda r: r[5])  # then the smallest index is the smallest key
             for size in {len(r[7]) for r in rows}:
                 mine = [r for r in rows if len(r[7]) == size]
-                x = unit_vectors(np.stack([r[7] for r in mine]))
+                x = unit_vectors(np.stack([r[7] for r in mine]).astype(np.float64))
                 a, b = linked(x, np.stack([r[8] for r in mine]), table, np.array([r[4] for r in mine]), i != j, threshold)
                 if len(a):
                     yield links.unit_report([r[5] for r in mine], np.array([r[6] for r in mine]), a, b)
 
     kind = vectors.schema[id_col].dataType.simpleString()
+    vector = "array<float>" if vectors.schema[vector_col].dataType.elementType == FloatType() else "array<double>"  # no wider than it came
     slim = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
-    signed = written(slim.mapInPandas(sign, f"id {kind}, key binary, vector array<double>, buckets array<int>"), "vectors")
+    signed = written(slim.mapInPandas(sign, f"id {kind}, key binary, vector {vector}, buckets array<int>"), "vectors")
     first = {c: F.first(c).alias(c) for c in ("vector", "buckets")}
     classes = written(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), *first.values()), "classes")
     at = classes.select("key", F.posexplode("buckets").alias("table", "bucket"))
