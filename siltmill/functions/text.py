@@ -39,6 +39,11 @@ LONGEST_LINE = 600
 LONGEST_OUTPUT = 600
 
 
+def let(value: Column, body) -> Column:  # noqa: ANN001
+    """body(value) with the value computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def utf8_text(raw: Column) -> Column:
     """Bytes as text; malformed sequences become the replacement character instead of an error."""
     return F.make_valid_utf8(raw.cast("string"))
@@ -100,18 +105,30 @@ def strip_mail(text: Column, strict: bool = False) -> Column:
     Line by line, what stands before a quoting line and after the last line of a footer or quotation stays. Where no
     end is found, all lines follow those before the start, which repeats them; strict leaves them once.
     """
-    whole = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
-    lines = F.transform(lines_of(whole), lambda x, i: F.struct(x.alias("line"), F.regexp_replace(x, r"^\s+|\s+$", "").alias("bare"), i.alias("i")))
-    starts = F.filter(lines, lambda x: x["bare"].contains("notifications@github.com") | x["bare"].rlike(MAIL_DATE))
-    ends = F.filter(lines, lambda x: x["bare"].contains("Reply to this email directly") | x["bare"].startswith(">"))
-    end_of = lambda x: F.when(x["bare"].contains("Reply to this email directly") & x["bare"].endswith(":") & ~x["bare"].startswith(">"), x["i"] + 1).otherwise(x["i"])
-    start = F.coalesce(F.array_max(F.transform(starts, lambda x: x["i"])), F.lit(0))
-    end = F.coalesce(end_of(F.try_element_at(ends, F.lit(-1))), start - 1 if strict else F.lit(-1))
-    kept = F.transform(F.concat(F.filter(lines, lambda x: x["i"] < start), F.filter(lines, lambda x: x["i"] > end)), lambda x: x["line"])
-    out = F.array_join(kept, "\n")
-    for pattern in reversed(MAIL_REPLIES):
-        out = F.when(whole.rlike(pattern), F.concat(F.regexp_extract(whole, pattern, 1), F.regexp_extract(whole, pattern, 3))).otherwise(out)
-    return F.regexp_replace(F.regexp_replace(out, "_{20,}", ""), r"^\s+|\s+$", "")
+
+    def by_lines(whole: Column) -> Column:
+        lines = F.transform(lines_of(whole), lambda x, i: F.struct(x.alias("line"), F.regexp_replace(x, r"^\s+|\s+$", "").alias("bare"), i.alias("i")))
+        return let(lines, lambda ls: let(bounds(ls), lambda b: joined(ls, b)))
+
+    def bounds(lines: Column) -> Column:
+        starts = F.filter(lines, lambda x: x["bare"].contains("notifications@github.com") | x["bare"].rlike(MAIL_DATE))
+        ends = F.filter(lines, lambda x: x["bare"].contains("Reply to this email directly") | x["bare"].startswith(">"))
+        end_of = lambda x: F.when(x["bare"].contains("Reply to this email directly") & x["bare"].endswith(":") & ~x["bare"].startswith(">"), x["i"] + 1).otherwise(x["i"])
+        start = F.coalesce(F.array_max(F.transform(starts, lambda x: x["i"])), F.lit(0))
+        end = F.get(F.transform(F.slice(ends, F.greatest(F.size(ends), F.lit(1)), F.lit(1)), end_of), F.lit(0))
+        return F.struct(start.alias("start"), F.coalesce(end, start - 1 if strict else F.lit(-1)).alias("end"))
+
+    def joined(lines: Column, b: Column) -> Column:
+        kept = F.concat(F.filter(lines, lambda x: x["i"] < b["start"]), F.filter(lines, lambda x: x["i"] > b["end"]))
+        return F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
+
+    def stripped(whole: Column) -> Column:
+        out = by_lines(whole)
+        for pattern in reversed(MAIL_REPLIES):
+            out = F.when(whole.rlike(pattern), F.concat(F.regexp_extract(whole, pattern, 1), F.regexp_extract(whole, pattern, 3))).otherwise(out)
+        return F.regexp_replace(F.regexp_replace(out, "_{20,}", ""), r"^\s+|\s+$", "")
+
+    return let(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", ""), stripped)
 
 
 def anonymised(text: Column, names: Column) -> Column:

@@ -10,10 +10,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltmill.functions.text import drop_markup_comments, shifted_hunk, strip_mail, truncate_lines
+from siltmill.functions.text import drop_markup_comments, let, shifted_hunk, strip_mail, truncate_lines
 from siltmill.operators import histories as h
 from siltmill.operators.dedup import repo_rate, uniform, with_group_size
 from siltmill.operators.diffs import change_range, hunks
+from siltmill.storage import written
 
 # The marks of a rendered pull request, and the rules that thin out generated files.
 PR, STATUS, REPO, MERGED = "<pr>", "<pr_status>", "<repo_name>", "<pr_is_merged>"
@@ -56,11 +57,13 @@ def rendered_title(text: Column, p: Params = Params()) -> Column:
 
 def rendered_text(user: Column, text: Column, p: Params = Params(), any_length: bool = False) -> Column:
     """`user: text` without mail additions and markup comments; null for a text too short."""
-    mail = strip_mail(F.coalesce(text, user))
-    cut = truncate_lines(drop_markup_comments(mail))
-    full = F.when(F.length(cut) == 0, user).otherwise(F.concat(user, F.lit(": "), F.substring(cut, 1, p.most_text)))
-    fits = F.lit(True) if any_length else F.length(cut) >= p.least_text
-    return F.when(mail.contains("Qwiet"), None).when(F.lower(mail).contains("codecov"), F.concat(user, F.lit(f": {OMITTED}CodeCov"))).when(fits, full)
+
+    def shown(mail: Column, cut: Column) -> Column:
+        full = F.when(F.length(cut) == 0, user).otherwise(F.concat(user, F.lit(": "), F.substring(cut, 1, p.most_text)))
+        fits = F.lit(True) if any_length else F.length(cut) >= p.least_text
+        return F.when(mail.contains("Qwiet"), None).when(F.lower(mail).contains("codecov"), F.concat(user, F.lit(f": {OMITTED}CodeCov"))).when(fits, full)
+
+    return let(strip_mail(F.coalesce(text, user)), lambda mail: let(truncate_lines(drop_markup_comments(mail)), lambda cut: shown(mail, cut)))
 
 
 def _tagged(mark: str, value: Column) -> Column:
@@ -71,11 +74,12 @@ def _optional(mark: str, value: Column) -> Column:
     return F.coalesce(_tagged(mark, value), F.lit(""))
 
 
-def event_text(e: Column, opened: Column, skipped: Column, p: Params = Params()) -> Column:
-    """One event's text, null if its title or text is rejected. opened: whether the opening is rendered before it."""
+def event_text(e: Column, said: Column, opened: Column, skipped: Column, p: Params = Params()) -> Column:
+    """One event's text, null if its title or text is rejected. said: struct of the event's rendered text (full) and of
+    that whatever its length (any); opened: whether the opening is rendered before the event."""
     user = F.coalesce(e["actor_login"], F.lit(""))
     told = e["action"].isin("opened", "edited", "reopened")
-    body = F.when(told, F.concat(rendered_title(e["title"], p), rendered_text(user, e["text"], p))).otherwise(user)
+    body = F.when(told, F.concat(rendered_title(e["title"], p), said["full"])).otherwise(user)
     pull = F.concat(
         F.lit(PR),
         body,
@@ -83,8 +87,8 @@ def event_text(e: Column, opened: Column, skipped: Column, p: Params = Params())
         F.when(opened, F.lit("")).otherwise(_optional(REPO, e["base_repo_name"])),
         F.when(e["action"] == "closed", _optional(MERGED, F.initcap(e["pull_merged"].cast("string")))).otherwise(F.lit("")),
     )
-    said = F.when(F.coalesce(F.length(e["text"]), F.lit(0)) > 0, rendered_text(user, e["text"], p, any_length=True)).otherwise(user)
-    review = F.concat(F.lit(REVIEW), said, _optional(EVENT_ID, e["review_comment_id"]), _optional(REVIEW_STATE, e["review_state"]))
+    spoken = F.when(F.coalesce(F.length(e["text"]), F.lit(0)) > 0, said["any"]).otherwise(user)
+    review = F.concat(F.lit(REVIEW), spoken, _optional(EVENT_ID, e["review_comment_id"]), _optional(REVIEW_STATE, e["review_state"]))
     lines = F.split(e["comment_diff_hunk"], "\n", -1)
     moved = F.when(lines[0].contains("@@"), F.concat_ws("\n", F.coalesce(shifted_hunk(lines[0], skipped), lines[0]), F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))))).otherwise(e["comment_diff_hunk"])
     hunk = F.concat(F.lit(HUNK), F.when(F.length(moved) > p.most_hunk, F.lit(OMITTED)).otherwise(F.coalesce(moved, F.lit(""))))
@@ -97,9 +101,9 @@ def event_text(e: Column, opened: Column, skipped: Column, p: Params = Params())
         _optional(HUNK_LINE, e["comment_original_position"]),
         hunk,
         F.lit(COMMENT),
-        rendered_text(user, e["text"], p),
+        said["full"],
     )
-    talk = F.concat(F.lit(COMMENT), rendered_text(user, e["text"], p), _optional(EVENT_ID, e["comment_id"]), _optional(STATUS, F.lower(e["action"])))
+    talk = F.concat(F.lit(COMMENT), said["full"], _optional(EVENT_ID, e["comment_id"]), _optional(STATUS, F.lower(e["action"])))
     kind = e["type"]
     return F.when(kind == h.PULL, pull).when(kind == h.REVIEW, review).when(kind == h.REVIEW_COMMENT, remark).when(kind == "IssueCommentEvent", talk)
 
@@ -152,9 +156,9 @@ def render(pulls: DataFrame, pairs: DataFrame, p: Params = Params()) -> DataFram
 
     A request goes if its opening is rejected, no base file is left, or the text is too short or too long.
     """
-    chosen = h.with_placeholders(eligible(pulls, pairs, p))
+    chosen = written(h.with_placeholders(eligible(pulls, pairs, p)), "pulls")  # both tables are read more than once
     mine = pairs.join(chosen.select("pull_guid"), "pull_guid", "left_semi")
-    base = base_files(mine, p)
+    base = written(base_files(mine, p), "bases")
     bases = base.groupBy("pull_guid").agg(F.sort_array(F.collect_list(F.struct("path", "snippet", "language", "start"))).alias("b")).filter(F.aggregate("b", F.lit(0), lambda a, x: a + F.length(x["snippet"])) <= p.most_length)
     bases = bases.select(
         "pull_guid",
@@ -179,7 +183,10 @@ def render(pulls: DataFrame, pairs: DataFrame, p: Params = Params()) -> DataFram
     events = events.withColumn("head", F.when(live, F.col("e.head_commit_id")))
     events = events.withColumn("fresh", live & ~F.col("head").eqNullSafe(F.last("head", ignorenulls=True).over(earlier)) & F.col("head").isNotNull())
     skipped = F.coalesce(F.try_element_at("starts", F.coalesce("e.comment_path", F.lit(""))), F.lit(0))
-    text = event_text(F.col("e"), F.col("opened"), skipped, p)
+    user = F.coalesce("e.actor_login", F.lit(""))
+    said = F.struct(rendered_text(user, F.col("e.text"), p).alias("full"), rendered_text(user, F.col("e.text"), p, any_length=True).alias("any"))
+    events = events.withColumn("said", said)
+    text = event_text(F.col("e"), F.col("said"), F.col("opened"), skipped, p)
     silent = F.col("e.type").isin(h.REVIEW, h.REVIEW_COMMENT) & ~F.col("opened")
     told = events.join(diffs, ["pull_guid", "head"], "left").withColumn("text", F.when(silent, F.lit("")).otherwise(text))
     diff = F.when(F.col("fresh"), F.coalesce("diff_text", F.lit(""))).otherwise(F.lit(""))
