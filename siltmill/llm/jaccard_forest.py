@@ -143,23 +143,18 @@ def linked(sets: list[np.ndarray], blocks: np.ndarray, crossed: bool, threshold:
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words = _WordHashes()
-    for (_, i, j), rows in links.units(batches, ["head", "unit_i", "unit_j"]):
-        sets, keys, copies, blocks = [], [], [], []
-        seen = set()
-        for _, _, _, own, key, n, text in rows:
-            h = shingles(text, words)
-            if key in seen or xxhash.xxh128_digest(h.tobytes()) != key:
-                continue  # another row with the representative's id
-            seen.add(key)
-            sets.append(h)
-            keys.append(key)
-            copies.append(n)
-            blocks.append(own)
-        order = sorted(range(len(keys)), key=keys.__getitem__)  # then the smallest index is the smallest key
-        sets, keys = [sets[k] for k in order], [keys[k] for k in order]
-        a, b = linked(sets, np.array([blocks[k] for k in order]), i != j)
+
+    def read(row) -> tuple | None:  # noqa: ANN001
+        """The row's class with its shingles; nothing for another text of the representative's id."""
+        h = shingles(row.text, words)
+        return (row.key, row.own, row.copies, h) if xxhash.xxh128_digest(h.tobytes()) == row.key else None
+
+    for (_, i, j), classes in links.units(batches, ["head", "unit_i", "unit_j"], "key", read):
+        classes.sort(key=lambda c: c[0])  # then the smallest index is the smallest key
+        keys, blocks, copies, sets = zip(*classes)
+        a, b = linked(list(sets), np.array(blocks), i != j)
         if len(a):
-            yield links.unit_report(keys, np.array([copies[k] for k in order]), a, b)
+            yield links.unit_report(keys, np.array(copies), a, b)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
@@ -173,7 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     signed = written(signatures(docs, id_col, text_col, trees, depth), "signatures")
     classes = written(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")), "classes")
-    groups = written(candidate_groups(classes, matched_depth(THRESHOLD[0] / THRESHOLD[1], trees, depth, recall)), "groups")
+    groups = written(candidate_groups(classes, matched_depth(THRESHOLD[0] / THRESHOLD[1], trees, depth, recall)), "groups", narrow=True)
     sizes = groups.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
     members = groups.join(sizes, "head").join(classes.select("key", "rep", "copies"), "key")
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))

@@ -7,7 +7,7 @@ tasks. A unit reports, per class, the documents it links and the smallest class
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -28,18 +28,21 @@ def in_blocks(members: DataFrame, size: Column, key: Column, block: int = BLOCK)
     return other.withColumns({"unit_i": F.least("own", "__other"), "unit_j": F.greatest("own", "__other")}).drop("__n", "__other")
 
 
-def units(batches: Iterator[pd.DataFrame], by: Sequence[str]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Runs of rows with equal `by` in sorted batches; a run may span batches."""
-    now, rows = None, []
+def units(batches: Iterator[pd.DataFrame], by: Sequence[str], key: str, read: Callable) -> Iterator[tuple[tuple, list]]:
+    """Runs of rows with equal `by` in sorted batches, which may span batches: of each key what read(row) makes of its
+    first row that it makes anything of. Repeated rows are passed over as they come, so a run is as large as its keys
+    are many."""
+    now, items = None, {}
     for batch in batches:
-        for mark, row in zip(zip(*(batch[c].tolist() for c in by)), batch.itertuples(index=False, name=None)):
+        for mark, own, row in zip(zip(*(batch[c].tolist() for c in by)), batch[key], batch.itertuples(index=False)):
             if mark != now:
-                if rows:
-                    yield now, rows
-                now, rows = mark, []
-            rows.append(row)
-    if rows:
-        yield now, rows
+                if items:
+                    yield now, list(items.values())
+                now, items = mark, {}
+            if own not in items and (item := read(row)) is not None:
+                items[own] = item
+    if items:
+        yield now, list(items.values())
 
 
 def reach(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -55,7 +58,7 @@ def reach(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def unit_report(keys: list, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+def unit_report(keys: Sequence, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     """key, links, root of a unit's linked classes; (a, b) are its links."""
     links = np.bincount(a, copies[b], len(keys)) + np.bincount(b, copies[a], len(keys))
     root = reach(len(keys), a, b)
@@ -73,15 +76,17 @@ def components(edges: DataFrame) -> DataFrame:
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("id", "root"))).first())
 
-    e = written(edges.filter("id <> root").select(F.greatest("id", "root").alias("id"), F.least("id", "root").alias("root")).distinct(), "edges")
+    e = written(edges.filter("id <> root").select(F.greatest("id", "root").alias("id"), F.least("id", "root").alias("root")).distinct(), "edges", narrow=True)
     was = state(e)
     while was[0]:
+        # The minima are dealt anew before they are joined back: then both sides of the join are shuffled for it alone,
+        # and Spark splits the partition of an id with very many neighbours.
         both = e.unionByName(e.select(F.col("root").alias("id"), F.col("id").alias("root")))
-        low = both.groupBy("id").agg(F.min("root").alias("low")).withColumn("low", F.least("low", "id"))
+        low = both.groupBy("id").agg(F.min("root").alias("low")).withColumn("low", F.least("low", "id")).repartition("id", "low")
         large = both.join(low, "id").filter("root > id").select(F.col("root").alias("id"), F.col("low").alias("root")).distinct()
-        low = large.groupBy("id").agg(F.min("root").alias("low"))
+        low = large.groupBy("id").agg(F.min("root").alias("low")).repartition("id", "low")
         small = large.join(low, "id").select(F.when(F.col("root") == F.col("low"), F.col("id")).otherwise(F.col("root")).alias("id"), F.col("low").alias("root"))
-        e = written(small.filter("id <> root").distinct(), "edges")
+        e = written(small.filter("id <> root").distinct(), "edges", narrow=True)
         now = state(e)
         if now == was:
             break

@@ -104,14 +104,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         return _signed(batches, tables, projections, step)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (table, _, i, j), rows in links.units(batches, ["table", "bucket", "unit_i", "unit_j"]):
-            rows.sort(key=lambda r: r[5])  # then the smallest index is the smallest key
-            for size in {len(r[7]) for r in rows}:
-                mine = [r for r in rows if len(r[7]) == size]
-                x = unit_vectors(np.stack([r[7] for r in mine]).astype(np.float64))
-                a, b = linked(x, np.stack([r[8] for r in mine]), table, np.array([r[4] for r in mine]), i != j, threshold)
+        for (table, _, i, j), rows in links.units(batches, ["table", "bucket", "unit_i", "unit_j"], "key", lambda row: row):
+            rows.sort(key=lambda r: r.key)  # then the smallest index is the smallest key
+            for size in {len(r.vector) for r in rows}:
+                mine = [r for r in rows if len(r.vector) == size]
+                x = unit_vectors(np.stack([r.vector for r in mine]).astype(np.float64))
+                a, b = linked(x, np.stack([r.buckets for r in mine]), table, np.array([r.own for r in mine]), i != j, threshold)
                 if len(a):
-                    yield links.unit_report([r[5] for r in mine], np.array([r[6] for r in mine]), a, b)
+                    yield links.unit_report([r.key for r in mine], np.array([r.copies for r in mine]), a, b)
 
     kind = vectors.schema[id_col].dataType.simpleString()
     vector = "array<float>" if vectors.schema[vector_col].dataType.elementType == FloatType() else "array<double>"  # no wider than it came

@@ -101,6 +101,14 @@ def test_ids_shared_by_different_texts(spark):
     assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
 
 
+def test_units_pass_over_repeated_rows():
+    import pandas as pd
+
+    batches = [pd.DataFrame({"g": [1, 1, 1], "key": [b"a", b"a", b"b"], "v": [0, 1, 2]}), pd.DataFrame({"g": [1, 2, 3], "key": [b"b", b"a", b"c"], "v": [3, 4, 0]})]
+    got = list(links.units(iter(batches), ["g"], "key", lambda row: row.v or None))
+    assert got == [((1,), [1, 2]), ((2,), [4])]
+
+
 def test_depth_follows_the_target_recall():
     assert j.matched_depth(0.8, 16, 6, 0.998) == 5
     assert j.matched_depth(0.8, 16, 6, 0.99999) < 5
