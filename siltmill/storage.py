@@ -9,13 +9,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; where it is unset (tests on one machine), a folder of this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="siltmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if not folder and app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="siltmill-")
+    return folder or _own[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
