@@ -34,7 +34,7 @@ SEED = 7
 _CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are walked at once.
-_BATCH = 1_200_000
+_BATCH = 800_000
 _NONE = np.iinfo(np.int32).min
 _DENSE = 4
 
@@ -163,22 +163,24 @@ class Encoder:
         self.nodes = int(at_level.sum())
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))  # characters to the chunk's end
         node = self.base[left] + np.repeat(np.arange(len(chunks)), sizes)
-        self.piece = np.full((self.reach, self.nodes), _NONE, np.int32)
-        self.atleast = np.full((self.reach, self.nodes), -np.inf, np.float32)
-        self.longest = np.ones(self.nodes, np.int64)
         rolled, h, live, hits = _rolled(points), np.zeros(len(points), np.uint64), np.arange(len(points)), []
-        for n in range(self.reach):
-            inside = left[live] > n
+        while len(hits) < self.reach and len(live):
+            inside = left[live] > len(hits)
             live = live[inside]
-            h = h[inside] * _P + rolled[live + n]
+            h = h[inside] * _P + rolled[live + len(hits)]
             at = self._find(h)
             known = at >= 0
             live, h = live[known], h[known]
             ids = self.ids[at[known]]
             whole = ids != _NONE
-            ends, ids = node[live[whole]], ids[whole]
+            hits.append((node[live[whole]], ids[whole]))
+        while len(hits) > 1 and not len(hits[-1][0]):
+            hits.pop()
+        self.piece = np.full((len(hits), self.nodes), _NONE, np.int32)
+        self.atleast = np.full((len(hits), self.nodes), -np.inf, np.float32)
+        self.longest = np.ones(self.nodes, np.int64)
+        for n, (ends, ids) in enumerate(hits):
             self.piece[n, ends], self.atleast[n, ends], self.longest[ends] = ids, self.logw[ids], n + 1
-            hits.append(ends)
         alone = self.piece[0, node] == _NONE  # characters that are no piece: their bytes are one edge
         code, which = np.unique(points[alone], return_inverse=True)
         width = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
@@ -187,10 +189,10 @@ class Encoder:
         number = np.where(code < 128, self.v.first_byte + code.astype(np.int64), len(self.logw) + np.arange(len(code)))[which]
         self.piece[0, node[alone]], self.atleast[0, node[alone]] = number, self.weight[number]
         self.beta, self.paths = np.zeros(self.nodes), np.ones(self.nodes, np.float32)
-        few = [np.sort(x) for x in hits[_DENSE:]]  # long edges are rare
+        few = [np.sort(ends) for ends, _ in hits[_DENSE:]]  # long edges are rare
         for d in range(1, len(at_level)):  # from the chunks' ends to their starts
             lo, m = self.base[d], at_level[d]
-            n = min(d, _DENSE)
+            n = min(d, _DENSE, len(hits))
             edges, top, count = np.empty((n, m)), np.full(m, -np.inf), np.zeros(m, np.float32)
             for j in range(n):
                 to = slice(self.base[d - j - 1], self.base[d - j - 1] + m)
@@ -198,7 +200,7 @@ class Encoder:
                 np.maximum(top, edges[j], out=top)
                 count += np.where(self.piece[j, lo : lo + m] != _NONE, self.paths[to], 0)
             long = []
-            for j in range(_DENSE, min(d, self.reach)):
+            for j in range(_DENSE, min(d, len(hits))):
                 ends = few[j - _DENSE]
                 here = ends[slice(*np.searchsorted(ends, [lo, lo + m]))] - lo
                 if len(here):
@@ -397,8 +399,8 @@ class Encoder:
             with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
                 chosen = np.where(np.isfinite(value[-1]), np.where(apart < -30, apart, np.log(-np.expm1(-np.exp(np.minimum(apart, 700))))), 0.0)
             n = np.where(has[path][doc], size[path], 0)
-            skip = np.cumsum(n) - n
-            ids = self.piece.ravel()[flat[np.repeat(at[path] - skip, n) + np.arange(n.sum())]]
+            edges = flat[: n.sum()] if path == 0 else flat[np.repeat(at[path] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            ids = self.piece.ravel()[edges]
             docs = np.flatnonzero(has[path])
             ids, ends = self.spelled(ids, np.add.reduceat(n, begin).cumsum()[docs])
             yield docs, ids, ends, total[docs], value[path][docs], chosen[docs]
