@@ -112,6 +112,7 @@ class Encoder:
         self.logw[vocabulary.first_byte : vocabulary.first_byte + 256] = -np.log(len(texts) + 2.0)
         total = np.exp(self.logw).sum()
         self.logw = (alpha * (self.logw - np.log(total))).astype(np.float32).astype(np.float64)  # lattices hold 32 bits
+        self.spelling = np.array(vocabulary.pieces, dtype=object)
         self.reach = max(map(len, texts))
         begun = {p[:n] for p in texts for n in range(1, len(p) + 1)}
         self.bits = 64 - (4 * len(begun)).bit_length()
@@ -233,39 +234,50 @@ class Encoder:
             n[rest] -= 1
         return n
 
-    def uniform(self, key: np.ndarray, draw: int, place: np.ndarray, step: int) -> np.ndarray:
-        """In (0, 1), by row key, draw, word of the row and step; step 0 is the word's perturbation."""
-        x = key + np.uint64(draw * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF) + place.astype(np.uint64) * _P + np.uint64(step * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return ((x ^ (x >> np.uint64(31))) >> np.uint64(12)).astype(np.float64) * 2.0**-52 + 2.0**-53
+    @staticmethod
+    def salted(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """What tells the words of all rows apart."""
+        return key + place.astype(np.uint64) * _P
 
-    def walk(self, words: np.ndarray, key: np.ndarray, place: np.ndarray, draw: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    @staticmethod
+    def uniform(salt: np.ndarray, draw: int, step: int) -> np.ndarray:
+        """In (0, 1), by row key and word of the row, draw and step; step 0 is the word's perturbation."""
+        x = salt + np.uint64((draw * 0x632BE59BD9B4E019 + step * 0xD1342543DE82EF95) & 0xFFFFFFFFFFFFFFFF)
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        x >>= np.uint64(12)
+        u = x.astype(np.float64)
+        u *= 2.0**-52
+        u += 2.0**-53
+        return u
+
+    def walk(self, words: np.ndarray, salt: np.ndarray, draw: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A free draw for each word: edges of all, where each word's begin, log-probabilities."""
         slot = self.slot[words]
-        left, on = self.size[slot], np.arange(len(words))
+        left = self.size[slot]
         at = self.base[left] + slot
-        logp, visits, step = -self.beta[at], [], 0
-        only = self.paths[at] == 1
-        pieces = self.piece.ravel()
-        while len(on):
+        only, logp = self.paths[at] == 1, -self.beta[at]
+        pieces, count, visits, on, step = self.piece.ravel(), np.ones(len(words), np.int64), [], slice(None), 0
+        while len(at):
             step += 1
-            n = self.pick(at, self.uniform(key[on], draw, place[on], step))
+            n = self.pick(at, self.uniform(salt, draw, step))
             edge = (n - 1) * self.nodes + at
             visits.append((on, edge))
             logp[on] += self.weight[pieces[edge]]
             left = left - n
-            more = left > 0
-            on, left = on[more], left[more]
-            at = self.base[left] + slot[on]
-        logp = np.where(only, 0.0, np.minimum(logp, 0.0))
-        count = np.zeros(len(words), np.int64)
-        for on, _ in visits:
+            more = np.flatnonzero(left)
+            on = more if step == 1 else on[more]
             count[on] += 1
+            left, slot, salt = left[more], slot[more], salt[more]
+            at = self.base[left] + slot
+        logp = np.where(only, 0.0, np.minimum(logp, 0.0))
         begin = np.concatenate([[0], np.cumsum(count)])
         edges = np.empty(begin[-1], np.int64)
         for step, (on, edge) in enumerate(visits):
-            edges[begin[on] + step] = edge
+            edges[begin[:-1][on] + step] = edge
         return edges, begin, logp
 
     def logp(self, word: int, path: tuple[int, ...]) -> float:
@@ -328,13 +340,13 @@ class Encoder:
         self.lattice(list(index))
         doc, begin = np.repeat(np.arange(len(parts)), sizes), np.cumsum(sizes) - sizes
         place = np.arange(len(words)) - begin[doc]
-        salt = np.uint64(self.seed * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
-        key = np.array(keys, np.uint64) ^ salt
+        key = np.array(keys, np.uint64) ^ np.uint64(self.seed * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
         many = self.paths[self.base[self.size[self.slot[words]]] + self.slot[words]]
-        edges, starts, logp = self.walk(words, key[doc], place, 0)
+        salt = self.salted(key[doc], place)
+        edges, starts, logp = self.walk(words, salt, 0)
         flat, n_flat = [edges], len(edges)
         at, size, logps, agenda = [starts[:-1]], [np.diff(starts)], [logp], []
-        value = [-np.log(-np.log(self.uniform(key, 0, np.full(len(texts), -1), 0)))]
+        value = [-np.log(-np.log(self.uniform(self.salted(key, np.full(len(texts), -1)), 0, 0)))]
         has, taken = [np.ones(len(texts), bool)], {}
 
         def perturb(path: int, where: np.ndarray, log_rest: np.ndarray) -> None:
@@ -342,7 +354,7 @@ class Encoder:
             lp = logps[path]
             total = np.cumsum(lp)
             before = total - lp - np.repeat(np.concatenate([[0.0], total])[begin], sizes)
-            noise = np.log(-np.log(self.uniform(key[doc[where]], path + 1000, place[where], 0)))
+            noise = np.log(-np.log(self.uniform(salt[where], path + 1000, 0)))
             bound = np.full(len(words), -np.inf)
             with np.errstate(invalid="ignore"):
                 bound[where] = -np.logaddexp(-value[path][doc[where]], noise - before[where] - log_rest)
@@ -382,7 +394,7 @@ class Encoder:
                 rests.append(np.log(max(1 - mass, 1e-18)) if many[w] > len(taken[(path, w)]) else -np.inf)
             where = np.flatnonzero(fresh)
             if len(where):
-                edges, starts, logp = self.walk(words[where], key[doc[where]], place[where], path)
+                edges, starts, logp = self.walk(words[where], salt[where], path)
                 new_at[where], new_size[where], new_logp[where] = starts[:-1] + n_flat, np.diff(starts), logp
                 flat.append(edges)
                 n_flat += len(edges)
@@ -471,7 +483,7 @@ def _encoded(encoder: Encoder, ids: pa.Array, texts: pa.Array, k: int) -> Iterat
     for sample, (docs, pieces, ends, *scores) in enumerate(encoder.draws([rows[i] for i in full], seeds, k), 1):
         if not len(docs):
             continue
-        decoded = list(map(encoder.v.pieces.__getitem__, pieces.tolist()))
+        decoded = encoder.spelling[pieces].tolist()
         starts = np.concatenate([[0], ends[:-1]])
         good = [b"".join(decoded[lo:hi])[1:] == rows[full[d]].encode("utf-8", "surrogatepass") for d, lo, hi in zip(docs.tolist(), starts.tolist(), ends.tolist())]
         lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]), pa.int32()), pa.array(pieces, pa.int32()))
