@@ -103,7 +103,7 @@ def resolve(rows: DataFrame, classes: DataFrame, found: DataFrame, id_col: str)
     roots = components(found.select(F.col("key").alias("id"), "root")).withColumnsRenamed({"id": "key", "root": "to"})
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     known = classes.join(links, "key", "left").join(roots, "key", "left").withColumn("to", F.coalesce("to", "key"))
-    heads = known.groupBy("to").agg(F.min("rep").alias("component_id"))
+    heads = known.groupBy("to").agg(F.min("rep").alias("component_id")).repartition("to", "component_id")  # see components()
     info = known.join(heads, "to").select("key", "component_id", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     alone = F.col("component_id").isNull()
     return rows.select(id_col, "key").join(info, "key", "left").select(
