@@ -56,7 +56,7 @@ def lines_of(text: Column) -> Column:
 def split_lines(text: Column) -> Column:
     """Lines by any line separator; a separator at the end begins no line, and an empty text has none."""
     parts = F.split(text, "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]", -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(parts, lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
 def base_path(path: Column) -> Column:
