@@ -24,6 +24,8 @@ _BREAKS = frozenset(
 _DROPPED = frozenset("head title template noscript select textarea button iframe object canvas svg math audio video map dialog datalist".split())
 _RAW = frozenset("script style xmp noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What a head may hold; anything else, text too, ends it: its end tag and body's start tag may be left out.
+_IN_HEAD = frozenset("base link meta template title noscript".split()) | _RAW
 _FRAME = frozenset("nav menu aside form footer search".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Parts of class names and ids that name what surrounds an article.
@@ -68,7 +70,7 @@ def blocks_of(page: str | None) -> list[dict]:
     """The page's blocks with text, in order."""
     out: list[dict] = []
     stack: list[tuple[str, int, bool]] = []  # open elements, whether they frame, whether they hold the article
-    chrome = article = links = 0
+    chrome = article = links = dropped = 0
     text: list[str] = []
     linked: list[str] = []
 
@@ -80,19 +82,26 @@ def blocks_of(page: str | None) -> list[dict]:
         linked.clear()
 
     def put(piece: str) -> None:
-        if piece and not any(x[0] in _DROPPED for x in stack[-4:]):
+        if piece.strip(" \t\n\f\r"):
+            end_head()
+        if piece and not dropped:
             piece = html.unescape(piece)
             text.append(piece)
             if links:
                 linked.append(piece)
 
     def shut(depth: int) -> None:
-        nonlocal chrome, article, links
+        nonlocal chrome, article, links, dropped
         while len(stack) > depth:
             name, frames, holds = stack.pop()
             chrome -= frames != _NOT
             article -= holds
             links -= name == "a"
+            dropped -= name in _DROPPED
+
+    def end_head() -> None:
+        if stack and stack[-1][0] == "head":
+            shut(len(stack) - 1)
 
     page, at = page or "", 0
     raw = ""
@@ -109,7 +118,9 @@ def blocks_of(page: str | None) -> list[dict]:
         if m[2] is None:
             continue
         name = m[2].lower()
-        if name in _BREAKS:
+        if name in ("body", "br") if m[1] else name not in _IN_HEAD:
+            end_head()
+        if name in _BREAKS and not dropped:
             flush()
         elif name in ("br", "wbr", "img", "input"):
             put(" " if name != "wbr" else "")
@@ -126,14 +137,15 @@ def blocks_of(page: str | None) -> list[dict]:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p":
                         shut(k)
-                    if stack[k : k + 1] == [] or stack[k][0] in _BREAKS:
+                    if stack[k : k + 1] == [] or stack[k][0] in _BREAKS or stack[k][0] in _DROPPED:
                         break
-            if name == "a" and links:
+            if name == "a" and links and not dropped:
                 shut(max(k for k, x in enumerate(stack) if x[0] == "a"))
             found = _attributes(m[3])
             sure = name in _FRAME or name == "header" and not article or _hidden(found) or name != "body" and _TALK >= set(_PARTS.findall(found.get("id", "").lower())) != set()
             frames = _SURELY if sure else _BY_NAME if _hinted(name, found, article > 0) else _NOT
-            holds = frames == _NOT and _marks_article(name, found)
+            dropped += name in _DROPPED
+            holds = frames == _NOT and not dropped and _marks_article(name, found)
             if holds and chrome and all(x[1] != _SURELY for x in stack):
                 # an article inside says that a class like with-sidebar named the page's layout
                 stack = [(x, _NOT, held) for x, _, held in stack]

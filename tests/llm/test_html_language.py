@@ -45,6 +45,22 @@ def test_broken_markup_does_not_crash(page):
     h.blocks_of(page)
 
 
+@pytest.mark.parametrize("tag", sorted(h._DROPPED - {"head"}))
+@pytest.mark.parametrize("inner", ["<div><div><p><b>no", "<div><ul><li><a>no</a>", "<article><div><div><div><p>no</p>", "<div><div><div><p>no</p><p>no</p>"])
+def test_dropped_elements_lose_text_at_any_depth(tag, inner):
+    page = f"<body><p><a href=x>One <{tag}>{inner}</{tag}>two</a></p><p>Three</p></body>"
+    got = h.blocks_of(page)
+    assert " ".join(b["text"] for b in got) == "One two Three" and not any(b["beside"] or b["article"] for b in got)
+
+
+@pytest.mark.parametrize("start", ["<body>", "<body class=x><div>", "", "<div>", "<!-- c --><main>"])
+def test_open_head_ends_where_the_page_begins(start):
+    head = "<html><head><meta charset=x><title>no</title><link href=x><style>no</style><noscript><img><p>no</p></noscript><template><div>no</div></template>\n"
+    for body in ("<article><p>text <b>more", "text more", "<p>text more", "<div><div><div><div><div>text more"):
+        assert " ".join(b["text"] for b in h.blocks_of(head + start + body)) == "text more"
+    assert h.blocks_of(head + "</head><body>x") == h.blocks_of(head + "<body>x")
+
+
 def texts(n, seed=0):
     rng = np.random.default_rng(seed)
     parts = {"aa": ["ka", "lo", "mi", "tu", "re"], "bb": ["sch", "ung", "ein", "pf", "ze"], "cc": ["ção", "ñe", "ié", "eau", "ó"]}
