@@ -18,9 +18,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A source's boilerplate lines go from its documents; documents of nothing else go. n_chars follows the text,
+    """A source's boilerplate lines go from its documents; documents of nothing else go. Copies and near copies
+    count as one page, so that none is emptied for the others and the next stage keeps one. n_chars follows the text,
     where lines went."""
-    cut = line_ratio.drop_boilerplate(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", "text", "source"))
+    cut = line_ratio.drop_boilerplate(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", "text", "source"), once=True)
     stays = cut.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     own = {"text": F.col("text")}
     if "n_chars" in docs.columns:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltmill.llm import jaccard_forest
 from siltmill.llm.tables import written
 
 #: A line on more than this part of a host's pages is boilerplate.
@@ -27,6 +28,21 @@ def _key(line: Column) -> Column:
     return F.unhex(F.md5(F.trim(line).cast("binary")))
 
 
+def _keys(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(x) != ""), _key))
+
+
+def _often(lines: DataFrame, pages: DataFrame, ratio: float, least_pages: int) -> DataFrame:
+    """host, keys of lines (host, key: a row per page) and pages (host, pages)."""
+    counts = lines.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
+    return counts.join(pages, "host").filter(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("host").agg(F.collect_list("key").alias("keys"))
+
+
+def _small(found: DataFrame, keys: str) -> DataFrame:
+    """found, to be broadcast while its digests are few; then no text is shuffled."""
+    return F.broadcast(found) if (found.agg(F.sum(F.size(keys))).first()[0] or 0) <= MOST_BROADCAST else found
+
+
 def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """host, keys: the digests of each host's boilerplate lines; hosts without any have no row.
 
@@ -35,22 +51,46 @@ def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source
     """
     host, text = F.col(host_col), F.col(text_col)
     pages = docs.filter(host.isNotNull()).groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("pages"))
-    lines = docs.filter(host.isNotNull() & text.isNotNull()).select(host.alias("host"), F.explode(F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(x) != ""), _key))).alias("key"))
-    counts = lines.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    return counts.join(pages, "host").filter(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("host").agg(F.collect_list("key").alias("keys"))
+    lines = docs.filter(host.isNotNull() & text.isNotNull()).select(host.alias("host"), F.explode(_keys(text)).alias("key"))
+    return _often(lines, pages, ratio, least_pages)
+
+
+def boilerplate_once(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """boilerplate() that tells repeated documents from repeated lines: a host's copies of a document are one page, and
+    so are its near copies (the components of jaccard_forest.near_duplicates), as far as they hold a line that is
+    frequent among the host's distinct texts. Null texts are no pages.
+
+    A line must exceed the ratio twice, among distinct texts and among what is left when near copies count once; only
+    texts that hold a line of the first kind are compared.
+    """
+    host, text = F.col(host_col), F.col(text_col)
+    rows = docs.filter(host.isNotNull() & text.isNotNull()).select(host.alias("host"), text.alias("text"), _keys(text).alias("keys"))
+    mark = F.md5(F.col("text").cast("binary")).alias("mark")
+    texts = written(rows.select("host", mark, "keys").distinct(), "texts")
+    pages = texts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    often = written(_often(texts.select("host", F.explode("keys").alias("key")), pages, ratio, least_pages).withColumnRenamed("keys", "often"), "often")
+    if often.isEmpty():
+        return often.withColumnRenamed("often", "keys")
+    listed = _small(often, "often")
+    held = texts.join(listed, "host").select("host", "mark", F.array_intersect("keys", "often").alias("keys")).filter(F.size("keys") > 0)
+    suspects = written(rows.join(listed, "host").filter(F.arrays_overlap("keys", "often")).groupBy(mark).agg(F.first("text").alias("text")), "suspects")
+    alike = jaccard_forest.near_duplicates(suspects, "mark", "text").select("mark", F.col("component_id").alias("alike"))
+    groups = written(held.join(alike, "mark").select("host", "alike", "mark", "keys"), "alike")
+    less = groups.groupBy("host").agg((F.count(F.lit(1)) - F.count_distinct("alike")).alias("less"))
+    left = pages.join(less, "host", "left").select("host", (F.col("pages") - F.coalesce("less", F.lit(0))).alias("pages"))
+    return _often(groups.select("host", "alike", F.explode("keys").alias("key")).distinct(), left, ratio, least_pages)
 
 
-def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, once: bool = False) -> DataFrame:
     """docs with the text freed of its host's boilerplate lines, n_lines before and n_dropped; those two replace
     columns of their names.
 
     Lines are compared without the spaces around them; lines without anything else are never dropped. A null text
     stays null with 0 lines, an empty text is one empty line, a null host has no boilerplate. Repeated rows count as
-    pages and stay repeated.
+    pages and stay repeated; with `once`, copies and near copies of a document count as one page, see boilerplate_once().
     """
-    found = written(boilerplate(docs, text_col, host_col, ratio, least_pages).withColumnsRenamed({"host": "__host", "keys": "__keys"}), "boilerplate")
-    if (found.agg(F.sum(F.size("__keys"))).first()[0] or 0) <= MOST_BROADCAST:  # then no text is shuffled
-        found = F.broadcast(found)
+    lists = (boilerplate_once if once else boilerplate)(docs, text_col, host_col, ratio, least_pages)
+    found = _small(written(lists.withColumnsRenamed({"host": "__host", "keys": "__keys"}), "boilerplate"), "__keys")
     joined = docs.drop("n_lines", "n_dropped").join(found, docs[host_col] == F.col("__host"), "left").withColumn("__lines", _lines(F.col(text_col)))
     stays = F.filter("__lines", lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__keys"), _key(x)))
     left = joined.withColumn("__left", F.when(F.col("__keys").isNull(), F.col("__lines")).otherwise(stays))

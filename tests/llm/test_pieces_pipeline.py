@@ -121,3 +121,21 @@ def test_pipeline_stages_take_effect(spark):
     assert last.filter("not decodes").count() == 0 and last.filter("sample = 1").count() == mixed.count()
     for _, stage in c.STAGES:
         assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_pipeline_keeps_one_of_copies_that_fill_a_source(spark):
+    import corpus_pipeline as c
+
+    own = lambda i: "\n".join(" ".join(f"w{i}x{j}y{k}" for k in range(8)) for j in range(5))
+    menu = "the site menu line"
+    rows = [(i, f"{menu}\n{own(i)}", "s") for i in range(20)]
+    rows += [(100 + i, f"{menu}\n{own(100)}", "s") for i in range(10)]  # copies: a third
+    rows += [(200 + i, f"{own(i + 200)}", "t") for i in range(20)]
+    rows += [(300 + i, f"{own(300)}\nlast {i}", "t") for i in range(10)]  # near copies: a third
+    rows += [(400 + i, own(400), "u") for i in range(3)]  # a source of nothing but copies
+    docs = spark.createDataFrame([(i, t, "aa", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    at = dict(c.STAGES)
+    cut = at["line_dedup"](spark, docs, "").cache()
+    assert cut.count() == len(rows) and cut.filter(cut.text.contains(menu)).count() == 0 and cut.filter("doc_id >= 100 and length(text) < 200").count() == 0
+    got = sorted(r["doc_id"] for r in at["near_duplicates"](spark, cut, "").collect())
+    assert got == [*range(20), 100, *range(200, 220), 300, 400]
