@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltmill.llm import links
-from siltmill.llm.tables import written
+from siltmill.llm.tables import WORD, written
+from siltmill.operators.dedup import first_by
 
 WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # Jaccard similarity, as a fraction of integers
@@ -180,6 +181,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose id is not the one that stands for its group; rows without an id stay."""
-    gone = near_duplicates(docs, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    """docs with one row of each component: of the smallest id, then the smallest digest of the text. An id that holds
+    several texts is told apart by their digests, and rows repeated with equal id and text are one. Rows that link with
+    nothing (without an id or words) stay, repeated ones too.
+    """
+    text = F.col(text_col)
+    mark = F.struct(F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text"))
+    marked = docs.withColumn("__mark", F.when(F.col(id_col).isNotNull() & text.rlike(WORD), mark))
+    gone = near_duplicates(marked.select("__mark", text_col), "__mark", text_col).filter("NOT kept").select(F.col("__mark").alias("__gone")).distinct()
+    order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    one = first_by(marked.filter("__mark IS NOT NULL"), ["__mark"], [order])
+    return one.join(gone, F.col("__mark") == F.col("__gone"), "left_anti").unionByName(marked.filter("__mark IS NULL")).drop("__mark")

@@ -139,3 +139,13 @@ def test_pipeline_keeps_one_of_copies_that_fill_a_source(spark):
     assert cut.count() == len(rows) and cut.filter(cut.text.contains(menu)).count() == 0 and cut.filter("doc_id >= 100 and length(text) < 200").count() == 0
     got = sorted(r["doc_id"] for r in at["near_duplicates"](spark, cut, "").collect())
     assert got == [*range(20), 100, *range(200, 220), 300, 400]
+
+
+def test_one_row_of_each_component_stays(spark):
+    from siltmill.llm import jaccard_forest as j
+
+    a, b, c = (" ".join(f"{x}{k} word" for k in range(30)) for x in "abc")
+    rows = [(1, a), (1, a), (1, a), (2, b), (3, b), (3, c), (4, c), (5, ""), (5, ""), (6, None), (None, a), (None, a)]
+    got = j.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.columns == ["doc_id", "text"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(1, a), (2, b), (3, c), (5, ""), (5, ""), (6, None), (None, a), (None, a)]))
