@@ -1,8 +1,12 @@
+import time
+from html.parser import HTMLParser
+
 import numpy as np
 import pytest
 
 from siltmill.llm import html_blocks as h
 from siltmill.llm import language_id as g
+from siltmill.llm import queries
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body class="with-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> --><div class="ad">Buy &amp; save</div>
@@ -61,6 +65,88 @@ def test_open_head_ends_where_the_page_begins(start):
     assert h.blocks_of(head + "</head><body>x") == h.blocks_of(head + "<body>x")
 
 
+RUNNING = "Some words of an article stand here and go on for a while. " * 8
+UNMARKED = {
+    # a class of which one part is in the list, on the page's whole text; a title in a header of the article
+    '<div class="share-holder-report"><h1>Yearly report</h1><p>' + RUNNING + "</p><p>We sold more.</p></div>": "Yearly report " + RUNNING + "We sold more.",
+    '<div class=content><div class="article-header"><h1>Title</h1></div><p>' + RUNNING + "</p></div>": "Title " + RUNNING,
+    '<div class="share-box"><p>' + RUNNING[:60] + "</p></div><p>" + RUNNING + "</p>": RUNNING,
+    '<div class="comment-list"><article class="x"><p>' + RUNNING + "</p></article></div><p>" + RUNNING + "</p>": RUNNING,
+    # a slash in a value closes nothing, nor does one in an element of HTML
+    "<div><a href=/en/>Home</a> <a href=/de/>Heim</a> <a href=/fr/>Maison</a></div><p>" + RUNNING + "</p>": RUNNING,
+    "<div><nav/>Menu Home</div><p>" + RUNNING + "</p>": RUNNING,
+    "<p>" + RUNNING + '<svg><path d="x"/><text>no</text></svg>end</p>': RUNNING + "end",
+    # a quote counts at the start of a value only
+    "<p>" + RUNNING + "<img alt=it's src=x> middle text that's kept</p><p>" + RUNNING + "it's</p>": RUNNING + "middle text that's kept " + RUNNING + "it's",
+    "<p>" + RUNNING + '<img alt="a > b" \' title=\'<p>no\'>end</p>': RUNNING + "end",
+    # comments, end tags beyond a cell, end tags of inline elements around blocks, scripts that name their own end
+    "<!--><p>" + RUNNING + "</p><!--->end of it, which is some more text<!-- no --!> and the rest": RUNNING + "end of it, which is some more text and the rest",
+    "<aside><table><tr><td>no</aside>no</td></tr></table>no</aside><p>" + RUNNING + "</p>": RUNNING,
+    "<b><nav>no</b>no</nav><p>" + RUNNING + "</p>": RUNNING,
+    "<script>x = '</scripts><p>no'</script><p>" + RUNNING + "</p>": RUNNING,
+    '<ul><li class="ad">no no<li><p>' + RUNNING + "</ul>": RUNNING,
+}
+
+
+def test_unmarked_pages_give_their_text(spark):
+    rows = [(i, "<body>" + page) for i, page in enumerate(UNMARKED)]
+    got = {r["page_id"]: r["text"] for r in h.extract(spark.createDataFrame(rows, "page_id long, html string")).collect()}
+    assert got == {i: " ".join(text.split()) for i, text in enumerate(UNMARKED.values())}
+
+
+def test_tree_reads_the_neighbours_on_both_sides(spark):
+    assert all(f"f.{x} " in h.train(spark) for x in ("density_before", "words_after", "density_after", "hint", "other"))
+
+
+@pytest.mark.parametrize("page", ["<div>{}</span>", "<b>{}<p>a", "<div>{}<div class=ad><article>", "<div class=ad>{}<hr>x", "<b><div>{}</b>", "<table>{}</table>", "<li>{}</i>", "<textarea>{}<", "<svg>{}<g a==/>"])
+def test_reading_is_linear(page):
+    """Ten times the tags take about ten times the time."""
+
+    def seconds(n):
+        began = time.process_time()
+        h.blocks_of("".join(part * n for part in page.split("{}")))
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(30_000) < 40 * max(seconds(3000), 0.02)
+
+
+class Article(HTMLParser):
+    """The text of the article element by the standard library's parser, a block at a time."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag in h._BREAKS:
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag in h._BREAKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_query_against_another_parser(spark):
+    """Every page of the smallest tables marks its article and has nothing else in it."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    got = {r["page_id"]: r["text"] for r in queries.op2_html_text(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(pages)
+    for page in pages:
+        reader = Article()
+        reader.feed(page["html"] or "")
+        reader.close()
+        assert got[page["page_id"]] == " ".join(" ".join(b.split()) for b in reader.blocks if b.strip())
+
+
 def texts(n, seed=0):
     rng = np.random.default_rng(seed)
     parts = {"aa": ["ka", "lo", "mi", "tu", "re"], "bb": ["sch", "ung", "ein", "pf", "ze"], "cc": ["ção", "ñe", "ié", "eau", "ó"]}
