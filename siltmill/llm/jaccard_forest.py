@@ -1,22 +1,26 @@
 """N-gram Jaccard join by a MinHash LSH forest.
 
 Each document is a set of five-word shingles. A tree of the forest is a trie over labels, a label being a sequence of
-minima under the tree's own permutations; in label order, the documents below a trie node stand together. Matching
-starts at full depth and shortens the prefix a level at a time until a pair at the threshold meets in some tree with
-the target probability. What meets is then compared by exact intersection of the shingle sets.
+minima under the tree's own permutations; documents meet where they stand below one trie node, that is, share a prefix
+of their labels. The shorter the prefix, the likelier a pair of some similarity meets, and the fuller the nodes.
 
-Documents with equal shingle sets are one class throughout. Classes that meet are gathered to candidate groups
-(components over the nodes), so that each text is shipped once, not once per tree; a group is compared in blocks.
-"""
+Every document starts from its longest prefixes. Where a node of the shortest prefix is roomy (holds few others), the
+prefix is shortened that far at once: it costs little. In its crowded trees a document shortens one prefix a level at
+a time, in the least crowded tree first, until its trees together reach the target recall for a pair at the threshold.
+So crowds (documents alike without being near-duplicates) are told apart by long prefixes.
 
+What meets below a node is compared there by exact intersection of the shingle sets, every pair in the first tree in
+which it meets; components are taken of the verified links. Documents with equal shingle sets are one class throughout.
+"""
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltmill.llm import links
@@ -25,13 +29,16 @@ from siltmill.operators.dedup import first_by
 
 WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # Jaccard similarity, as a fraction of integers
-TREES, DEPTH = 16, 6
-RECALL = 0.998
+TREES, LONGEST = 24, 8  # tries, and minima of a label
+#: The recall that crowded documents reach for pairs at the threshold, and that of prefixes which are as short in all trees.
+RECALL, SURE = 0.998, 0.9999
+#: Nodes of at most so many classes are roomy.
+ROOMY = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def matched_depth(similarity: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix by which pairs of that similarity meet with the target probability."""
+def matched_depth(similarity: float, trees: int = TREES, depth: int = LONGEST, recall: float = RECALL) -> int:
+    """The longest prefix that, if it is the same in all trees, lets pairs of that similarity meet with that probability."""
     while depth > 1 and 1 - (1 - similarity**depth) ** trees < recall:
         depth -= 1
     return depth
@@ -67,24 +74,26 @@ def shingles(text: str | None, words: dict[bytes, int] | None = None, width: int
     return np.unique(_mixed(h))
 
 
-def labels(h: np.ndarray, factors: np.ndarray, trees: int = TREES) -> list[bytes]:
-    """One label per tree: DEPTH minima of 32 bits, big-endian, so that byte order is trie order."""
-    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(h), 2048):
-        part = h[None, i : i + 2048] * factors[:, None]
-        low = np.minimum(low, (part ^ (part >> np.uint64(32))).min(axis=1))
-    return [x.tobytes() for x in (low & np.uint64(0xFFFFFFFF)).astype(">u4").reshape(trees, -1)]
+def labels(h: np.ndarray, factors: np.ndarray) -> bytes:
+    """The labels of all trees one after the other: minima of 16 bits, big-endian, so that byte order is trie order."""
+    short = (h >> np.uint64(32)).astype(np.uint32)
+    low = np.full(len(factors), np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), 1024):
+        part = short[None, i : i + 1024] * factors[:, None]
+        part ^= part >> np.uint32(15)
+        np.minimum(low, (part * np.uint32(0x2C1B3C6D)).min(axis=1), out=low)
+    return (low & np.uint32(0xFFFF)).astype(">u2").tobytes()
 
 
-def _factors(trees: int, depth: int) -> np.ndarray:
-    return np.random.default_rng(20).integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def _factors(trees: int, longest: int) -> np.ndarray:
+    return np.random.default_rng(20).integers(1, 1 << 31, trees * longest, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, trees: int = TREES, longest: int = LONGEST) -> DataFrame:
     """id, key (digest of the shingle set), labels; key and labels are null without words or id."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, factors = _WordHashes(), _factors(trees, depth)
+        words, factors = _WordHashes(), _factors(trees, longest)
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
@@ -92,21 +101,72 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, trees: int = TREES,
                 yield pd.DataFrame({
                     "id": part["id"],
                     "key": [xxhash.xxh128_digest(h.tobytes()) if len(h) else None for h in sets],
-                    "labels": [labels(h, factors, trees) if len(h) else None for h in sets],
+                    "labels": [labels(h, factors) if len(h) else None for h in sets],
                 })
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return slim.mapInPandas(sign, f"id {kind}, key binary, labels array<binary>")
+    return slim.mapInPandas(sign, f"id {kind}, key binary, labels binary")
+
+
+def _node(table: Column, depth: int, longest: int) -> Column:
+    """The trie node of a tree's label at some depth."""
+    return F.xxhash64(table, F.lit(depth), F.substring("labels", table * (2 * longest) + 1, F.lit(2 * depth)))
 
 
-def candidate_groups(classes: DataFrame, depth: int) -> DataFrame:
-    """key, head: classes that meet others at that depth, with the group's head; heads stand for themselves too."""
-    at = classes.select("key", F.posexplode("labels").alias("tree", "label")).select("key", "tree", F.substring("label", 1, 4 * depth).alias("node"))
-    nodes = at.groupBy("tree", "node").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    met = at.join(nodes, ["tree", "node"]).filter("key <> head").select(F.col("key").alias("id"), F.col("head").alias("root")).distinct()
-    roots = links.components(met)
-    return roots.select(F.col("id").alias("key"), F.col("root").alias("head")).unionByName(roots.select(F.col("root").alias("key"), F.col("root").alias("head")).distinct())
+def _need(missed: float) -> float:
+    return -math.log(missed)
+
+
+def chosen_depths(sizes: dict[int, list[int]], trees: int, shortest: int, longest: int, similarity: float, recall: float) -> dict[int, int]:
+    """The prefix length in each crowded tree, given the sizes of its nodes from the shortest prefix to the longest.
+
+    The other trees count with the shortest. Prefixes shorten, that of the smallest next node first (sizes compare by
+    powers of two, so that a mate or two don't decide), until a pair of that similarity meets with the target recall.
+    """
+    gain = {d: _need(1 - similarity**d) for d in range(shortest, longest + 1)}
+    depth = dict.fromkeys(sorted(sizes), longest)
+    have = (trees - len(sizes)) * gain[shortest] + len(sizes) * gain[longest]
+    while have < _need(1 - recall):
+        open_ = [t for t in depth if depth[t] > shortest]
+        if not open_:
+            break
+        t = min(open_, key=lambda t: (sizes[t][depth[t] - 1 - shortest].bit_length(), t))
+        have += gain[depth[t] - 1] - gain[depth[t]]
+        depth[t] -= 1
+    return depth
+
+
+def forest_nodes(classes: DataFrame, trees: int, longest: int, similarity: float, recall: float, roomy: int) -> DataFrame:
+    """no, table, node: of each class the tree nodes below which it is to be compared, alone or with others."""
+    shortest = matched_depth(similarity, trees, longest, SURE)
+    every = classes.select("no", F.explode(F.array(*[F.struct(F.lit(t).alias("table"), _node(F.lit(t), shortest, longest).alias("node")) for t in range(trees)])).alias("x")).select("no", "x.*")
+    full = every.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = written(every.join(full.repartition("node", "n"), "node"), "met", narrow=True)  # see links.components()
+    crowded = met.filter(F.col("n") > roomy)
+    if crowded.isEmpty():
+        return met.select("no", "table", "node")
+    depths = F.array(*[F.struct(F.lit(d).alias("depth"), _node(F.col("table"), d, longest).alias("node")) for d in range(shortest, longest + 1)])
+    prefixes = crowded.select("no", "table").join(classes.select("no", "labels"), "no").select("no", "table", F.explode(depths).alias("x"))
+    prefixes = written(prefixes.select("no", "table", "x.*"), "prefixes", narrow=True)
+    sizes = prefixes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).repartition("node", "n")
+    mine = prefixes.join(sizes, "node").groupBy("no").agg(F.sort_array(F.collect_list(F.struct("table", "depth", "n", "node"))).alias("x"))
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            nodes: set[int] = set()
+            for rows in batch["x"]:
+                levels: dict[int, list] = {}
+                for x in rows:  # by tree, then by depth
+                    levels.setdefault(x["table"], []).append(x)
+                depth = chosen_depths({t: [int(x["n"]) for x in xs] for t, xs in levels.items()}, trees, shortest, longest, similarity, recall)
+                nodes.update(xs[depth[t] - shortest]["node"] for t, xs in levels.items())
+            yield pd.DataFrame({"node": list(nodes)}, dtype="int64")
+
+    picked = mine.mapInPandas(choose, "node long").distinct().withColumn("is", F.lit(True))
+    # a node that one document chose is that of all below it; of nested ones the outer counts
+    own = prefixes.join(picked.repartition("node", "is"), "node").groupBy("no", "table").agg(F.min_by("node", "depth").alias("node"))
+    return met.filter(F.col("n") <= roomy).select("no", "table", "node").unionByName(own)
 
 
 def linked(sets: list[np.ndarray], blocks: np.ndarray, crossed: bool, threshold: tuple[int, int] = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -148,36 +208,41 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def read(row) -> tuple | None:  # noqa: ANN001
         """The row's class with its shingles; nothing for another text of the representative's id."""
         h = shingles(row.text, words)
-        return (row.key, row.own, row.copies, h) if xxhash.xxh128_digest(h.tobytes()) == row.key else None
+        return (row.no, row.own, row.copies, row.marks, h) if xxhash.xxh128_digest(h.tobytes()) == row.key else None
 
-    for (_, i, j), classes in links.units(batches, ["head", "unit_i", "unit_j"], "key", read):
-        classes.sort(key=lambda c: c[0])  # then the smallest index is the smallest key
-        keys, blocks, copies, sets = zip(*classes)
+    for (_, table, i, j), classes in links.units(batches, BY, "no", read):
+        classes.sort(key=lambda c: c[0])  # then the smallest index is the smallest number
+        numbers, blocks, copies, marks, sets = zip(*classes)
         a, b = linked(list(sets), np.array(blocks), i != j)
-        if len(a):
-            yield links.unit_report(keys, np.array(copies), a, b)
+        first = links.met_first(np.stack(marks), table, a, b)
+        if first.any():
+            yield links.unit_report(np.array(numbers), np.array(copies), a[first], b[first])
+
+
+BY = ["node", "table", "unit_i", "unit_j"]
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, longest: int = LONGEST, recall: float = RECALL, roomy: int = ROOMY) -> DataFrame:
     """One row per row of docs: id, component_id, copies, n_links, kept.
 
     n_links counts the other documents of Jaccard similarity >= 0.8 over five-word shingles (words as they are, split
     at ASCII white space; texts of one to four words are one shingle). component_id is the smallest id reachable by
     links; the row whose id that is is kept. Rows without words (null, empty) or without an id link with nothing, are
-    their own component and kept. Rows that share an id and a text are copies that stay or go together. Other columns
-    are ignored.
+    their own component and kept. Rows that share an id and a text are copies that stay or go together. An empty table
+    gives an empty table; other columns, whatever their names, are ignored.
     """
-    signed = written(signatures(docs, id_col, text_col, trees, depth), "signatures")
-    classes = written(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")), "classes")
-    groups = written(candidate_groups(classes, matched_depth(THRESHOLD[0] / THRESHOLD[1], trees, depth, recall)), "groups", narrow=True)
-    sizes = groups.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-    members = groups.join(sizes, "head").join(classes.select("key", "rep", "copies"), "key")
+    signed = written(signatures(docs, id_col, text_col, trees, longest), "signatures")
+    classes = links.numbered(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")))
+    members = written(forest_nodes(classes, trees, longest, THRESHOLD[0] / THRESHOLD[1], recall, roomy), "members", narrow=True)
+    met = written(links.meetings(members), "meetings", narrow=True)
+    nodes = members.join(met.select("no").distinct(), "no", "left_semi").groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("table", "node"))).alias("m"))
+    marks = nodes.select("no", F.array(*[F.coalesce(F.try_element_at("m", F.lit(t)), F.col("no")) for t in range(trees)]).alias("marks"))
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-    placed = links.in_blocks(members.join(texts, "rep"), F.col("n"), F.col("key"))
-    by = ["head", "unit_i", "unit_j"]
-    ready = placed.select(*by, "own", "key", "copies", "text").repartition(*by).sortWithinPartitions(*by)
-    found = written(ready.mapInPandas(_compare, "key binary, links long, root binary"), "links")
-    return links.resolve(signed.withColumnRenamed("id", id_col), classes.select("key", "rep", "copies"), found, id_col)
+    known = classes.select("no", "key", "rep", "copies").join(marks, "no").join(texts, "rep").drop("rep")  # each text once
+    placed = links.in_blocks(met, F.col("n"), F.col("no")).select(*BY, "own", "no")
+    ready = placed.join(known, "no").repartition(*BY).sortWithinPartitions(*BY)
+    found = written(ready.mapInPandas(_compare, links.REPORT), "links", narrow=True)
+    return links.resolve(signed.withColumnRenamed("id", id_col), classes.select("no", "key", "rep", "copies"), found, id_col)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

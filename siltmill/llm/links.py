@@ -1,8 +1,10 @@
 """From groups that may hold links to link counts and components, without a list of pairs.
 
-Rows with equal content form a class; the operators link classes. A group of classes that may link is cut into blocks
-of bounded size and every pair of blocks is one task's unit of work, so a group of any size is compared whole, by many
-tasks. A unit reports, per class, the documents it links and the smallest class it reaches: never the pairs.
+Rows with equal content form a class; the operators link classes. Classes meet in the nodes of several tables (trees,
+hash tables); a pair that meets in several counts in the first of these only, which both classes' nodes tell. A node is
+cut into blocks of bounded size and every pair of blocks is one task's unit of work, so a node of any size is compared
+whole, by many tasks. A unit reports, per class, the documents it links and the smallest class it reaches: never the
+pairs. Components are taken of what was found to link, never of what merely met.
 """
 
 from __future__ import annotations
@@ -17,7 +19,29 @@ from pyspark.sql import functions as F
 from siltmill.llm.tables import written
 
 #: Classes in a block; a unit compares two blocks at most.
-BLOCK = 256
+BLOCK = 128
+
+
+def numbered(classes: DataFrame) -> DataFrame:
+    """classes as a table with a number of each in `no`."""
+    return written(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
+
+
+def meetings(members: DataFrame) -> DataFrame:
+    """members (no, table, node; nodes are of one table each) of the nodes that hold several, with their number n. Of
+    nodes with the same members that of the first table stays: what meets in the others has met there."""
+    marks = [F.bit_xor(F.xxhash64("no")).alias("x"), F.bit_xor(F.xxhash64("no", F.lit(1))).alias("y")]
+    nodes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *marks, F.min("table").alias("table")).filter("n > 1")
+    first = nodes.groupBy("n", "x", "y").agg(F.min_by("node", "table").alias("node")).select("node", "n")
+    return members.join(first.repartition("node", "n"), "node")  # see components()
+
+
+def met_first(marks: np.ndarray, table: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) share no node of an earlier table; marks has a row per class, a column per table."""
+    first = np.ones(len(a), bool)
+    for t in range(table):
+        first &= marks[a, t] != marks[b, t]
+    return first
 
 
 def in_blocks(members: DataFrame, size: Column, key: Column, block: int = BLOCK) -> DataFrame:
@@ -58,12 +82,15 @@ def reach(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def unit_report(keys: Sequence, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    """key, links, root of a unit's linked classes; (a, b) are its links."""
-    links = np.bincount(a, copies[b], len(keys)) + np.bincount(b, copies[a], len(keys))
-    root = reach(len(keys), a, b)
+REPORT = "no long, links long, root long"
+
+
+def unit_report(numbers: np.ndarray, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """REPORT of a unit's linked classes, which stand by number; (a, b) are its links."""
+    links = np.bincount(a, copies[b], len(numbers)) + np.bincount(b, copies[a], len(numbers))
+    root = reach(len(numbers), a, b)
     hit = np.flatnonzero(links)
-    return pd.DataFrame({"key": [keys[i] for i in hit], "links": links[hit].astype(np.int64), "root": [keys[i] for i in root[hit]]})
+    return pd.DataFrame({"no": numbers[hit], "links": links[hit].astype(np.int64), "root": numbers[root[hit]]})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -97,12 +124,12 @@ def components(edges: DataFrame) -> DataFrame:
 def resolve(rows: DataFrame, classes: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
     """id, component_id (smallest id of the component), copies (rows of equal content), n_links, kept, of every row.
 
-    rows: id, key (null: links with nothing); classes: key, rep (smallest id), copies; found: reports of the units.
+    rows: id, key (null: links with nothing); classes: no, key, rep (smallest id), copies; found: reports of the units.
     A row without an id or key is alone: no links, its own component, kept.
     """
-    roots = components(found.select(F.col("key").alias("id"), "root")).withColumnsRenamed({"id": "key", "root": "to"})
-    links = found.groupBy("key").agg(F.sum("links").alias("links"))
-    known = classes.join(links, "key", "left").join(roots, "key", "left").withColumn("to", F.coalesce("to", "key"))
+    roots = components(found.select(F.col("no").alias("id"), "root")).withColumnsRenamed({"id": "no", "root": "to"})
+    links = found.groupBy("no").agg(F.sum("links").alias("links"))
+    known = classes.join(links, "no", "left").join(roots, "no", "left").withColumn("to", F.coalesce("to", "no"))
     heads = known.groupBy("to").agg(F.min("rep").alias("component_id")).repartition("to", "component_id")  # see components()
     info = known.join(heads, "to").select("key", "component_id", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     alone = F.col("component_id").isNull()

@@ -4,6 +4,8 @@ A normalised vector is projected on Gaussian directions, shifted and cut into st
 projections are its bucket there. Vectors of cosine c are sqrt(2 - 2c) apart, which fixes the chance to share a
 bucket. Vectors that share one are compared by their exact cosine in double precision.
 
+The number of projections follows the number of vectors, so that few unrelated ones share a bucket however many there
+are, and the number of tables follows the target recall: both grow with the logarithm and a small power of the rows.
 A pair that shares buckets of several tables counts in the first of these only, which both bucket lists tell without
 a list of pairs. Equal vectors are one class throughout; large buckets are compared in blocks.
 """
@@ -24,12 +26,13 @@ from siltmill.llm import links
 from siltmill.llm.tables import written
 
 THRESHOLD = 0.95
-#: 16 projections of step 2 meet with probability 0.115 at the threshold and 1e-5 for unrelated vectors; 40 tables
-#: find 0.992 of the pairs at the threshold, more above it.
-TABLES, PROJECTIONS, STEP = 40, 16, 2.0
+STEP = 2.0
+#: Unrelated vectors that a vector may share a table's bucket with, on average.
+STRANGERS = 0.1
+RECALL = 0.998
 
 
-def meeting_chance(cosine: float, tables: int = TABLES, projections: int = PROJECTIONS, step: float = STEP) -> float:
+def meeting_chance(cosine: float, projections: int, tables: int, step: float = STEP) -> float:
     """The probability that vectors of that cosine share a bucket of some table."""
     far = math.sqrt(2 - 2 * cosine)
     if far == 0:
@@ -39,6 +42,15 @@ def meeting_chance(cosine: float, tables: int = TABLES, projections: int = PROJE
     return 1 - (1 - one**projections) ** tables
 
 
+def plan(n: int, threshold: float = THRESHOLD, recall: float = RECALL, strangers: float = STRANGERS, step: float = STEP) -> tuple[int, int]:
+    """Projections of a table and tables, for n vectors: at right angles, all but `strangers` of them differ in a
+    table's bucket; at the threshold, two share one of some table with the target recall."""
+    apart = meeting_chance(0.0, 1, 1, step)
+    projections = max(4, math.ceil(math.log(max(n, 2) / strangers) / -math.log(apart)))
+    near = meeting_chance(threshold, projections, 1, step)
+    return projections, 1 if near >= recall else math.ceil(math.log(1 - recall) / math.log1p(-near))
+
+
 def _usable(v: object) -> np.ndarray | None:
     """The vector in double precision with -0 as 0; None if it is null, empty, zero or not finite throughout."""
     if v is None:
@@ -66,18 +78,12 @@ def buckets(x: np.ndarray, tables: int, projections: int, step: float) -> np.nda
     return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _signed(batches: Iterator[pd.DataFrame], tables: int, projections: int, step: float) -> Iterator[pd.DataFrame]:
+def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for whole in batches:
         for at in range(0, len(whole), 1000):
             batch = whole.iloc[at : at + 1000]
             vectors = [None if missing else _usable(v) for v, missing in zip(batch["embedding"], batch["id"].isna())]
-            keys = [None if v is None else hashlib.md5(v.tobytes()).digest() for v in vectors]
-            found: list = [None] * len(vectors)
-            for size in {len(v) for v in vectors if v is not None}:
-                mine = [i for i, v in enumerate(vectors) if v is not None and len(v) == size]
-                for i, row in zip(mine, buckets(np.stack([vectors[i] for i in mine]), tables, projections, step)):
-                    found[i] = row
-            yield pd.DataFrame({"id": batch["id"], "key": keys, "vector": vectors, "buckets": found})
+            yield pd.DataFrame({"id": batch["id"], "key": [None if v is None else hashlib.md5(v.tobytes()).digest() for v in vectors], "vector": vectors})
 
 
 def linked(x: np.ndarray, marks: np.ndarray, table: int, blocks: np.ndarray, crossed: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -86,44 +92,51 @@ def linked(x: np.ndarray, marks: np.ndarray, table: int, blocks: np.ndarray, cro
     if crossed:
         close &= blocks[:, None] != blocks[None, :]
     a, b = np.nonzero(np.triu(close, 1))
-    first = np.ones(len(a), bool)
-    for k in range(table):
-        first &= marks[a, k] != marks[b, k]
+    first = links.met_first(marks, table, a, b)
     return a[first], b[first]
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tables: int = TABLES, projections: int = PROJECTIONS, step: float = STEP) -> DataFrame:
+BY = ["node", "table", "unit_i", "unit_j"]
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL, strangers: float = STRANGERS, step: float = STEP) -> DataFrame:
     """One row per row of vectors: id, component_id, copies, n_links, kept.
 
     Vectors that are null, empty or zero, or hold nulls or non-finite components, link with nothing, like rows without
-    an id; vectors of different lengths never link. Repeated rows are copies and link with each other. Other columns
-    are ignored.
+    an id; vectors of different lengths never link. Repeated rows are copies and link with each other. An empty table
+    gives an empty table; other columns, whatever their names, are ignored.
     """
+    kind = vectors.schema[id_col].dataType.simpleString()
+    vector = "array<float>" if vectors.schema[vector_col].dataType.elementType == FloatType() else "array<double>"  # no wider than it came
+    slim = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
+    keyed = written(slim.mapInPandas(_keyed, f"id {kind}, key binary, vector {vector}"), "vectors")
+    classes = links.numbered(keyed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")))
+    projections, tables = plan(classes.count(), threshold, recall, strangers, step)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _signed(batches, tables, projections, step)
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                batch = whole.iloc[at : at + 1000]
+                sizes = batch["vector"].map(len)
+                for size in sizes.unique():
+                    mine = batch[sizes == size]
+                    yield pd.DataFrame({"no": mine["no"], "buckets": list(buckets(np.stack(mine["vector"]).astype(np.float64), tables, projections, step))})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (table, _, i, j), rows in links.units(batches, ["table", "bucket", "unit_i", "unit_j"], "key", lambda row: row):
-            rows.sort(key=lambda r: r.key)  # then the smallest index is the smallest key
+        for (_, table, i, j), rows in links.units(batches, BY, "no", lambda row: row):
+            rows.sort(key=lambda r: r.no)  # then the smallest index is the smallest number
             for size in {len(r.vector) for r in rows}:
                 mine = [r for r in rows if len(r.vector) == size]
                 x = unit_vectors(np.stack([r.vector for r in mine]).astype(np.float64))
                 a, b = linked(x, np.stack([r.buckets for r in mine]), table, np.array([r.own for r in mine]), i != j, threshold)
                 if len(a):
-                    yield links.unit_report([r.key for r in mine], np.array([r.copies for r in mine]), a, b)
-
-    kind = vectors.schema[id_col].dataType.simpleString()
-    vector = "array<float>" if vectors.schema[vector_col].dataType.elementType == FloatType() else "array<double>"  # no wider than it came
-    slim = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
-    signed = written(slim.mapInPandas(sign, f"id {kind}, key binary, vector {vector}, buckets array<int>"), "vectors")
-    first = {c: F.first(c).alias(c) for c in ("vector", "buckets")}
-    classes = written(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), *first.values()), "classes")
-    at = classes.select("key", F.posexplode("buckets").alias("table", "bucket"))
-    sizes = at.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    by = ["table", "bucket", "unit_i", "unit_j"]
-    placed = links.in_blocks(at.join(sizes, ["table", "bucket"]), F.col("n"), F.col("key"))
-    ready = placed.select(*by, "own", "key").join(classes.select("key", "copies", "vector", "buckets"), "key")
-    ready = ready.select(*by, "own", "key", "copies", "vector", "buckets").repartition(*by).sortWithinPartitions(*by)
-    found = written(ready.mapInPandas(compare, "key binary, links long, root binary"), "links")
-    return links.resolve(signed.withColumnRenamed("id", id_col), classes.select("key", "rep", "copies"), found, id_col)
+                    yield links.unit_report(np.array([r.no for r in mine]), np.array([r.copies for r in mine]), a, b)
+
+    signed = written(classes.select("no", "vector").mapInPandas(sign, "no long, buckets array<int>"), "buckets")
+    spread = signed.select("no", F.posexplode("buckets").alias("table", "bucket"))
+    met = written(links.meetings(spread.select("no", "table", F.shiftleft(F.col("table").cast("long"), 32).bitwiseOR(F.col("bucket").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("node"))), "meetings", narrow=True)
+    known = classes.select("no", "copies", "vector").join(signed, "no")
+    placed = links.in_blocks(met, F.col("n"), F.col("no")).select(*BY, "own", "no")
+    ready = placed.join(known, "no").repartition(*BY).sortWithinPartitions(*BY)
+    found = written(ready.mapInPandas(compare, links.REPORT), "links", narrow=True)
+    return links.resolve(keyed.select(F.col("id").alias(id_col), "key"), classes.select("no", "key", "rep", "copies"), found, id_col)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from siltmill.llm import jaccard_forest as j
-from siltmill.llm import links
+from siltmill.llm import links, queries
 from siltmill.llm import vector_hash as v
 
 
@@ -115,6 +115,50 @@ def test_depth_follows_the_target_recall():
     assert j.matched_depth(0.99, 16, 6, 0.9) == 6
 
 
+def test_prefixes_shorten_where_it_crowds_least():
+    pair = lambda depth, crowded: 1 - (1 - 0.8**5) ** (24 - len(crowded)) * np.prod([1 - 0.8 ** depth[t] for t in crowded])
+    crowd = {t: [4000 * (t + 1), 900 * (t + 1), 200 * (t + 1), 70] for t in range(24)}
+    got = j.chosen_depths(crowd, 24, 5, 8, 0.8, 0.998)
+    assert 0.998 <= pair(got, crowd) < 0.9995 and got[0] < got[23] == 8
+    few = {t: crowd[t] for t in (3, 9)}
+    assert j.chosen_depths(few, 24, 5, 8, 0.8, 0.998) == {3: 8, 9: 8}  # the other trees reach the target
+    assert set(j.chosen_depths(crowd, 24, 5, 8, 0.8, 1 - 1e-12).values()) == {5}  # out of reach: as short as can be
+
+
+def test_crowded_nodes_lose_no_link(spark):
+    """Templates that share two thirds of their shingles, with near copies among them, where any node counts as crowded."""
+    rng = random.Random(11)
+    frame = words(rng, 260)
+    texts = []
+    for i in range(40):
+        own = [f"own{i}w{k}" for k in range(60)]
+        texts += [" ".join(frame + own), " ".join(frame + own[:-6] + [f"tail{i}"] * 3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [set(j.shingles(t).tolist()) for t in texts]
+    deg, root = brute(list(range(len(texts))), [1] * len(texts), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    for roomy in (1, 6, 64):
+        got = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in j.near_duplicates(df, roomy=roomy).collect()}
+        assert got == {i: (deg[i], root[i]) for i in range(len(texts))}, roomy
+    signed = j.signatures(df, "doc_id", "text").withColumnRenamed("id", "no")
+    crowded = j.forest_nodes(signed, j.TREES, j.LONGEST, 0.8, j.RECALL, 6).groupBy("node").count().agg({"count": "max"}).first()[0]
+    assert crowded < j.forest_nodes(signed, j.TREES, j.LONGEST, 0.8, j.RECALL, 64).groupBy("node").count().agg({"count": "max"}).first()[0]
+
+
+def test_jaccard_query_against_brute_force(spark):
+    """All rows of the smallest table."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    sets = []
+    for r in rows:
+        w = (r["text"] or "").encode().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    deg, root = brute(list(range(len(rows))), [1] * len(rows), lambda a, b: bool(sets[a]) and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    ids = [r["doc_id"] for r in rows]
+    least = {k: min(ids[i] for i in range(len(rows)) if root[i] == k) for k in set(root)}
+    got = queries.op1_jaccard_join(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["doc_id"], r["n_links"], r["class_id"], r["kept"]) for r in got} == {(ids[i], deg[i], least[root[i]], ids[i] == least[root[i]]) for i in range(len(rows))}
+    assert len(got) == len(rows)
+
+
 @pytest.mark.parametrize("n", [2, 3, 30])
 def test_exact_intersections(n):
     rng = np.random.default_rng(n)
@@ -150,11 +194,34 @@ def test_vector_edges_and_recall(spark):
     got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0) for r in v.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
     assert got == [(0, 0, 0), (1, 1, 1), (1, 1, 1), (2, 1, 2), (3, 1, 2)]
     assert v.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
-    assert v.meeting_chance(0.95) > 0.99
+    projections, tables = v.plan(400)
+    assert v.meeting_chance(0.95, projections, tables) > 0.99
     rng = np.random.default_rng(0)
     a = v.unit_vectors(rng.standard_normal((400, 64)))
     side = rng.standard_normal((400, 64))
     side = v.unit_vectors(side - (side * a).sum(1, keepdims=True) * a)
     b = 0.95 * a + np.sqrt(1 - 0.95**2) * side
-    met = (v.buckets(a, v.TABLES, v.PROJECTIONS, v.STEP) == v.buckets(b, v.TABLES, v.PROJECTIONS, v.STEP)).any(axis=1)
+    met = (v.buckets(a, tables, projections, v.STEP) == v.buckets(b, tables, projections, v.STEP)).any(axis=1)
     assert met.mean() > 0.97
+
+
+@pytest.mark.parametrize("n", [0, 1, 500, 10**4, 10**6, 10**9])
+def test_plan_keeps_recall_and_strangers_apart(n):
+    projections, tables = v.plan(n)
+    assert v.meeting_chance(0.95, projections, tables) >= v.RECALL
+    assert n * v.meeting_chance(0.0, projections, 1) <= v.STRANGERS or projections == 4
+    assert tables < 30 * max(n, 2) ** 0.15  # a small power of the rows
+
+
+def test_vector_query_against_brute_force(spark):
+    """All rows of the smallest table."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
+    x = np.array([r["embedding"] for r in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    close = x @ x.T >= 0.95
+    deg, root = brute(list(range(len(rows))), [1] * len(rows), lambda a, b: close[a, b])
+    ids = [r["vec_id"] for r in rows]
+    least = {k: min(ids[i] for i in range(len(rows)) if root[i] == k) for k in set(root)}
+    want = {(ids[i], deg[i], least[root[i]], ids[i] == least[root[i]]) for i in range(len(rows))}
+    got = queries.op5_vector_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got} == want and len(got) == len(rows)
