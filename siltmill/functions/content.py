@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltmill.functions.text import let, split_lines
+from siltmill.functions.text import split_lines
 
 LEAST_ALPHANUM, MOST_HEX, MOST_LINES, MOST_AVERAGE, MOST_LENGTH = 0.25, 0.25, 100_000, 100, 1000
 # Languages of documents, and words that an English text has.
@@ -19,25 +19,17 @@ def content_stats(text: Column) -> Column:
     All are 0 for an empty text and null for a null one.
     """
     n = F.length(text)
-    share = lambda keep: F.length(F.regexp_replace(text, f"[^{keep}]+", "")).cast("double") / n
+    share = lambda left: left.cast("double") / n
     zero = lambda c, kind: F.when(n == 0, F.lit(0).cast(kind)).when(n > 0, c.cast(kind))
-
-    def of_lines(lengths: Column) -> Column:
-        total = F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x)
-        return F.struct(
-            zero(F.size(lengths), "long").alias("num_lines"),
-            zero(F.try_divide(total.cast("double"), F.size(lengths)), "double").alias("avg_line_length"),
-            zero(F.array_max(lengths), "long").alias("max_line_length"),
-        )
-
-    shares = F.struct(
-        zero(share(r"\p{L}\p{N}"), "double").alias("alphanum_fraction"),
-        zero(share(r"\p{L}"), "double").alias("alpha_fraction"),
-        zero((n - F.length(F.replace(text, F.lit("\\x"), F.lit("")))).cast("double") / n, "double").alias("hex_fraction"),
+    lines = split_lines(text)
+    return F.struct(
+        zero(share(F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))), "double").alias("alphanum_fraction"),
+        zero(share(F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))), "double").alias("alpha_fraction"),
+        zero(share(n - F.length(F.replace(text, F.lit("\\x"), F.lit("")))), "double").alias("hex_fraction"),
+        zero(F.size(lines), "long").alias("num_lines"),
+        zero(F.try_divide(F.length(F.array_join(lines, "")).cast("double"), F.size(lines)), "double").alias("avg_line_length"),
+        zero(F.array_max(F.transform(lines, F.length)), "long").alias("max_line_length"),
     )
-    lines = let(F.transform(split_lines(text), lambda x: F.length(x)), of_lines)
-    names = [("s", c) for c in ("alphanum_fraction", "alpha_fraction", "hex_fraction")] + [("l", c) for c in ("num_lines", "avg_line_length", "max_line_length")]
-    return let(F.struct(shares.alias("s"), lines.alias("l")), lambda x: F.struct(*[x[a][c].alias(c) for a, c in names]))
 
 
 def is_valid(text: Column, language: Column, path: Column | None = None, languages: tuple[str, ...] | None = None, dependency_files: tuple[str, ...] | None = None) -> Column:
@@ -49,11 +41,9 @@ def is_valid(text: Column, language: Column, path: Column | None = None, languag
         listed = F.coalesce(language.isin(*languages), F.lit(False)) | F.element_at(F.split(path, "/", -1), -1).isin(*dependency_files)
     english = ~F.coalesce(language == "Markdown", F.lit(False)) | text.rlike(ENGLISH)
 
-    def within(s: Column) -> Column:
-        short = (s["avg_line_length"] < MOST_AVERAGE) & (s["max_line_length"] < MOST_LENGTH)
-        return (s["alphanum_fraction"] > LEAST_ALPHANUM) & (s["hex_fraction"] < MOST_HEX) & (s["num_lines"] < MOST_LINES) & (document | short)
-
-    return let(content_stats(text), within) & listed & english
+    s = content_stats(text)
+    short = (s["avg_line_length"] < MOST_AVERAGE) & (s["max_line_length"] < MOST_LENGTH)
+    return (s["hex_fraction"] < MOST_HEX) & (s["num_lines"] < MOST_LINES) & (document | short) & (s["alphanum_fraction"] > LEAST_ALPHANUM) & listed & english
 
 
 def valid_files(files: Column, text: str = "base_content", language: str = "base_language") -> Column:

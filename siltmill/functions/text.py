@@ -53,10 +53,13 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+_SEPARATOR = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
 def split_lines(text: Column) -> Column:
     """Lines by any line separator; a separator at the end begins no line, and an empty text has none."""
-    parts = F.split(text, "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]", -1)
-    return let(parts, lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
+    closed = F.regexp_replace(text, f"(?:{_SEPARATOR})\\z", "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(closed, _SEPARATOR, -1))
 
 
 def base_path(path: Column) -> Column:
@@ -192,10 +195,3 @@ def split_before(text: Column, marks: tuple[str, ...]) -> Column:
     """Pieces of a text that begin at any of the marks."""
     safe = "|".join("\\Q" + m + "\\E" for m in marks)
     return F.filter(F.split(text, f"(?=(?:{safe}))", -1), lambda x: x != "")
-
-
-def is_identifier(line: Column) -> Column:
-    """Whether a line is one name or attribute, call or index of it."""
-    bare = F.regexp_replace(line, r"^\s+|\s+$", "")
-    words = ("False", "None", "True", "and", "as", "assert", "async", "await", "break", "class", "continue", "def", "del", "elif", "else", "except", "finally", "for", "from", "global", "if", "import", "in", "is", "lambda", "nonlocal", "not", "or", "pass", "raise", "return", "try", "while", "with", "yield")
-    return bare.rlike(r"^\w+[\.\w+\(\)\d]*$") & ~bare.isin(*words)

@@ -56,6 +56,15 @@ def with_rank(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return dealt.join(F.broadcast(starts), "__range").withColumn("__rank", own + F.col("__start")).drop("__range", "__start")
 
 
+def with_previous(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """key, order and, under `name`, the order value of the row before it among those of equal key; a key's first row
+    goes. Rows meet their neighbours by rank, so a key with a third of all rows is no single task's; whatever else
+    belongs to the two rows is joined to their order values, which must be unique."""
+    ranked = with_rank(df.select(key, order), [key, order])
+    before = ranked.select((F.col("__rank") + 1).alias("__rank"), F.col(key).alias("__key"), F.col(order).alias(name))
+    return ranked.join(before, "__rank").filter(F.col(key).eqNullSafe(F.col("__key"))).select(key, order, name)
+
+
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """df with the number of rows that share its key, nulls too: counted before it is joined back, so that a key with
     a third of all rows is no single task's."""

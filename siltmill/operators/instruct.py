@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A fixed value: the language numbers of contest solutions.
@@ -38,6 +38,16 @@ def contest_text(description: Column, firsts: Column) -> Column:
     return F.regexp_replace(F.concat(description, F.lit("\n"), F.array_join(shown, "")), r"^\s+|\s+$", "")
 
 
+def answered(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text", asks: str = "user", answers: str = "assistant") -> DataFrame:
+    """key, order, content: each question that an answer follows directly, and the answer, a line each.
+
+    The window holds a conversation's turns, which are few; order is unique within a key.
+    """
+    w = Window.partitionBy(key).orderBy(order)
+    paired = turns.withColumns({"__next": F.lead(text).over(w), "__next_role": F.lead(role).over(w)})
+    return paired.filter((F.col(role) == asks) & (F.col("__next_role") == answers)).select(key, order, F.concat_ws("\n", text, "__next").alias("content"))
+
+
 def task_texts(rows: DataFrame) -> DataFrame:
     """task_name, task_description, language_name, code -> content per task, its solutions by language and code."""
     shown = F.concat(F.lit("Language: "), "language_name", F.lit("\n"), "code")

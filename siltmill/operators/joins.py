@@ -87,11 +87,18 @@ def without_listed(df: DataFrame, files: str, listed: Sequence[tuple[str, str]],
     return kept.filter(F.size(files) > 0)
 
 
-def first_match_chain(df: DataFrame, hops: Sequence[tuple[DataFrame, str, str, Mapping[str, str]]]) -> DataFrame:
+def first_match_chain(df: DataFrame, hops: Sequence[tuple[DataFrame, str, str, Mapping[str, str]]], records: Sequence[str] = ()) -> DataFrame:
     """Follows keys from table to table. Each hop is (table, the column of df to look up, the table's key, columns to
-    add: new name by table column); of several rows with a key, the smallest counts. Every row of df stays."""
-    for table, here, there, columns in hops:
-        one = table.groupBy(F.col(there).alias("__key")).agg(F.min(F.struct(*columns)).alias("__row"))
+    add: new name by table column); of several rows with a key, the smallest counts. Every row of df stays.
+
+    records: names, a hop each, of columns for all of its table's rows with the key, as a JSON list of records in the
+    rows' order; null without one.
+    """
+    for i, (table, here, there, columns) in enumerate(hops):
+        kept = {"__row": F.min(F.struct(*columns))}
+        if i < len(records):
+            kept[records[i]] = F.to_json(F.sort_array(F.collect_list(F.struct(*table.columns))), {"ignoreNullFields": "false"})
+        one = table.filter(F.col(there).isNotNull()).groupBy(F.col(there).alias("__key")).agg(*[c.alias(name) for name, c in kept.items()])
         df = df.join(one, F.col(here) == F.col("__key"), "left")
         df = df.withColumns({new: F.col(f"__row.{old}") for old, new in columns.items()}).drop("__key", "__row")
     return df

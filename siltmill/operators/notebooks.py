@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import hashlib
 import warnings
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -62,7 +63,8 @@ class _Table(HTMLParser):
 
 
 def markdown_of(html: str | None) -> str | None:
-    """The first table as Markdown: at most five columns and the first five rows; empty without a table or rows."""
+    """The first table as Markdown: at most five columns and, of more than five rows, five drawn ones, whose digests
+    with the table's text are the smallest; empty without a table or rows."""
     if html is None:
         return None
     table = _Table()
@@ -72,7 +74,10 @@ def markdown_of(html: str | None) -> str | None:
         return ""
     heads = [text for kind, text in table.rows[0] if kind == "th"][:MOST_COLUMNS]
     rows = [[text for kind, text in row if kind == "td"][:MOST_COLUMNS] for row in table.rows[1:]]
-    rows = [r for r in rows if r][:MOST_ROWS]
+    if len(rows) > MOST_ROWS:
+        drawn = sorted(range(len(rows)), key=lambda i: hashlib.sha256(f"{i}|{html}".encode("utf-8", "surrogatepass")).digest())
+        rows = [rows[i] for i in drawn[:MOST_ROWS]]
+    rows = [r for r in rows if r]
     line = lambda cells: "| " + " | ".join(cells) + " |"
     return "\n".join(([line(heads), line(["---"] * len(heads))] if heads else []) + [line(r) for r in rows])
 

@@ -1,6 +1,6 @@
 """The registered queries: name -> (spark, folder) -> DataFrame, and the SQL of those that SQL expresses."""
 
-from siltmill.queries import corpus, relational, texts
+from siltmill.queries import corpus, events, relational, stored, texts
 
-QUERIES = {**relational.QUERIES, **texts.QUERIES, **corpus.QUERIES}
-ORACLE = {**relational.ORACLE, **texts.ORACLE, **corpus.ORACLE}
+QUERIES = {**relational.QUERIES, **texts.QUERIES, **corpus.QUERIES, **events.QUERIES, **stored.QUERIES}
+ORACLE = {**relational.ORACLE, **texts.ORACLE, **corpus.ORACLE, **events.ORACLE, **stored.ORACLE}

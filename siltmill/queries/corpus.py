@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.operators import compiled, diffs, histories, instruct, joins, notebooks, tree
+from siltmill.operators import compiled, dedup, diffs, histories, instruct, joins, notebooks, tree
 from siltmill.plans import license_typing, pull_render, repo_merge
 from siltmill.sources.readers import table
 
@@ -135,9 +135,7 @@ def group_concat_by_problem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT conv_id, turn, text || chr(10) || next AS content FROM (SELECT *, lead(text) OVER w AS next, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND next_role = 'assistant'""")
 def qa_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    paired = _turns(spark, sf_dir).withColumns({"next": F.lead("text").over(w), "next_role": F.lead("role").over(w)})
-    return paired.filter("role = 'user' AND next_role = 'assistant'").select("conv_id", "turn", F.concat_ws("\n", "text", "next").alias("content"))
+    return instruct.answered(_turns(spark, sf_dir))
 
 
 @query("""
@@ -182,7 +180,8 @@ def notebook_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("file_id").alias("conv_id"), (F.length("script") > 0).alias("has_script"))
 
 
-@query(None)
+@query("""
+SELECT n_regionkey, '| name | region |' || chr(10) || '| --- | --- |' || string_agg(chr(10) || '| ' || n_name || ' | ' || n_regionkey || ' |', '' ORDER BY n_name || '<') AS markdown FROM nation GROUP BY n_regionkey""")
 def html_table_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.concat(F.lit("<tr><td>"), F.col("n_name"), F.lit("</td><td>"), F.col("n_regionkey").cast("string"), F.lit("</td></tr>"))
     regions = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_join(F.sort_array(F.collect_list(row)), "").alias("rows"))
@@ -190,17 +189,23 @@ def html_table_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.select("n_regionkey", notebooks.table_markdown(html).alias("markdown"))
 
 
+def _beside_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, before, text: each document and the one before it in its source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    pairs = dedup.with_previous(docs, "source", "doc_id", "before_id").select("doc_id", "before_id")
+    texts = docs.select("doc_id", "text")
+    return pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("before_id"), F.col("text").alias("before")), "before_id").filter("before IS NOT NULL")
+
+
 @query(None)
 def line_diff_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("doc_id")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text").withColumn("before", F.lag("text").over(w)).filter("before IS NOT NULL")
+    docs = _beside_previous(spark, sf_dir)
     return docs.select("doc_id", diffs.change_range(F.col("before"), F.col("text")).alias("r")).select("doc_id", "r.*")
 
 
 @query(None)
 def diff_hunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("doc_id")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text").withColumn("before", F.lag("text").over(w)).filter("before IS NOT NULL")
+    docs = _beside_previous(spark, sf_dir)
     return docs.select("doc_id", diffs.hunks(F.col("before"), F.col("text"), F.lit(0)).alias("hunks"))
 
 

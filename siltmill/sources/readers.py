@@ -28,16 +28,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def json_records(spark: SparkSession, path: str, schema: str, only: str = "*.json*") -> DataFrame:
     """JSON lines, compressed or not, of the columns in schema only. Malformed lines and broken files are left out."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", "true").option("pathGlobFilter", only).json(path)
+    records = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", "true").option("pathGlobFilter", only).json(path)
+    return records.select(*T.StructType.fromDDL(schema).fieldNames())  # folders by value would add columns
 
 
 def orc_with_timestamps(spark: SparkSession, path: str) -> DataFrame:
-    """ORC files whose timestamps may be out of range: columns of time are read as text and those that cannot be
-    times become null."""
+    """ORC files whose timestamps may be out of range: times before the year 1 or after the year 9999, which most
+    other readers refuse, become null."""
     found = spark.read.orc(path)
     times = [f.name for f in found.schema.fields if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType)]
-    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in times else f.dataType) for f in found.schema.fields])
-    return spark.read.schema(as_text).orc(path).withColumns({c: F.try_to_timestamp(c) for c in times})
+    return found.withColumns({c: F.when(F.year(c).between(1, 9999), F.col(c)) for c in times})
 
 
 def file_records(spark: SparkSession, path: str) -> DataFrame:
@@ -67,10 +67,10 @@ def blobs(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
     return records.drop("content").join(wanted.mapInPandas(unpack, "blob_id string, content string"), "blob_id", "left")
 
 
-def notebooks(spark: SparkSession, path: str) -> DataFrame:
-    """file_id, content (JSON list of cells), local_path of */*.ipynb; files that are no notebooks are left out."""
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.ipynb", recursiveFileLookup=True).withColumn("local_path", F.col("_metadata.file_path"))
-    return raw.select(F.regexp_extract("local_path", r"([^/]+)\.ipynb$", 1).alias("file_id"), F.get_json_object("value", "$.cells").alias("content"), "local_path").filter("content IS NOT NULL")
+def notebooks(spark: SparkSession, path: str, only: str = "*.ipynb") -> DataFrame:
+    """file_id, content (JSON list of cells), local_path of the files named so; those that are no notebooks are left out."""
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter=only, recursiveFileLookup=True).withColumn("local_path", F.col("_metadata.file_path"))
+    return raw.select(F.regexp_extract("local_path", r"([^/]+)\.[^./]+$", 1).alias("file_id"), F.get_json_object("value", "$.cells").alias("content"), "local_path").filter("content IS NOT NULL")
 
 
 def csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -80,7 +80,7 @@ def csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def alternate_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, n, content: lines 2n and 2n + 1 of each text file as one; an odd line at the end is left out."""
     raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = F.filter(F.split("value", "\n", -1), lambda x: F.lit(True))
+    lines = F.split(F.regexp_replace("value", "\n\\z", ""), "\n", -1)
     pairs = F.transform(F.sequence(F.lit(1), F.floor(F.size(lines) / 2).cast("int")), lambda k: F.concat(F.element_at(lines, 2 * k - 1), F.lit("\n"), F.element_at(lines, 2 * k)))
     return raw.filter(F.size(lines) > 1).select("file", F.posexplode(pairs).alias("n", "content"))
 

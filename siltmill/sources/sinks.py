@@ -20,7 +20,9 @@ def gzip_json(df: DataFrame, path: str, by: list[str] | None = None) -> None:
 
 
 def csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    """With a header; quotes double, and white space at either end of a value stays."""
+    out = df.write.mode("overwrite").option("header", "true").option("escape", '"')
+    out.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def sharded(df: DataFrame, path: str, text: str, shard_bytes: int = SHARD_BYTES) -> int:

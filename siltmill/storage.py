@@ -5,26 +5,34 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _own: dict[str, str] = {}
+_written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where it is unset (tests on one machine), a folder of this process."""
+    """The cluster's spark.checkpoint.dir. Where it is unset, a folder of this process, but only for a session whose
+    tasks run in this very process: executors elsewhere would not find what others wrote there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
     app = spark.sparkContext.applicationId
-    if not folder and app not in _own:
+    if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="siltmill-")
-    return folder or _own[app]
+    return _own[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that goes when the driver's Python ends."""
+    """A path in the shared folder that goes when the driver's Python ends, or with the scratch() around it."""
     path = f"{shared_dir(spark)}/siltmill/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    _written.append((spark, path))
     return path
 
 
@@ -40,9 +48,28 @@ def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Removes on leaving what is written inside. Results that read such tables must be saved or collected by then; a
+    session that runs many jobs so keeps its folder small."""
+    first = len(_written)
+    try:
+        yield
+    finally:
+        _clear(first)
+
+
+def _clear(first: int = 0) -> None:
+    while len(_written) > first:
+        _remove(*_written.pop())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     except Exception:  # the JVM may be gone by now
         return
+
+
+atexit.register(_clear)

@@ -1,6 +1,8 @@
 import gzip
 import json
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltmill.operators import compiled, dedup, histories, instruct, joins, notebooks, tree
@@ -22,6 +24,64 @@ def test_tree_walk(spark):
     shared = spark.createDataFrame([("x", "f", "c", True)], "parent string, name string, child string, is_file boolean")
     many = spark.createDataFrame([("x",)] * 5, "node string")
     assert tree.walk(many, shared, most_per_node=3).count() == 3
+    assert tree.walk(many, shared).count() == 5
+
+
+def test_tree_walk_has_no_bounds_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(tree, "TALL", 4)  # the question is asked early, so that the test need not be deep
+    deep = [(f"d{i}", "x", f"d{i + 1}", False) for i in range(9)] + [("d9", "end.txt", "c", True)]
+    schema = "parent string, name string, child string, is_file boolean"
+    root = spark.createDataFrame([("d0",)], "node string")
+    assert rows(tree.walk(root, spark.createDataFrame(deep, schema)), "path") == [("d0", "/x" * 9 + "/end.txt", "c", 9)]
+    assert tree.walk(root, spark.createDataFrame(deep, schema), most_levels=9).count() == 0
+    with pytest.raises(ValueError, match="holds itself"):
+        tree.walk(root, spark.createDataFrame([*deep, ("d9", "up", "d3", False)], schema))
+
+
+def test_folder_entries(spark):
+    raw = spark.createDataFrame([("d", bytearray(b"f\xff"), "file", "c"), ("d", bytearray(b"s"), "dir", "e"), ("d", bytearray(b"m"), "rev", "x"), ("d", bytearray(b"n"), None, "y")], "directory_id string, name binary, type string, target string")
+    assert rows(tree.folder_entries(raw), "name") == [("d", "f\ufffd", "c", True), ("d", "s", "e", False)]
+
+
+def test_previous_rows(spark):
+    data = [(i % 3 if i % 7 else None, i * 2) for i in range(60)]
+    got = rows(dedup.with_previous(spark.createDataFrame(data, "k int, o int"), "k", "o", "before"), "o")
+    want, last = [], {}
+    for k, o in data:
+        if k in last:
+            want.append((k, o, last[k]))
+        last[k] = o
+    assert got == want
+
+
+def test_drawn_table_rows():
+    wide = "<table><tr><th>n</th></tr>" + "".join(f"<tr><td>r{i}</td></tr>" for i in range(12)) + "</table>"
+    lines = notebooks.markdown_of(wide).split("\n")[2:]
+    assert len(set(lines)) == 5 and notebooks.markdown_of(wide) == notebooks.markdown_of(wide)
+    drawn = {tuple(notebooks.markdown_of(wide + "x" * k).split("\n")[2:]) for k in range(20)}
+    assert len(drawn) > 10  # not always the same ones
+
+
+def test_diff_queries_against_the_matcher(spark):
+    """All pairs of neighbours in the smallest table, by the library's matcher called on whole texts."""
+    from difflib import SequenceMatcher
+
+    from siltmill.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("source", "doc_id", "text").orderBy("source", "doc_id").collect()
+    ranges = {r["doc_id"]: r for r in QUERIES["line_diff_range"](spark, "/root/testdata/sf0.001").collect()}
+    patches = {r["doc_id"]: r["hunks"] for r in QUERIES["diff_hunks"](spark, "/root/testdata/sf0.001").collect()}
+    pairs = [(a, b) for a, b in zip(docs, docs[1:]) if a["source"] == b["source"] and a["text"] is not None]
+    assert set(ranges) == set(patches) == {b["doc_id"] for _, b in pairs}
+    for a, b in pairs:
+        old, new = a["text"].splitlines(), b["text"].splitlines()
+        ops = [x for x in SequenceMatcher(None, old, new).get_opcodes() if x[0] != "equal"]
+        got = ranges[b["doc_id"]]
+        assert (got["n_deletes"], got["n_inserts"]) == (sum(x[2] - x[1] for x in ops), sum(x[4] - x[3] for x in ops))
+        assert (got["old_start"], got["old_end"]) == ((ops[0][1], ops[-1][2]) if ops else (sys.maxsize, 0))
+        removed = [x[1:] for x in patches[b["doc_id"]].split("\n") if x.startswith("-")]
+        added = [x[1:] for x in patches[b["doc_id"]].split("\n") if x.startswith("+")]
+        assert removed == [x for op in ops for x in old[op[1] : op[2]]] and added == [x for op in ops for x in new[op[3] : op[4]]]
 
 
 def test_license_propagation_and_typing(spark):
@@ -218,7 +278,7 @@ def test_sources_and_sinks(spark, tmp_path):
     records = spark.createDataFrame([(k, 1, None) for k in ("k1", "k2", "k3", "k4")], "blob_id string, length long, content string")
     assert rows(readers.blobs(spark, str(tmp_path / "b"), records).select("blob_id", "content"), "blob_id") == [("k1", "hello"), ("k2", None), ("k3", None), ("k4", None)]
     (tmp_path / "m/train-easy").mkdir(parents=True)
-    (tmp_path / "m/train-easy/f__t.txt").write_text("q1\na1\nq2\na2\n")
+    (tmp_path / "m/train-easy/f__t.txt").write_text("q1\na1\nq2\na2\nodd\n")
     assert rows(readers.alternate_lines(spark, str(tmp_path / "m")).select("n", "content"), "n") == [(0, "q1\na1"), (1, "q2\na2")]
     (tmp_path / "nb/x").mkdir(parents=True)
     (tmp_path / "nb/x/12.ipynb").write_text('{"cells": [{"cell_type": "code", "source": "x"}]}')
@@ -228,7 +288,8 @@ def test_sources_and_sinks(spark, tmp_path):
     assert rows(readers.csv_table(spark, str(tmp_path / "c.csv"), "Id int, Slug string"), "Id") == [(1, 'a "b"')]
     times = spark.createDataFrame([("2020-01-01 00:00:00",)], "t string").select(F.to_timestamp("t").alias("t"), F.lit(1).alias("x"))
     times.write.orc(str(tmp_path / "o"))
-    assert readers.orc_with_timestamps(spark, str(tmp_path / "o")).select(F.year("t"), "x").first()[0] in (2020, None)
+    times.unionByName(times.withColumn("t", F.timestamp_seconds(F.lit(300_000_000_000)))).write.mode("overwrite").orc(str(tmp_path / "o"))
+    assert sorted(str(r[0]) for r in readers.orc_with_timestamps(spark, str(tmp_path / "o")).select(F.year("t"), "x").collect()) == ["2020", "None"]
     df = spark.createDataFrame([(1, "a", "xx"), (2, "b", "yyy")], "k int, p string, t string")
     sinks.parquet(df, str(tmp_path / "p"), 2)
     assert readers.with_stem(spark.read.parquet(str(tmp_path / "p")), ["k"]).select("stem").distinct().count() == 2
