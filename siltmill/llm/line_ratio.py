@@ -18,18 +18,24 @@ RATIO = 0.1
 LEAST_PAGES = 3
 #: Digests (of 16 bytes) in all hosts' lists up to which they are broadcast; beyond, they are joined by host.
 MOST_BROADCAST = 100_000
+_SPACE = " \t\n\x0b\f\r"
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _bare(line: Column) -> Column:
+    """A line without the ASCII white space around it: a carriage return before the line feed is none of the line."""
+    return F.trim(line, F.lit(_SPACE))
+
+
 def _key(line: Column) -> Column:
-    return F.unhex(F.md5(F.trim(line).cast("binary")))
+    return F.unhex(F.md5(_bare(line).cast("binary")))
 
 
 def _keys(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(x) != ""), _key))
+    return F.array_distinct(F.transform(F.filter(_lines(text), lambda x: _bare(x) != ""), _key))
 
 
 def _often(lines: DataFrame, pages: DataFrame, ratio: float, least_pages: int) -> DataFrame:
@@ -85,14 +91,14 @@ def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "s
     """docs with the text freed of its host's boilerplate lines, n_lines before and n_dropped; those two replace
     columns of their names.
 
-    Lines are compared without the spaces around them; lines without anything else are never dropped. A null text
-    stays null with 0 lines, an empty text is one empty line, a null host has no boilerplate. Repeated rows count as
-    pages and stay repeated; with `once`, copies and near copies of a document count as one page, see boilerplate_once().
+    Lines are compared without the ASCII white space around them; lines without anything else are never dropped. A null
+    text stays null with 0 lines, an empty text is one empty line, a null host has no boilerplate. An empty table gives
+    an empty table. Repeated rows count as pages and stay repeated; with `once`, copies and near copies of a document count as one page, see boilerplate_once().
     """
     lists = (boilerplate_once if once else boilerplate)(docs, text_col, host_col, ratio, least_pages)
     found = _small(written(lists.withColumnsRenamed({"host": "__host", "keys": "__keys"}), "boilerplate"), "__keys")
     joined = docs.drop("n_lines", "n_dropped").join(found, docs[host_col] == F.col("__host"), "left").withColumn("__lines", _lines(F.col(text_col)))
-    stays = F.filter("__lines", lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__keys"), _key(x)))
+    stays = F.filter("__lines", lambda x: (_bare(x) == "") | ~F.array_contains(F.col("__keys"), _key(x)))
     left = joined.withColumn("__left", F.when(F.col("__keys").isNull(), F.col("__lines")).otherwise(stays))
     count = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
     out = left.withColumns({"n_lines": count("__lines"), "n_dropped": count("__lines") - count("__left"), text_col: F.array_join("__left", "\n")})

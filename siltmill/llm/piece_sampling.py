@@ -23,10 +23,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The session's setting that names another vocabulary file.
+MODEL_SETTING = "spark.siltmill.pieceModel"
 SAMPLES = 2
 #: Power of the pieces' probabilities: under 1 for flatter draws, over 1 for steeper ones.
 ALPHA = 1.0
@@ -441,15 +443,20 @@ class Encoder:
 COLUMNS = "sample int, pieces array<int>, log_prob double, perturbed double, log_inclusion double, decodes boolean"
 
 
-def sample_encodings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, k: int = SAMPLES, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
+def _vocabulary(spark: SparkSession, model: str | None) -> Vocabulary:
+    return Vocabulary.load(model or spark.conf.get(MODEL_SETTING, MODEL))
+
+
+def sample_encodings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, k: int = SAMPLES, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """id and COLUMNS: up to k distinct segmentations per row, drawn without replacement, best perturbed value first.
 
     log_inclusion is the log-probability that a segmentation is among those above the next value in line; decodes
     tells that the pieces give the text back. Every character is covered, by byte pieces if need be. A text with
     fewer than k segmentations gives them all. An empty text has one of no pieces, a null text one of null pieces.
-    Rows of equal id and text draw alike; other columns are ignored.
+    Rows of equal id and text draw alike; an empty table gives an empty table; other columns are ignored. The
+    vocabulary is the file `model`, else that of the setting MODEL_SETTING, else MODEL.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary(docs.sparkSession, model))
 
     def encode(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value, alpha, seed)
@@ -488,3 +495,32 @@ def _encoded(encoder: Encoder, ids: pa.Array, texts: pa.Array, k: int) -> Iterat
         good = [b"".join(decoded[lo:hi])[1:] == rows[full[d]].encode("utf-8", "surrogatepass") for d, lo, hi in zip(docs.tolist(), starts.tolist(), ends.tolist())]
         lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]), pa.int32()), pa.array(pieces, pa.int32()))
         yield table(full[docs], sample, lists, *map(pa.array, scores), pa.array(good, pa.bool_()))
+
+
+def decoded_texts(pieces: pa.Array, spelling: pa.Array) -> pa.Array:
+    """Texts of lists of piece ids; ids that spell nothing (control pieces, nulls, numbers outside) give nothing."""
+    pieces = pieces.combine_chunks() if isinstance(pieces, pa.ChunkedArray) else pieces
+    ids = pc.if_else(pc.and_(pc.greater_equal(pieces.flatten(), 0), pc.less(pieces.flatten(), len(spelling))), pieces.flatten(), None)
+    spelled = pc.fill_null(spelling.take(ids), b"")
+    sizes = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), spelled)
+    known = pieces.is_valid().to_pylist()
+    return pa.array([raw[1:].decode("utf-8", "replace") if is_list else None for raw, is_list in zip(pc.binary_join(lists, b"").to_pylist(), known)], pa.string())
+
+
+def decode(encoded: DataFrame, pieces_col: str = "pieces", text_col: str = "text", model: str | None = None) -> DataFrame:
+    """encoded with the text of its pieces in text_col, which replaces a column of that name.
+
+    The space that encoding puts in front goes. No pieces are an empty text, null pieces a null one; control pieces,
+    nulls and numbers outside of the vocabulary give nothing, and bytes that are no UTF-8 the replacement character.
+    Repeated rows stay, an empty table gives an empty table. The vocabulary is chosen as in sample_encodings().
+    """
+    vocabulary = encoded.sparkSession.sparkContext.broadcast(_vocabulary(encoded.sparkSession, model).pieces)
+
+    @F.arrow_udf("string")
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        spelling = pa.array(vocabulary.value, pa.binary())
+        for batch in batches:
+            yield decoded_texts(batch, spelling)
+
+    return encoded.withColumn(text_col, texts(F.col(pieces_col)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, piece_sampling, rule_ledger, shard_table, source_mix, url_automaton, vector_hash
-from siltmill.llm.tables import table
+from siltmill.llm.tables import new_path, table
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,13 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rule_ledger.verdicts(rule_ledger.ledger(table(spark, sf_dir, "documents")))
     base = F.col("kept_base")
-    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits", (~base).alias("base_failed"), (base & F.col("kept_v1")).alias("kept"))
+    kept = {"base_failed": ~base, "kept": base & F.col("kept_v1"), "kept_v2": base & F.col("kept_v2")}
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits", *[c.alias(name) for name, c in kept.items()])
+
+
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the strictest policy rejects, alone and with others."""
+    return rule_ledger.ablations(rule_ledger.ledger(table(spark, sf_dir, "documents")), rule_ledger.POLICIES[-1])
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +41,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
+def sharded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents written to their shards and read back, as the folders name them."""
+    path = new_path(spark, "shards")
+    shard_table.write_shards(table(spark, sf_dir, "documents"), path, "doc_id")
+    back = spark.read.parquet(path)
+    return back.select("doc_id", "slot", "shard", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -50,6 +64,12 @@ def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "sample", F.greatest(size, F.lit(0)).alias("n_pieces"), F.xxhash64("pieces").alias("pieces_digest"), "log_prob", "perturbed", "log_inclusion", "decodes")
 
 
+def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's first drawn segmentation, decoded."""
+    first = piece_sampling.sample_encodings(table(spark, sf_dir, "documents")).filter("sample = 1")
+    return piece_sampling.decode(first).select("doc_id", "text")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_ratio.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -67,13 +87,19 @@ QUERIES = {
         op8_source_mix,
         op9_piece_sampling,
         op10_line_dedup,
+        rule_ablations,
+        sharded_documents,
+        piece_round_trip,
     )
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: The smallest row that each row reaches by the links l(a, b).
+_REACH = """r(id, root) AS (SELECT id, id FROM rows UNION SELECT b, root FROM r JOIN l ON a = id WHERE root < b),
+m AS (SELECT id, min(root) AS root FROM r GROUP BY id), c AS (SELECT a AS id, count(*) AS links, count(*) FILTER (equal) AS copies FROM l GROUP BY a)"""
 
-ORACLE = {
-    "op3_quality_rules": rf"""
+_LEDGER = rf"""
 WITH w AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words,
              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM documents),
 windows AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
@@ -89,16 +115,13 @@ f AS (SELECT *, n_words < 50 AS f0, 100 * n_repeat_words > 50 * n_words AS f1, 1
         word_chars < 2 * n_words AS f3, word_chars > 20 * n_words AS f4, 100 * n_dup_lines > 50 * n_lines AS f5 FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   CAST(f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT AS BIGINT) AS fail_bits,
-  f0 OR f1 AS base_failed, NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept FROM f""",
-    "op4_url_filter": r"""
-WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-r(name, h, p, v) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
-                            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
-b AS (SELECT page_id, host, path, arg_max(name, length(name)) AS name, arg_max(v, length(name)) AS v
-      FROM u LEFT JOIN r ON ends_with('.' || host, '.' || h) AND starts_with(path, p) GROUP BY ALL)
-SELECT page_id, host, path, name AS rule, coalesce(v, CASE WHEN regexp_matches('.' || host, 'spam|casino|-pills|\.ads-|\.ads\.|porn|poker|viagra') THEN 'block' ELSE 'allow' END) AS verdict FROM b""",
-    "op6_sharding": f"""
+  f0 OR f1 AS base_failed, NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept, NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5) AS kept_v2 FROM f"""
+_NAMES = [r.name for r in rule_ledger.RULES]
+#: Each rule of the last policy, which has them all, by its bit.
+_ABLATIONS = f"""
+WITH b AS (SELECT fail_bits FROM ({_LEDGER})), r AS (SELECT unnest({_NAMES}) AS rule, unnest({[1 << r.bit for r in rule_ledger.RULES]}) AS bit)
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits = bit) AS n_failed_alone, count(*) FILTER (fail_bits & ~bit = 0) AS n_kept_without FROM b, r GROUP BY rule"""
+_PLACED = f"""
 WITH RECURSIVE m AS (SELECT {shard_table.SLOTS} AS m, {len(shard_table.SHARDS)} AS n),
 s AS (SELECT i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS shard FROM (SELECT unnest(range(n)) AS i FROM m)),
 p AS (SELECT i, list_transform(range(m), lambda j: (('0x' || left(md5('offset:' || shard), 15))::BIGINT % m + j * (('0x' || left(md5('skip:' || shard), 15))::BIGINT % (m - 1) + 1)) % m) AS slots FROM s, m),
@@ -108,8 +131,38 @@ t(turn, owner, claimed) AS (
   SELECT turn + 1, [(turn % n)::BIGINT], list_append(claimed, list_filter(slots, lambda x: NOT list_contains(claimed, x))[1])
   FROM t, m, p WHERE turn < m AND p.i = turn % n),
 owners AS (SELECT claimed[turn] AS slot, (turn - 1) % n AS i FROM t, m WHERE turn > 0)
-SELECT doc_id, CAST(o.slot AS INTEGER) AS slot, shard
-FROM (SELECT doc_id, ('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 15))::BIGINT % m AS k FROM documents, m) d JOIN owners o ON o.slot = d.k JOIN s USING (i)""",
+SELECT doc_id, CAST(o.slot AS INTEGER) AS slot, shard{{more}}
+FROM (SELECT doc_id, text, ('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 15))::BIGINT % m AS k FROM documents, m) d JOIN owners o ON o.slot = d.k JOIN s USING (i)"""
+
+ORACLE = {
+    "op1_jaccard_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS gram FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b, shared = x.n AND shared = y.n AS equal FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * shared >= 4 * (x.n + y.n - shared)),
+rows AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT m.id AS doc_id, root AS class_id, 1 + coalesce(copies, 0) AS copies, coalesce(links, 0) AS n_links, m.id = root AS kept FROM m LEFT JOIN c ON c.id = m.id""",
+    "op5_vector_dedup": f"""
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT * FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b, x.v = y.v AS equal FROM u x JOIN u y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+rows AS (SELECT vec_id AS id FROM embeddings), {_REACH}
+SELECT m.id AS vec_id, root AS component_id, 1 + coalesce(copies, 0) AS copies, coalesce(links, 0) AS n_links, m.id = root AS kept FROM m LEFT JOIN c ON c.id = m.id""",
+    "piece_round_trip": "SELECT doc_id, text FROM documents",
+    "op3_quality_rules": _LEDGER,
+    "rule_ablations": _ABLATIONS,
+    "op4_url_filter": r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r(name, h, p, v) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+                            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+b AS (SELECT page_id, host, path, arg_max(name, length(name)) AS name, arg_max(v, length(name)) AS v
+      FROM u LEFT JOIN r ON ends_with('.' || host, '.' || h) AND starts_with(path, p) GROUP BY ALL)
+SELECT page_id, host, path, name AS rule, coalesce(v, CASE WHEN regexp_matches('.' || host, 'spam|casino|-pills|\.ads-|\.ads\.|porn|poker|viagra') THEN 'block' ELSE 'allow' END) AS verdict FROM b""",
+    "op6_sharding": _PLACED.format(more=""),
+    "sharded_documents": _PLACED.format(more=", length(text)::BIGINT AS n_chars"),
     "op8_source_mix": rf"""
 WITH d AS (SELECT doc_id, source, coalesce(source IS NOT NULL, false) AS named, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS mark FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -128,10 +181,10 @@ e AS (SELECT *, CAST(floor(place * each + shift) - floor((place - 1) * each + sh
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM e""",
     "op10_line_dedup": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT source, unnest(list_distinct(list_transform(lines, lambda x: trim(x)))) AS line FROM d WHERE source IS NOT NULL),
+l AS (SELECT source, unnest(list_distinct(list_transform(lines, lambda x: trim(x, {_SPACE})))) AS line FROM d WHERE source IS NOT NULL),
 p AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
 b AS (SELECT source, list(line) AS keys FROM (SELECT source, line, count(*) AS n FROM l WHERE line <> '' GROUP BY ALL) JOIN p USING (source)
       WHERE n >= {line_ratio.LEAST_PAGES} AND n > CAST({line_ratio.RATIO} AS DOUBLE) * pages GROUP BY source),
-c AS (SELECT d.*, CASE WHEN keys IS NULL THEN lines ELSE list_filter(lines, lambda x: trim(x) = '' OR NOT list_contains(keys, trim(x))) END AS rest FROM d LEFT JOIN b USING (source))
+c AS (SELECT d.*, CASE WHEN keys IS NULL THEN lines ELSE list_filter(lines, lambda x: trim(x, {_SPACE}) = '' OR NOT list_contains(keys, trim(x, {_SPACE}))) END AS rest FROM d LEFT JOIN b USING (source))
 SELECT doc_id, source, array_to_string(rest, chr(10)) AS text, coalesce(len(lines), 0)::BIGINT AS n_lines, (coalesce(len(lines), 0) - coalesce(len(rest), 0))::BIGINT AS n_dropped FROM c""",
 }

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltmill.storage import written
+from siltmill.storage import new_path, written
 
-__all__ = ["WORD", "table", "written"]
+__all__ = ["WORD", "new_path", "table", "written"]
 
 #: Words as the contracts define them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

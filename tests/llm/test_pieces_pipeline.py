@@ -100,6 +100,27 @@ def test_tables(spark):
     assert p.sample_encodings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_decoding(spark):
+    v = p.Vocabulary.load(p.MODEL)
+    control = next(i for i, x in enumerate(v.pieces) if x is None)
+    texts = ["a b", "", None, " two  spaces\n", "é€😀 ▁ mark", "long " * 20_000]
+    drawn = p.sample_encodings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k=3).withColumnRenamed("sample", "text")
+    back = p.decode(drawn)  # replaces the column of that name
+    assert back.count() == drawn.count() and {(r["doc_id"], r["text"]) for r in back.collect()} == set(enumerate(texts))
+    odd = [([control, v.first_byte + 0x20, v.first_byte + 0x61, None, -1, 10**9],), ([v.first_byte + 0x20, v.first_byte + 0xFF],), ([],), (None,), (None,)]
+    assert sorted(map(repr, (r[1] for r in p.decode(spark.createDataFrame(odd, "pieces array<int>")).collect()))) == sorted(map(repr, ["a", "\ufffd", "", None, None]))
+    assert p.decode(spark.createDataFrame([], "pieces array<int>")).count() == 0
+
+
+def test_vocabulary_comes_from_the_session(spark, tmp_path):
+    spark.conf.set(p.MODEL_SETTING, str(tmp_path / "none.model"))
+    try:
+        with pytest.raises((OSError, RuntimeError)):
+            p.sample_encodings(spark.createDataFrame([], "doc_id long, text string"))
+    finally:
+        spark.conf.unset(p.MODEL_SETTING)
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as c
 

@@ -93,18 +93,23 @@ def test_mix_edges(spark):
     assert m.mix(empty).count() == m.emit(empty).count() == 0
 
 
+SPACE = " \t\n\x0b\x0c\r"
+
+
 def brute_lines(rows, ratio, least):
     pages, on = Counter(), Counter()
     for _, host, text in rows:
         if host is not None:
             pages[host] += 1
-            on.update({(host, x.strip(" ")) for x in (text or "").split("\n") if x.strip(" ")} if text is not None else ())
-    return [None if t is None else "\n".join(x for x in t.split("\n") if not x.strip(" ") or not (on[h, x.strip(" ")] >= least and on[h, x.strip(" ")] > ratio * pages[h])) for _, h, t in rows]
+            on.update({(host, x.strip(SPACE)) for x in (text or "").split("\n") if x.strip(SPACE)} if text is not None else ())
+    return [None if t is None else "\n".join(x for x in t.split("\n") if not x.strip(SPACE) or not (on[h, x.strip(SPACE)] >= least and on[h, x.strip(SPACE)] > ratio * pages[h])) for _, h, t in rows]
 
 
 def test_boilerplate_goes_by_host(spark, monkeypatch):
     rows = [(i, "h", f"menu \nown {i}\n\nfoot" if i % 3 else f"own {i}\nrare") for i in range(20)] + [(30 + i, "g", "menu\nmenu\nx") for i in range(2)]
     rows += [(50, None, "menu"), (51, "h", None), (52, "h", ""), (53, None, None), (20, "h", "menu\nrare"), (20, "h", "menu\nrare")]
+    # a host of other line ends: its blank lines stay, its menu goes in either form
+    rows += [(60 + i, "crlf", f"menu\r\n\r\n\t\r\nown {i}\r\n\x0bfoot\t\r\n\x0cmenu\xa0\r") for i in range(9)] + [(70 + i, "crlf", f"menu\n\nown {i}\nfoot") for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     want = sorted(map(repr, zip([r[0] for r in rows], brute_lines(rows, 0.3, 3))))
     for most in (l.MOST_BROADCAST, -1):  # both joins
@@ -112,5 +117,6 @@ def test_boilerplate_goes_by_host(spark, monkeypatch):
         got = l.drop_boilerplate(df, ratio=0.3).collect()
         assert sorted(repr((r["doc_id"], r["text"])) for r in got) == want
     by_id = {r["doc_id"]: r for r in got}
+    assert by_id[60]["text"] == "\r\n\t\r\nown 0\r" and by_id[70]["text"] == "\nown 0"
     assert (by_id[1]["n_lines"], by_id[1]["n_dropped"], by_id[51]["n_lines"], by_id[52]["n_lines"]) == (4, 2, 0, 1)
     assert l.drop_boilerplate(spark.createDataFrame([], "doc_id long, source string, text string, n_lines int")).count() == 0
