@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from keyword import kwlist
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -195,3 +197,10 @@ def split_before(text: Column, marks: tuple[str, ...]) -> Column:
     """Pieces of a text that begin at any of the marks."""
     safe = "|".join("\\Q" + m + "\\E" for m in marks)
     return F.filter(F.split(text, f"(?=(?:{safe}))", -1), lambda x: x != "")
+
+
+def is_identifier(line: Column) -> Column:
+    """Whether a line is one expression without spaces that begins like a name: of word characters, dots, parentheses
+    and plus signs, and no keyword of Python."""
+    bare = F.regexp_replace(line, r"^\s+|\s+$", "")
+    return bare.rlike(r"^\w[\w.()+]*$") & ~bare.isin(*kwlist)

@@ -27,11 +27,12 @@ def _raw(turns: DataFrame) -> DataFrame:
     return turns.select(F.from_json(F.to_json(F.struct(*turns.columns)), histories.RAW).alias("e")).select("e.*")
 
 
-#: Of each turn: the event's kind (pull request, review, review comment, issue comment), action, user, and what else the
+#: Of each turn: the event's kind (pull request, review, review comment, issue comment, opening of an issue), action, user, and what else the
 #: statistics read. Both engines read these columns the same way.
 _TURNS = """
-  CASE WHEN conv_id % 11 = 5 THEN 'I' WHEN turn % 4 = 0 THEN 'P' WHEN turn % 4 = 1 THEN 'R' WHEN turn % 4 = 2 THEN 'I' ELSE 'C' END AS k,
-  CASE WHEN turn % 4 <> 0 THEN 'created' WHEN turn = 0 AND conv_id % 3 <> 0 THEN 'opened' WHEN turn = 0 THEN 'edited' WHEN conv_id % 2 = 0 THEN 'closed' ELSE 'synchronize' END AS action,
+  CASE WHEN turn IN (2, 6) AND conv_id % 8 = 3 THEN 'O' WHEN conv_id % 11 = 5 THEN 'I' WHEN turn % 4 = 0 THEN 'P' WHEN turn % 4 = 1 THEN 'R' WHEN turn % 4 = 2 THEN 'I' ELSE 'C' END AS k,
+  turn % 4 = 2 OR conv_id % 11 = 5 AS iss,
+  CASE WHEN turn IN (2, 6) AND conv_id % 8 = 3 THEN 'opened' WHEN turn % 4 <> 0 THEN 'created' WHEN turn = 0 AND conv_id % 3 <> 0 THEN 'opened' WHEN turn = 0 THEN 'edited' WHEN conv_id % 2 = 0 THEN 'closed' ELSE 'synchronize' END AS action,
   CASE role WHEN 'system' THEN 'sys-bot' ELSE concat(role, CAST(turn % 3 AS STRING)) END AS login,
   turn > 0 AND turn % 4 = 0 AND conv_id % 4 = 0 AS merged,
   concat('b', CAST(CASE WHEN turn > 3 THEN conv_id % 3 ELSE 0 END AS STRING)) AS base,
@@ -47,7 +48,7 @@ def pull_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("conv_id").cast("string")
     c = F.col
     url = F.concat(F.lit("https://api.host/repos/o"), (c("conv_id") % 9).cast("string"), F.lit("/r/pulls/"), n)
-    kind = F.expr("CASE k WHEN 'P' THEN 'PullRequestEvent' WHEN 'R' THEN 'PullRequestReviewEvent' WHEN 'C' THEN 'PullRequestReviewCommentEvent' ELSE 'IssueCommentEvent' END")
+    kind = F.expr("CASE k WHEN 'P' THEN 'PullRequestEvent' WHEN 'R' THEN 'PullRequestReviewEvent' WHEN 'C' THEN 'PullRequestReviewCommentEvent' WHEN 'O' THEN 'IssuesEvent' ELSE 'IssueCommentEvent' END")
     repo = lambda mod: F.struct(F.concat(F.lit("o"), (c("conv_id") % mod).cast("string"), F.lit("/r")).alias("full_name"))
     login = lambda x: F.struct(x.alias("login"))
     pull = F.struct(
@@ -57,10 +58,10 @@ def pull_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     user_type = F.struct(F.when(c("conv_id") % 5 == 0, "Bot").otherwise("User").alias("type"))
     payload = F.struct(
         c("action").alias("action"),
-        F.when(c("k") != "I", pull).alias("pull_request"),
+        F.when(~c("iss"), pull).alias("pull_request"),
         F.struct(c("turn").alias("id"), c("text").alias("body"), F.concat(F.lit("src/"), c("state")).alias("path")).alias("comment"),
         F.struct(c("review").alias("id"), c("text").alias("body"), "state", user_type.alias("user")).alias("review"),
-        F.when(c("k") == "I", F.struct(c("conv_id").alias("id"), F.struct(url.alias("url")).alias("pull_request"))).alias("issue"),
+        F.when(c("iss"), F.struct(c("conv_id").alias("id"), F.struct(url.alias("url")).alias("pull_request"))).alias("issue"),
     )
     at = F.format_string("2020-01-01T00:00:%02dZ", "turn")
     return _raw(t.select(kind.alias("type"), at.alias("created_at"), login(c("login")).alias("actor"), F.struct(F.lit("a/b").alias("name")).alias("repo"), payload.alias("payload")))
@@ -74,17 +75,17 @@ def _split(columns: str) -> list[str]:
 #: Events of pull requests with the openings that are made up for those that lack one.
 _PULLS = f"""
 t AS (SELECT conv_id, turn, text, {_TURNS} FROM conversations),
-b AS (SELECT *, CASE WHEN k = 'R' THEN conv_id % 5 = 0 ELSE login = 'sys-bot' END AS bot FROM t WHERE conv_id % 11 <> 5),
+b AS (SELECT *, CASE WHEN k = 'R' THEN conv_id % 5 = 0 ELSE login = 'sys-bot' END AS bot FROM t WHERE conv_id % 11 <> 5 AND NOT (k = 'O' AND turn = 2)),
 f AS (SELECT * FROM b WHERE turn = 0 AND action <> 'opened'),
-e AS (SELECT * EXCLUDE (bot), bot FROM b UNION ALL SELECT conv_id, -1, text, 'P', 'opened', 'owner' || conv_id, merged, base, head, review, state, title, bot FROM f)"""
+e AS (SELECT * EXCLUDE (bot), bot FROM b UNION ALL SELECT conv_id, -1, text, 'P', false, 'opened', 'owner' || conv_id, merged, base, head, review, state, title, bot FROM f)"""
 
 
 @query("SELECT 'o' || (conv_id % 9) || '/r/pull/' || conv_id AS group_id, k, action, login, CASE WHEN k = 'R' THEN conv_id % 5 = 0 ELSE login = 'sys-bot' END AS is_bot, CASE WHEN k = 'P' THEN title END AS title, text, "
-       "CASE k WHEN 'R' THEN review WHEN 'C' THEN turn END AS review_id, CASE WHEN k = 'R' THEN state END AS state, CASE WHEN k = 'C' THEN 'src/' || state END AS path, CASE WHEN k <> 'I' THEN merged END AS merged, "
-       f"CASE WHEN k <> 'I' THEN base END AS base, turn FROM (SELECT conv_id, turn, text, {_TURNS} FROM conversations)")
+       "CASE k WHEN 'R' THEN review WHEN 'C' THEN turn END AS review_id, CASE WHEN k = 'R' THEN state END AS state, CASE WHEN k = 'C' THEN 'src/' || state END AS path, CASE WHEN NOT iss THEN merged END AS merged, "
+       f"CASE WHEN NOT iss THEN base END AS base, turn FROM (SELECT conv_id, turn, text, {_TURNS} FROM conversations)")
 def flat_pull_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = histories.flat_events(pull_events(spark, sf_dir))
-    k = F.expr("CASE type WHEN 'PullRequestEvent' THEN 'P' WHEN 'PullRequestReviewEvent' THEN 'R' WHEN 'PullRequestReviewCommentEvent' THEN 'C' ELSE 'I' END")
+    k = F.expr("CASE type WHEN 'PullRequestEvent' THEN 'P' WHEN 'PullRequestReviewEvent' THEN 'R' WHEN 'PullRequestReviewCommentEvent' THEN 'C' WHEN 'IssuesEvent' THEN 'O' ELSE 'I' END")
     return flat.select(
         "group_id", k.alias("k"), "action", F.col("actor_login").alias("login"), F.col("actor_is_bot").alias("is_bot"), "title", "text", F.col("review_comment_id").alias("review_id"), F.col("review_state").alias("state"),
         F.col("comment_path").alias("path"), F.col("pull_merged").alias("merged"), F.col("base_commit_id").alias("base"), F.substring("created_at", 18, 2).cast("long").alias("turn"),
@@ -101,10 +102,10 @@ l AS (SELECT conv_id, review, arg_max(state, turn) AS state FROM e WHERE k = 'R'
 r AS (SELECT conv_id, count(*) FILTER (state = 'approved') AS approved, count(*) FILTER (state = 'dismissed') AS dismissed, count(*) FILTER (state = 'commented') AS commented,
   count(*) FILTER (state = 'changes_requested') AS changes_requested, count(*) FILTER (state = 'pending') AS other FROM l GROUP BY conv_id)
 SELECT 'o' || (conv_id % 9) || '/r/pull/' || conv_id AS pull_guid,
-  max((k = 'P' AND bot AND action = 'opened')::INT) AS is_bot_opened, max((k <> 'I' AND action = 'closed')::INT) AS is_closed, max((k <> 'I' AND merged)::INT) AS is_merged,
+  max((k = 'P' AND bot AND action = 'opened')::INT) AS is_bot_opened, max((NOT iss AND action = 'closed')::INT) AS is_closed, max((NOT iss AND merged)::INT) AS is_merged,
   count(DISTINCT login) FILTER (NOT bot) AS n_non_bot_users, count(DISTINCT login) FILTER (bot) AS n_bot_users, count(*) FILTER (k = 'P') AS n_pre, count(*) FILTER (k = 'P' AND bot) AS n_pre_bot,
-  count(*) FILTER (k IN ('R', 'C')) AS n_cre, count(*) FILTER (k IN ('R', 'C') AND bot) AS n_cre_bot, count(*) FILTER (k = 'I') AS n_ie, count(*) FILTER (k = 'I' AND bot) AS n_ie_bot,
-  count(DISTINCT base || head) FILTER (k <> 'I') AS n_commit_pairs, greatest(count(DISTINCT base) FILTER (k <> 'I') - 1 - max((k <> 'I' AND merged)::INT), 0)::BIGINT AS n_rebases,
+  count(*) FILTER (k IN ('R', 'C')) AS n_cre, count(*) FILTER (k IN ('R', 'C') AND bot) AS n_cre_bot, count(*) FILTER (iss) AS n_ie, count(*) FILTER (iss AND bot) AS n_ie_bot,
+  count(DISTINCT base || head) FILTER (NOT iss) AS n_commit_pairs, greatest(count(DISTINCT base) FILTER (NOT iss) - 1 - max((NOT iss AND merged)::INT), 0)::BIGINT AS n_rebases,
   coalesce(length((list(text ORDER BY turn) FILTER (k = 'P'))[1]), 0) AS pr_desc_len, coalesce(length((list(title ORDER BY turn) FILTER (k = 'P'))[1]), 0) AS pr_title_len,
   coalesce(any_value(approved), 0) AS review_n_approved, coalesce(any_value(dismissed), 0) AS review_n_dismissed, coalesce(any_value(commented), 0) AS review_n_commented,
   coalesce(any_value(changes_requested), 0) AS review_n_changes_requested, coalesce(any_value(other), 0) AS review_n_other
@@ -115,7 +116,7 @@ def pull_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {_PULLS} SELECT 'o' || (conv_id % 9) || '/r/pull/' || conv_id AS pull_guid FROM e GROUP BY conv_id
-HAVING max((k = 'P' AND bot AND action = 'opened')::INT) = 0 AND coalesce(length((list(text ORDER BY turn) FILTER (k = 'P'))[1]), 0) > 0 AND (count(*) FILTER (k IN ('R', 'C') AND NOT bot) > 0 OR count(*) FILTER (k = 'I' AND NOT bot) > 0)""")
+HAVING max((k = 'P' AND bot AND action = 'opened')::INT) = 0 AND coalesce(length((list(text ORDER BY turn) FILTER (k = 'P'))[1]), 0) > 0 AND (count(*) FILTER (k IN ('R', 'C') AND NOT bot) > 0 OR count(*) FILTER (iss AND NOT bot) > 0)""")
 def discussed_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histories.discussed(histories.with_stats(_histories(spark, sf_dir))).select("pull_guid")
 
@@ -127,7 +128,7 @@ SELECT 'o' || (conv_id % 9) || '/r/pull/' || conv_id AS pull_guid, count(*) AS n
 WHERE conv_id NOT IN (SELECT conv_id FROM v) AND login NOT IN ('sys-bot', 'user1', 'owner9', 'o3') GROUP BY conv_id""")
 def unlisted_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = spark.range(1).select(F.explode(F.array(*map(F.lit, ("sys-bot", "user1", "owner9", "o3")))).alias("user"))
-    k = lambda x: F.when(x["type"] == "PullRequestEvent", "P").when(x["type"] == "PullRequestReviewEvent", "R").when(x["type"] == "PullRequestReviewCommentEvent", "C").otherwise("I")
+    k = lambda x: F.when(x["type"] == "PullRequestEvent", "P").when(x["type"] == "PullRequestReviewEvent", "R").when(x["type"] == "PullRequestReviewCommentEvent", "C").when(x["type"] == "IssuesEvent", "O").otherwise("I")
     shown = F.transform("events", lambda x: F.concat(k(x), F.lit(":"), x["actor_login"]))
     return histories.without_users(_histories(spark, sf_dir), users).select("pull_guid", F.size("events").cast("long").alias("n_events"), F.array_join(shown, " ").alias("events"))
 
@@ -142,11 +143,12 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {_PULLS} SELECT 'o' || (conv_id % 9) || '/r/pull/' || conv_id AS pull_guid, arg_min(head, turn) FILTER (k <> 'I') AS head, arg_min(base, turn) FILTER (k <> 'I') AS base,
-  count(*) FILTER (k = 'R' AND state = 'approved') AS n_approvals FROM e GROUP BY conv_id""")
+WITH {_PULLS} SELECT 'o' || (conv_id % 9) || '/r/pull/' || conv_id AS pull_guid, arg_min(head, turn) FILTER (NOT iss) AS head, arg_min(base, turn) FILTER (NOT iss) AS base,
+  count(*) FILTER (k = 'R' AND state = 'approved') AS n_approvals, bool_or(NOT iss AND merged) AS is_merged, greatest(count(DISTINCT base) FILTER (NOT iss) - 1 - bool_or(NOT iss AND merged)::INT, 0)::INT AS n_rebases
+FROM e GROUP BY conv_id""")
 def first_commit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = histories.first_commits(F.col("events"))
-    return _histories(spark, sf_dir).select("pull_guid", first["head"].alias("head"), first["base"].alias("base"), histories.approvals(F.col("events")).cast("long").alias("n_approvals"))
+    return _histories(spark, sf_dir).select("pull_guid", first["head"].alias("head"), first["base"].alias("base"), histories.approvals(F.col("events")).cast("long").alias("n_approvals"), histories.is_merged(F.col("events")).alias("is_merged"), histories.rebases(F.col("events")).alias("n_rebases"))
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.operators import joins, notebooks, tree
+from siltmill.operators import compiled, joins, notebooks, tree
 from siltmill.sources import readers, sinks
 from siltmill.sources.readers import table
 from siltmill.storage import new_path
@@ -181,3 +181,35 @@ def notebook_script_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").cast("string").alias("file_id")).agg(F.sort_array(F.collect_list(F.struct("turn", cell.alias("cell")))).alias("c"))
     steps = notebooks.scripts(books.select("file_id", F.to_json(F.transform("c", lambda x: x["cell"])).alias("content")))
     return steps["compiled"].select(F.col("file_id").cast("long").alias("conv_id"), "script")
+
+
+@query("""
+SELECT root, '/d/' || r_name AS path, 1 AS level FROM (SELECT 'n' || n_nationkey AS root, n_regionkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY 'n' || n_nationkey) AS i FROM nation) JOIN region ON r_regionkey = n_regionkey WHERE i <= 2""")
+def capped_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders that many roots share, followed from two of them each."""
+    t = lambda name, *columns: table(spark, sf_dir, name).selectExpr(*columns)
+    entries = t("nation", "concat('n', n_nationkey) AS parent", "'d' AS name", "concat('r', n_regionkey) AS child", "false AS is_file").unionByName(t("region", "concat('r', r_regionkey) AS parent", "r_name AS name", "concat('f', r_regionkey) AS child", "true AS is_file"))
+    return tree.walk(t("nation", "concat('n', n_nationkey) AS node"), entries, most_per_node=2).select("root", "path", "level")
+
+
+@query("""
+SELECT n_name AS source, CASE n_nationkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE -1 END AS perf_status, CASE n_nationkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 0 ELSE -1 END AS size_status, CASE n_nationkey % 3 WHEN 0 THEN 'code of ' || n_name END AS perf_out FROM nation""")
+def compiled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that compile, that fail at one level, and of a language without a compiler; the commands stand in for one."""
+    extension = F.expr("CASE n_nationkey % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'half' ELSE 'unknown' END")
+    files = table(spark, sf_dir, "nation").select(F.col("n_name").alias("source"), extension.alias("extension"), F.concat(F.lit("code of "), F.col("n_name")).alias("code"))
+    done = compiled.compile_files(files, {"good": ("cp {src} {out}", "cp {src} {out}"), "half": ("false", "true")})
+    return done.select("source", "perf_status", "size_status", "perf_out")
+
+
+@query("""
+WITH c AS (SELECT conv_id, string_agg('v' || turn || ' = ' || turn || chr(10), '' ORDER BY turn) AS script, count(*) AS n FROM conversations GROUP BY conv_id),
+o AS (SELECT conv_id, string_agg('v' || turn || ' = ' || turn || chr(10) || repeat(chr(34), 3) || 'Example Output:' || chr(10) || CASE WHEN turn = 2 THEN 'a' || chr(10) || 'b' || chr(10) || 'c' || chr(10) || 'd' || chr(10) || 'e' || chr(10) || '...' ELSE 'out ' || turn END || chr(10) || repeat(chr(34), 3) || chr(10) || chr(10), '' ORDER BY turn) AS told FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN n >= 4 THEN script ELSE '' END AS script, CASE WHEN n >= 4 THEN told ELSE '' END AS told FROM c JOIN o USING (conv_id)""")
+def scripts_with_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code cells that each have an output, one of more lines than are shown."""
+    turn = F.col("turn").cast("string")
+    shown = F.when(F.col("turn") == 2, "a\nb\nc\nd\ne\nf").otherwise(F.concat(F.lit("out "), turn))
+    cell = F.struct(F.lit("code").alias("cell_type"), F.concat(F.lit("v"), turn, F.lit(" = "), turn).alias("input"), shown.alias("output"))
+    books = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", cell.alias("cell")))).alias("c")).select("conv_id", F.transform("c", lambda x: x["cell"]).alias("cells"))
+    return books.select("conv_id", notebooks.script(F.col("cells")).alias("script"), notebooks.script(F.col("cells"), True).alias("told"))

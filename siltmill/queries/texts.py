@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.functions import bots, content, licenses, text
+from siltmill.operators import instruct, notebooks
+from siltmill.plans import pull_render
 from siltmill.sources.readers import table
 
 QUERIES, ORACLE = {}, {}
@@ -176,3 +178,110 @@ SELECT doc_id, x.name, (x.len)::BIGINT AS n_chars FROM (SELECT doc_id, unnest([{
 def strip_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = F.array(F.struct(F.lit("raw").alias("name"), F.col("text")), F.struct(F.lit("stripped").alias("name"), text.strip_prefix(F.col("text"), "The ").alias("text")))
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(both).alias("x")).select("doc_id", "x.name", F.length("x.text").cast("long").alias("n_chars"))
+
+
+@query("SELECT c_custkey, c_name || chr(65533) || 'é' AS name FROM customer")
+def decoded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.col("c_name").cast("binary"), F.unhex(F.lit("FF")), F.lit("é").cast("binary"))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.utf8_text(raw).alias("name"))
+
+
+@query(r"""
+WITH t AS (SELECT conv_id, turn, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text, string_split(regexp_replace(text, '^\s+|\s+$', '', 'g'), chr(10))[1] AS head FROM conversations)
+SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN text WHEN 1 THEN head || chr(10) || text || chr(10) || 'On 1/2/2020 10:11 AM a@b.c wrote' WHEN 2 THEN text ELSE 'first' || chr(10) || 'first' || chr(10) || 'x notifications@github.com y' || chr(10) || text END AS text
+FROM (SELECT * REPLACE (CASE WHEN turn % 4 = 1 THEN head ELSE text END AS text) FROM t)""")
+def mail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies without a whole pattern: quoted above, quoted below, behind a footer, and with the service's address."""
+    own, head = F.col("text"), F.get(F.split("text", "\n"), F.lit(0))
+    reply = (
+        F.when(F.col("turn") % 4 == 0, F.concat(F.lit("> quoted\n> more\n"), own))
+        .when(F.col("turn") % 4 == 1, F.concat(head, F.lit("\nOn 1/2/2020 10:11 AM a@b.c wrote")))
+        .when(F.col("turn") % 4 == 2, F.concat(F.lit("footer\nReply to this email directly:\nits last line\n"), own, F.lit("\n"), F.repeat(F.lit("_"), 30)))
+        .otherwise(F.concat(F.lit("first\nx notifications@github.com y\n"), own))
+    )
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.strip_mail(reply).alias("text"))
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, left(replace(text, chr(10), ' '), 8 + (conv_id % 40)::INT) || CASE turn % 5 WHEN 1 THEN ' Release' WHEN 2 THEN ' dependency' ELSE '' END AS title FROM conversations)
+SELECT conv_id, turn, CASE WHEN length(title) >= 10 AND NOT regexp_matches(lower(title), 'depend|release') THEN 'Title: ' || title || chr(10) END AS title FROM t""")
+def rendered_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = F.expr("CASE turn % 5 WHEN 1 THEN ' Release' WHEN 2 THEN ' dependency' ELSE '' END")
+    title = F.concat(F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(1), (8 + F.col("conv_id") % 40).cast("int")), end)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", pull_render.rendered_title(title).alias("title"))
+
+
+@query(r"""
+WITH t AS (SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM conversations),
+c AS (SELECT *, CASE turn % 4 WHEN 0 THEN text WHEN 1 THEN left(text, 15) WHEN 2 THEN text || ' see CodeCov' ELSE text || '<!-- note --> end' END AS said, CASE turn % 4 WHEN 3 THEN text || ' end' WHEN 1 THEN left(text, 15) ELSE text END AS shown FROM t)
+SELECT conv_id, turn, CASE WHEN turn % 4 = 2 THEN role || ': [OMITTED]CodeCov' WHEN length(shown) >= 20 THEN role || ': ' || left(shown, 1000) END AS said FROM c""")
+def rendered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.regexp_replace("text", r"^\s+|\s+$", "")
+    said = F.when(F.col("turn") % 4 == 0, own).when(F.col("turn") % 4 == 1, F.substring(own, 1, 15)).when(F.col("turn") % 4 == 2, F.concat(own, F.lit(" see CodeCov"))).otherwise(F.concat(own, F.lit("<!-- note --> end")))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", pull_render.rendered_text(F.col("role"), said).alias("said"))
+
+
+@query("""
+SELECT page_id, CASE page_id % 2 WHEN 0 THEN 'easy' ELSE 'hard' END AS difficulty, 'field' || page_id % 9 AS field, 'topic_' || page_id AS topic FROM pages""")
+def math_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id")
+    name = F.concat(F.lit("file:/data/train-"), F.when(k % 2 == 0, "easy").otherwise("hard"), F.lit("/field"), (k % 9).cast("string"), F.lit("__topic_"), k.cast("string"), F.lit(".txt"))
+    difficulty, field, topic = instruct.math_file(name)
+    return table(spark, sf_dir, "pages").select("page_id", difficulty.alias("difficulty"), field.alias("field"), topic.alias("topic"))
+
+
+@query("""
+WITH p AS (SELECT doc_id, string_split(text, 'the ') AS p FROM documents),
+s AS (SELECT doc_id, list_filter(list_transform(p, lambda x, i: CASE WHEN i = 1 THEN x ELSE 'the ' || x END), lambda x: x <> '') AS s FROM p)
+SELECT doc_id, len(s) AS n_pieces, coalesce(list_max(list_transform(s, lambda x: length(x))), 0) AS longest, array_to_string(s, '|') AS pieces FROM s""")
+def marked_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = text.split_before(F.col("text"), ("the ", "no such mark"))
+    longest = F.coalesce(F.array_max(F.transform("s", F.length)), F.lit(0)).cast("long")
+    return table(spark, sf_dir, "documents").select("doc_id", s.alias("s")).select("doc_id", F.size("s").cast("long").alias("n_pieces"), longest.alias("longest"), F.array_join("s", "|").alias("pieces"))
+
+
+@query(r"""
+WITH w AS (SELECT conv_id, turn, unnest(list_concat(string_split(text, ' '), ['for', 'x.y(1)', ' None ', 'a b', 'f()+1', '-x'])) AS word FROM conversations)
+SELECT conv_id, turn, count(*) AS n_words, count(*) FILTER (regexp_full_match(regexp_replace(word, '^\s+|\s+$', '', 'g'), '\w[\w.()+]*') AND trim(word) NOT IN ('for', 'None', 'in', 'is', 'as', 'or', 'not', 'and', 'if', 'with', 'from', 'try', 'del', 'pass')) AS n_names FROM w GROUP BY ALL""")
+def identifier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = F.array(*map(F.lit, ("for", "x.y(1)", " None ", "a b", "f()+1", "-x")))
+    words = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.concat(F.split("text", " ", -1), more)).alias("word"))
+    return words.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_words"), F.count_if(text.is_identifier(F.col("word"))).alias("n_names"))
+
+
+@query("SELECT conv_id, count(*) FILTER (role = 'user') / count(*)::DOUBLE AS share FROM conversations GROUP BY conv_id")
+def markdown_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = F.collect_list(F.when(F.col("role") == "user", "markdown").otherwise("code"))
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(types.alias("t")).select("conv_id", content.markdown_share(F.col("t")).alias("share"))
+
+
+@query("""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '../input/a/' || doc_id || '.csv|x.csv' WHEN 1 THEN '' WHEN 2 THEN 'd' || doc_id || '.csv' ELSE '' END AS paths, CASE doc_id % 4 WHEN 0 THEN 'a/' || doc_id || '.csv' ELSE '' END AS sets FROM documents""")
+def read_csv_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Programs that read two files, one by a variable, one after a magic, and none that can be parsed."""
+    k = F.col("doc_id").cast("string")
+    quoted = F.concat(F.lit("note = "), F.to_json(F.struct(F.col("text").alias("t"))), F.lit("\n"))
+    code = (
+        F.when(F.col("doc_id") % 4 == 0, F.concat(quoted, F.lit("import pandas as pd\na = pd.read_csv(' ../input/a/"), k, F.lit(".csv')\nif a:\n    b = pd.read_csv('x.csv', sep=';')\n")))
+        .when(F.col("doc_id") % 4 == 1, F.concat(quoted, F.lit("pd.read_csv(path)\nread_csv('plain.csv')\n")))
+        .when(F.col("doc_id") % 4 == 2, F.concat(F.lit("%matplotlib inline\n"), quoted, F.lit("x = pd.read_csv('d"), k, F.lit(".csv')")))
+        .otherwise(F.concat(F.lit("pd.read_csv('x.csv'\n"), F.col("text")))
+    )
+    found = table(spark, sf_dir, "documents").select("doc_id", notebooks.read_csv_paths(code).alias("p"))
+    return found.select("doc_id", F.array_join("p", "|").alias("paths"), F.array_join(notebooks.dataset_paths(F.col("p")), "|").alias("sets"))
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, replace(text, chr(10), ' ') AS text, turn % 5 AS k FROM conversations)
+SELECT conv_id, turn, CASE k WHEN 0 THEN '<empty>' WHEN 1 THEN CASE WHEN length(text) > 600 THEN left(text, 600) || '...' ELSE text END WHEN 2 THEN '| h |' || chr(10) || '| --- |' || chr(10) || '| v' || conv_id || '&#124; |' WHEN 3 THEN '**md**' ELSE '<empty>' END AS output FROM c""")
+def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs of cells: none, a stream of lines, a table beside its plain text, Markdown beside plain text, a progress bar."""
+    k = F.col("turn") % 5
+    plain = F.replace("text", F.lit("\n"), F.lit(" "))
+    data = lambda **kinds: F.create_map(*[x for name, value in kinds.items() for x in (F.lit(name.replace("_", "/")), value)])
+    html = F.concat(F.lit("<div><table><tr><th>h</th></tr><tr><td>v"), F.col("conv_id").cast("string"), F.lit("|</td></tr></table></div>"))
+    kinds = F.when(k == 2, data(text_html=html, text_plain=F.lit("no"))).when(k == 3, data(text_markdown=F.lit("**md**"), text_plain=F.lit("no"))).when(k == 4, data(text_plain=F.lit("50%................"), image_png=F.lit("x")))
+    output = F.struct(F.when(k == 1, F.concat(plain, F.lit("\n"))).alias("text"), kinds.alias("data"))
+    cell = F.struct(F.lit("code").alias("cell_type"), F.lit("x").alias("source"), F.when(k > 0, F.array(output)).alias("outputs"))
+    books = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.to_json(F.array(cell)).alias("content"), F.concat_ws("/", "conv_id", "turn").alias("file_id"))
+    return notebooks.cells_of(books).select("conv_id", "turn", F.get("cells", F.lit(0))["output"].alias("output"))

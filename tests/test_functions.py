@@ -109,6 +109,7 @@ def test_cleaning(spark):
     assert apply(spark, [code], text.clean_code) == ["x = 1\nz = 2"]
     assert apply(spark, ["../input/a/b.csv", "/kaggle/input/x/y/z.csv", "../input/b.csv", None], text.csv_path) == ["a/b.csv", "x/y/z.csv", None, None]
     assert apply(spark, ["<pr>a<pr_base>b"], lambda c: text.split_before(c, ("<pr>", "<pr_base>"))) == [["<pr>a", "<pr_base>b"]]
+    assert apply(spark, ["x", " a.b(1) ", "for", "a b", ""], text.is_identifier) == [True, True, False, False, False]
     assert apply(spark, ["a/b.tar.gz", "x/.rc", "noext"], text.suffix) == ["gz", "", ""]
     assert apply(spark, [bytearray(b"ab\xff"), bytearray(b"ok")], text.utf8_text, "binary") == ["ab�", "ok"]
 
