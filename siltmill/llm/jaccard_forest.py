@@ -9,8 +9,9 @@ prefix is shortened that far at once: it costs little. In its crowded trees a do
 a time, in the least crowded tree first, until its trees together reach the target recall for a pair at the threshold.
 So crowds (documents alike without being near-duplicates) are told apart by long prefixes.
 
-What meets below a node is compared there by exact intersection of the shingle sets, every pair in the first tree in
-which it meets; components are taken of the verified links. Documents with equal shingle sets are one class throughout.
+What meets below a node is compared there by exact intersection of the shingle sets, every pair once: those that meet
+the same smallest class in one group, others in the first tree in which they meet. Components are taken of the verified
+links. Documents with equal shingle sets are one class throughout.
 """
 from __future__ import annotations
 
@@ -142,13 +143,13 @@ def forest_nodes(classes: DataFrame, trees: int, longest: int, similarity: float
     shortest = matched_depth(similarity, trees, longest, SURE)
     every = classes.select("no", F.explode(F.array(*[F.struct(F.lit(t).alias("table"), _node(F.lit(t), shortest, longest).alias("node")) for t in range(trees)])).alias("x")).select("no", "x.*")
     full = every.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = written(every.join(full.repartition("node", "n"), "node"), "met", narrow=True)  # see links.components()
+    met = written(every.join(full.repartition("node", "n"), "node"), "met")  # see links.components()
     crowded = met.filter(F.col("n") > roomy)
     if crowded.isEmpty():
         return met.select("no", "table", "node")
     depths = F.array(*[F.struct(F.lit(d).alias("depth"), _node(F.col("table"), d, longest).alias("node")) for d in range(shortest, longest + 1)])
     prefixes = crowded.select("no", "table").join(classes.select("no", "labels"), "no").select("no", "table", F.explode(depths).alias("x"))
-    prefixes = written(prefixes.select("no", "table", "x.*"), "prefixes", narrow=True)
+    prefixes = written(prefixes.select("no", "table", "x.*"), "prefixes")
     sizes = prefixes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).repartition("node", "n")
     mine = prefixes.join(sizes, "node").groupBy("no").agg(F.sort_array(F.collect_list(F.struct("table", "depth", "n", "node"))).alias("x"))
 
@@ -208,13 +209,13 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def read(row) -> tuple | None:  # noqa: ANN001
         """The row's class with its shingles; nothing for another text of the representative's id."""
         h = shingles(row.text, words)
-        return (row.no, row.own, row.copies, row.marks, h) if xxhash.xxh128_digest(h.tobytes()) == row.key else None
+        return (row.no, row.own, row.copies, row.leader, row.marks, h) if xxhash.xxh128_digest(h.tobytes()) == row.key else None
 
     for (_, table, i, j), classes in links.units(batches, BY, "no", read):
         classes.sort(key=lambda c: c[0])  # then the smallest index is the smallest number
-        numbers, blocks, copies, marks, sets = zip(*classes)
+        numbers, blocks, copies, leaders, marks, sets = zip(*classes)
         a, b = linked(list(sets), np.array(blocks), i != j)
-        first = links.met_first(np.stack(marks), table, a, b)
+        first = links.met_first(np.array(leaders), np.stack(marks), table, a, b)
         if first.any():
             yield links.unit_report(np.array(numbers), np.array(copies), a[first], b[first])
 
@@ -233,15 +234,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     signed = written(signatures(docs, id_col, text_col, trees, longest), "signatures")
     classes = links.numbered(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")))
-    members = written(forest_nodes(classes, trees, longest, THRESHOLD[0] / THRESHOLD[1], recall, roomy), "members", narrow=True)
-    met = written(links.meetings(members), "meetings", narrow=True)
-    nodes = members.join(met.select("no").distinct(), "no", "left_semi").groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("table", "node"))).alias("m"))
-    marks = nodes.select("no", F.array(*[F.coalesce(F.try_element_at("m", F.lit(t)), F.col("no")) for t in range(trees)]).alias("marks"))
+    members = written(forest_nodes(classes, trees, longest, THRESHOLD[0] / THRESHOLD[1], recall, roomy), "members")
+    met, led = links.meetings(members)
+    nodes = members.groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("table", "node"))).alias("m")).join(led, "no")
+    marks = nodes.select("no", "leader", F.array(*[F.coalesce(F.try_element_at("m", F.lit(t)), F.col("no")) for t in range(trees)]).alias("marks"))
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
     known = classes.select("no", "key", "rep", "copies").join(marks, "no").join(texts, "rep").drop("rep")  # each text once
     placed = links.in_blocks(met, F.col("n"), F.col("no")).select(*BY, "own", "no")
     ready = placed.join(known, "no").repartition(*BY).sortWithinPartitions(*BY)
-    found = written(ready.mapInPandas(_compare, links.REPORT), "links", narrow=True)
+    found = written(ready.mapInPandas(_compare, links.REPORT), "links")
     return links.resolve(signed.withColumnRenamed("id", id_col), classes.select("no", "key", "rep", "copies"), found, id_col)
 
 

@@ -27,19 +27,32 @@ def numbered(classes: DataFrame) -> DataFrame:
     return written(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
 
 
-def meetings(members: DataFrame) -> DataFrame:
-    """members (no, table, node; nodes are of one table each) of the nodes that hold several, with their number n. Of
-    nodes with the same members that of the first table stays: what meets in the others has met there."""
-    marks = [F.bit_xor(F.xxhash64("no")).alias("x"), F.bit_xor(F.xxhash64("no", F.lit(1))).alias("y")]
-    nodes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *marks, F.min("table").alias("table")).filter("n > 1")
-    first = nodes.groupBy("n", "x", "y").agg(F.min_by("node", "table").alias("node")).select("node", "n")
-    return members.join(first.repartition("node", "n"), "node")  # see components()
-
+def meetings(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """members (no, table, node; nodes are of one table each) -> the groups to compare (no, table, node, n) and the
+    leaders (no, leader) of those that meet others.
 
-def met_first(marks: np.ndarray, table: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the pairs (a, b) share no node of an earlier table; marks has a row per class, a column per table."""
-    first = np.ones(len(a), bool)
-    for t in range(table):
+    A class's leader is the smallest number that it meets in any node. Those of one leader are a group, as table 0, so
+    a tight cluster is compared once, not once in each of its nodes. What is left are nodes of several leaders, for the
+    pairs of different ones; of nodes with the same members that of the first table stays.
+    """
+    nodes = members.groupBy("node").agg(F.min("no").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("node", "low")
+    led = members.join(nodes.repartition("node", "low"), "node").groupBy("no").agg(F.min("low").alias("leader"))  # see components()
+    led = written(led, "leaders")
+    sizes = led.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = led.join(sizes.repartition("leader", "n"), "leader").select("no", F.lit(0).alias("table"), F.xxhash64(F.lit("leader"), "leader").alias("node"), "n")
+    marks = [F.bit_xor(F.xxhash64("no")).alias("x"), F.bit_xor(F.xxhash64("no", F.lit(1))).alias("y")]
+    rows = members.join(led, "no")
+    mixed = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *marks, F.min("table").alias("table"), F.min("leader").alias("low"), F.max("leader").alias("high")).filter("low < high")
+    one = mixed.groupBy("n", "x", "y").agg(F.min_by("node", "table").alias("node")).select("node", "n")
+    rest = members.join(one.repartition("node", "n"), "node").select("no", (F.col("table") + 1).alias("table"), "node", "n")
+    return first.unionByName(rest), led
+
+
+def met_first(leaders: np.ndarray, marks: np.ndarray, table: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) that meet in a table of meetings() share neither a leader, unless that is the table,
+    nor a node of an earlier table; marks has a row per class and a column per table."""
+    first = np.ones(len(a), bool) if table == 0 else leaders[a] != leaders[b]
+    for t in range(table - 1):
         first &= marks[a, t] != marks[b, t]
     return first
 

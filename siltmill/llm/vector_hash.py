@@ -86,13 +86,13 @@ def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"id": batch["id"], "key": [None if v is None else hashlib.md5(v.tobytes()).digest() for v in vectors], "vector": vectors})
 
 
-def linked(x: np.ndarray, marks: np.ndarray, table: int, blocks: np.ndarray, crossed: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def linked(x: np.ndarray, leaders: np.ndarray, marks: np.ndarray, table: int, blocks: np.ndarray, crossed: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (a < b) of at least that cosine that meet in this table for the first time."""
     close = x @ x.T >= threshold
     if crossed:
         close &= blocks[:, None] != blocks[None, :]
     a, b = np.nonzero(np.triu(close, 1))
-    first = links.met_first(marks, table, a, b)
+    first = links.met_first(leaders, marks, table, a, b)
     return a[first], b[first]
 
 
@@ -128,15 +128,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             for size in {len(r.vector) for r in rows}:
                 mine = [r for r in rows if len(r.vector) == size]
                 x = unit_vectors(np.stack([r.vector for r in mine]).astype(np.float64))
-                a, b = linked(x, np.stack([r.buckets for r in mine]), table, np.array([r.own for r in mine]), i != j, threshold)
+                a, b = linked(x, np.array([r.leader for r in mine]), np.stack([r.buckets for r in mine]), table, np.array([r.own for r in mine]), i != j, threshold)
                 if len(a):
                     yield links.unit_report(np.array([r.no for r in mine]), np.array([r.copies for r in mine]), a, b)
 
     signed = written(classes.select("no", "vector").mapInPandas(sign, "no long, buckets array<int>"), "buckets")
     spread = signed.select("no", F.posexplode("buckets").alias("table", "bucket"))
-    met = written(links.meetings(spread.select("no", "table", F.shiftleft(F.col("table").cast("long"), 32).bitwiseOR(F.col("bucket").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("node"))), "meetings", narrow=True)
-    known = classes.select("no", "copies", "vector").join(signed, "no")
+    bucket = F.shiftleft(F.col("table").cast("long"), 32).bitwiseOR(F.col("bucket").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    every = spread.select("no", "table", bucket.alias("node"))
+    shared = every.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = written(every.join(shared.repartition("node", "n"), "node").select("no", "table", "node"), "members")  # see links.components()
+    met, led = links.meetings(members)
+    known = classes.select("no", "copies", "vector").join(signed, "no").join(led, "no")
     placed = links.in_blocks(met, F.col("n"), F.col("no")).select(*BY, "own", "no")
     ready = placed.join(known, "no").repartition(*BY).sortWithinPartitions(*BY)
-    found = written(ready.mapInPandas(compare, links.REPORT), "links", narrow=True)
+    found = written(ready.mapInPandas(compare, links.REPORT), "links")
     return links.resolve(keyed.select(F.col("id").alias(id_col), "key"), classes.select("no", "key", "rep", "copies"), found, id_col)
