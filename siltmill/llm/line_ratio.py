@@ -16,7 +16,9 @@ from siltmill.llm.tables import written
 RATIO = 0.1
 #: And only if it is on that many pages at least, so that hosts of a few pages keep their texts.
 LEAST_PAGES = 3
-#: Digests (of 16 bytes) in all hosts' lists up to which they are broadcast; beyond, they are joined by host.
+#: Digests (of 16 bytes) in all hosts' lists up to which they are broadcast; beyond, they are joined by host, and each
+#: list goes to DEALT tasks, so that a host with a third of all pages is no single task's.
+DEALT = 64
 MOST_BROADCAST = 100_000
 _SPACE = " \t\n\x0b\f\r"
 
@@ -44,9 +46,13 @@ def _often(lines: DataFrame, pages: DataFrame, ratio: float, least_pages: int) -
     return counts.join(pages, "host").filter(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("host").agg(F.collect_list("key").alias("keys"))
 
 
-def _small(found: DataFrame, keys: str) -> DataFrame:
-    """found, to be broadcast while its digests are few; then no text is shuffled."""
-    return F.broadcast(found) if (found.agg(F.sum(F.size(keys))).first()[0] or 0) <= MOST_BROADCAST else found
+def _with_lists(rows: DataFrame, host: str, text: str, found: DataFrame, how: str) -> DataFrame:
+    """rows with their host's list in __keys; found: __host, __keys. While the digests are few, no text is shuffled."""
+    if (found.agg(F.sum(F.size("__keys"))).first()[0] or 0) <= MOST_BROADCAST:
+        return rows.join(F.broadcast(found), F.col(host) == F.col("__host"), how).drop("__host")
+    lists = found.withColumn("__to", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    dealt = rows.withColumn("__deal", F.pmod(F.xxhash64(text), F.lit(DEALT)).cast("int"))
+    return dealt.join(lists, (F.col(host) == F.col("__host")) & (F.col("__deal") == F.col("__to")), how).drop("__host", "__deal", "__to")
 
 
 def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -74,12 +80,11 @@ def boilerplate_once(docs: DataFrame, text_col: str = "text", host_col: str = "s
     mark = F.md5(F.col("text").cast("binary")).alias("mark")
     texts = written(rows.select("host", mark, "keys").distinct(), "texts")
     pages = texts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = written(_often(texts.select("host", F.explode("keys").alias("key")), pages, ratio, least_pages).withColumnRenamed("keys", "often"), "often")
+    often = written(_often(texts.select("host", F.explode("keys").alias("key")), pages, ratio, least_pages).withColumnsRenamed({"host": "__host", "keys": "__keys"}), "often")
     if often.isEmpty():
-        return often.withColumnRenamed("often", "keys")
-    listed = _small(often, "often")
-    held = texts.join(listed, "host").select("host", "mark", F.array_intersect("keys", "often").alias("keys")).filter(F.size("keys") > 0)
-    suspects = written(rows.join(listed, "host").filter(F.arrays_overlap("keys", "often")).groupBy(mark).agg(F.first("text").alias("text")), "suspects")
+        return often.withColumnsRenamed({"__host": "host", "__keys": "keys"})
+    held = _with_lists(texts, "host", "mark", often, "inner").select("host", "mark", F.array_intersect("keys", "__keys").alias("keys")).filter(F.size("keys") > 0)
+    suspects = written(_with_lists(rows, "host", "text", often, "inner").filter(F.arrays_overlap("keys", "__keys")).groupBy(mark).agg(F.first("text").alias("text")), "suspects")
     alike = jaccard_forest.near_duplicates(suspects, "mark", "text").select("mark", F.col("component_id").alias("alike"))
     groups = written(held.join(alike, "mark").select("host", "alike", "mark", "keys"), "alike")
     less = groups.groupBy("host").agg((F.count(F.lit(1)) - F.count_distinct("alike")).alias("less"))
@@ -96,10 +101,10 @@ def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "s
     an empty table. Repeated rows count as pages and stay repeated; with `once`, copies and near copies of a document count as one page, see boilerplate_once().
     """
     lists = (boilerplate_once if once else boilerplate)(docs, text_col, host_col, ratio, least_pages)
-    found = _small(written(lists.withColumnsRenamed({"host": "__host", "keys": "__keys"}), "boilerplate"), "__keys")
-    joined = docs.drop("n_lines", "n_dropped").join(found, docs[host_col] == F.col("__host"), "left").withColumn("__lines", _lines(F.col(text_col)))
+    found = written(lists.withColumnsRenamed({"host": "__host", "keys": "__keys"}), "boilerplate")
+    joined = _with_lists(docs.drop("n_lines", "n_dropped"), host_col, text_col, found, "left").withColumn("__lines", _lines(F.col(text_col)))
     stays = F.filter("__lines", lambda x: (_bare(x) == "") | ~F.array_contains(F.col("__keys"), _key(x)))
     left = joined.withColumn("__left", F.when(F.col("__keys").isNull(), F.col("__lines")).otherwise(stays))
     count = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
     out = left.withColumns({"n_lines": count("__lines"), "n_dropped": count("__lines") - count("__left"), text_col: F.array_join("__left", "\n")})
-    return out.drop("__host", "__keys", "__lines", "__left")
+    return out.drop("__keys", "__lines", "__left")
