@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, piece_sampling, rule_ledger, shard_table, source_mix, url_automaton, vector_hash
-from siltmill.llm.tables import new_path, table
+from siltmill.llm.tables import new_path, table, written
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = source_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = table(spark, sf_dir, "documents")
+    sizes = written(docs.select("doc_id", "source", source_mix.text_size(F.col("text")).alias("size")), "sizes")  # read twice
+    mixed = source_mix.mix(sizes, size_col="size")
     return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
@@ -164,7 +166,7 @@ SELECT page_id, host, path, name AS rule, coalesce(v, CASE WHEN regexp_matches('
     "op6_sharding": _PLACED.format(more=""),
     "sharded_documents": _PLACED.format(more=", length(text)::BIGINT AS n_chars"),
     "op8_source_mix": rf"""
-WITH d AS (SELECT doc_id, source, coalesce(source IS NOT NULL, false) AS named, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS mark FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(source IS NOT NULL, false) AS named, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'size ' || len(regexp_extract_all(coalesce(text, ''), '{_WORD}')))) AS mark FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [1, 2, 3][1 + ((row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") - 1) % 3)::INT] AS weight FROM s),
 o AS (SELECT *, sum(3 * source_size) OVER b AS full_before, sum(weight) OVER b AS weight_before, sum(source_size) OVER () AS words, sum(weight) OVER () AS weights

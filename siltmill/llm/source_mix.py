@@ -51,17 +51,20 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return marked.withColumn("target", F.when(F.col("capped"), full.cast("double")).otherwise(share)).drop("capped")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", size_col: str | None = None) -> DataFrame:
     """docs with size, source_size, target, copies and taken = copies * size; columns of those names are replaced.
 
     No row is emitted more than MOST_REPEATS times. Null and empty texts have size 0; a null source is a source of
-    its own; rows without an id count like others; equal rows may swap copies, which leaves the result as it is.
-    Reruns agree: all that is random comes from digests of the seed, the source and the ids.
+    its own; rows without an id count like others; equal rows may swap copies, which leaves the result as it is. An
+    empty table gives an empty table. Reruns agree: all that is random comes from digests of the seed, the source and
+    the ids (of the sizes, where there is no id). size_col names a column of sizes that have been counted before; then
+    no text is read.
     """
-    mark = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    own = {"size": text_size(F.col(text_col)), "__source": F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")), "__mark": mark}
+    size = text_size(F.col(text_col)) if size_col is None else F.col(size_col)
+    own = {"size": size, "__source": F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit(""))}
     sized = docs.drop("source_size", "target", "copies", "taken").withColumns(own)
-    sized = sized.withColumns({"__class": size_class(F.col("size")), "__salt": F.substring("__mark", 1, 2)})
+    mark = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("size "), F.col("size").cast("string")))
+    sized = sized.withColumn("__mark", F.md5(mark.cast("binary"))).withColumns({"__class": size_class(F.col("size")), "__salt": F.substring("__mark", 1, 2)})
     cell = ["__source", "__class", "__salt"]
     cells = written(sized.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__words")), "cells")  # read twice
     sources = source_targets(
