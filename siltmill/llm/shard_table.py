@@ -62,7 +62,8 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 def place(df: DataFrame, key: str, shards: Sequence[str] = SHARDS, slots: int = SLOTS, slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
     """df with its slot and shard, which replace columns of those names. Nothing is shuffled: the lookup table has
-    `slots` rows whatever the input and is broadcast. Rows with equal keys, nulls included, share a shard."""
+    `slots` rows whatever the input and is broadcast. Rows with equal keys, nulls included, share a shard; an empty table
+    gives an empty table."""
     table = lookup_table(df.sparkSession, shards, slots).select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
     keyed = df.withColumn("__at", slot_of(F.col(key), slots)).drop(slot_col, shard_col)
     return keyed.join(F.broadcast(table), F.col("__at") == F.col("__slot"), "left").withColumnsRenamed({"__at": slot_col, "__shard": shard_col}).drop("__slot")
