@@ -30,17 +30,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays."""
+    """Of each group of near-duplicates the document of the smallest id stays. Documents without an id, null and empty
+    texts stay, repeated ones too; an empty table stays empty, and columns of any names come through."""
     return jaccard_forest.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the sources' target weights take them."""
+    """Documents as often as the sources' target weights take them, at most three times. A null source is a source of its
+    own; a null or empty text counts no words and comes as often as its place in its source says; an empty table stays
+    empty, and columns of any names come through."""
     return source_mix.emit(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's drawn segmentations; a document that the mix repeats draws the same again."""
+    """Every document's drawn segmentations; a document that the mix repeats draws the same again. A null text has one row
+    of null pieces, an empty text one of no pieces, and an empty table none; other columns are ignored."""
     return piece_sampling.sample_encodings(docs)
 
 
