@@ -1,4 +1,5 @@
 import time
+import zlib
 from html.parser import HTMLParser
 
 import numpy as np
@@ -207,3 +208,14 @@ def test_temperature_lowers_the_loss():
     t = g.fit_temperature(logits, labels)
     loss = lambda t: -np.log(g.softmax(logits / t)[np.arange(500), labels]).mean()
     assert t > 1 and loss(t) < loss(1.0)
+
+
+def test_language_query_on_held_out_documents(spark):
+    """Rows that nothing is learned from, over the whole table."""
+    got = queries.op7_language_id(spark, "/root/testdata/sf0.01").collect()
+    truth = {r["doc_id"]: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in got) == sorted(truth)
+    tested = [r for r in got if r["held_out"] and truth[r["doc_id"]]["lang"] is not None and any(map(str.isalpha, truth[r["doc_id"]]["text"] or ""))]
+    assert len(tested) > 100 and sum(r["lang_pred"] == truth[r["doc_id"]]["lang"] for r in tested) >= 0.97 * len(tested)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 for r in got)
+    assert {r["lang_pred"] for r in got} <= {r["lang"] for r in truth.values()} | {"und"}

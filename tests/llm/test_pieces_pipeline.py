@@ -170,3 +170,69 @@ def test_one_row_of_each_component_stays(spark):
     got = j.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got.columns == ["doc_id", "text"]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(1, a), (2, b), (3, c), (5, ""), (5, ""), (6, None), (None, a), (None, a)]))
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage over the whole smallest table, each against a plain version of its work on what the one before kept."""
+    import corpus_pipeline as c
+    import duckdb
+
+    from siltmill.llm import jaccard_forest, language_id, line_ratio, queries
+    from siltmill.llm.tables import table, written
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = table(spark, sf_dir, "documents")
+    at, rows = dict(c.STAGES), lambda df: sorted(map(tuple, df.collect()), key=repr)
+
+    kept = written(at["language_id"](spark, docs, sf_dir), "kept")
+    told = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    assert rows(kept) == rows(docs.filter(docs.doc_id.isin([k for k, r in told.items() if r["lang_pred"] != "und" and r["score"] >= language_id.LEAST_SCORE])))
+
+    def shingles(text):
+        w = text.encode().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    def components(texts):
+        """The smallest index that each text reaches by pairs alike at 0.8."""
+        sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+        for a in range(len(texts)):
+            for b in range(a):
+                if sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                    low, high = sorted((root[a], root[b]))
+                    root = [low if x == high else x for x in root]
+        return root
+
+    cut = written(at["line_dedup"](spark, kept, sf_dir), "cut")
+    lines = lambda t: {x.strip(" \t\n\x0b\x0c\r") for x in t.split("\n")} - {""}
+    want = []
+    for source in {r["source"] for r in kept.collect()}:
+        mine = [r for r in kept.collect() if r["source"] == source]
+        texts = sorted({r["text"] for r in mine})
+        over = lambda pages, n: {x for x, k in Counter(x for p in pages for x in p).items() if k >= line_ratio.LEAST_PAGES and k > line_ratio.RATIO * n}
+        often = over([lines(t) for t in texts], len(texts)) if source is not None else set()
+        held = [t for t in texts if lines(t) & often]
+        groups = components(held)
+        pages = [set().union(*(lines(t) & often for t, g in zip(held, groups) if g == k)) for k in set(groups)]
+        drop = over(pages, len(texts) - len(held) + len(pages))
+        for r in mine:
+            left = [x for x in r["text"].split("\n") if x.strip(" \t\n\x0b\x0c\r") not in drop]
+            same = len(left) == r["text"].count("\n") + 1
+            text = "\n".join(left)
+            if same or text.strip(" "):
+                want.append((r["doc_id"], text, r["lang"], r["source"], r["n_chars"] if same else len(text)))
+    assert rows(cut) == sorted(want, key=repr)
+
+    one = written(at["near_duplicates"](spark, cut, sf_dir), "one")
+    before = sorted(cut.collect(), key=lambda r: r["doc_id"])
+    assert rows(one) == sorted((tuple(r) for i, (r, g) in enumerate(zip(before, components([r["text"] for r in before]))) if g == i or not r["text"].split()), key=repr)
+    assert jaccard_forest.WIDTH == 5
+
+    mixed = written(at["source_mix"](spark, one, sf_dir), "mixed")
+    con = duckdb.connect()
+    con.register("documents", one.toPandas())
+    copies = {k: n for k, n in con.execute(f"SELECT doc_id, copies FROM ({queries.ORACLE['op8_source_mix']})").fetchall() if n}
+    assert Counter(r["doc_id"] for r in mixed.collect()) == Counter(copies) and set(mixed.collect()) <= set(one.collect())
+
+    last = at["piece_sampling"](spark, mixed, sf_dir)
+    back = Counter(map(tuple, p.decode(last.filter("sample = 1")).select("doc_id", "text").collect()))
+    assert back == Counter((r["doc_id"], r["text"]) for r in mixed.collect()) and last.filter("NOT decodes").count() == 0
