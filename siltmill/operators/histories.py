@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltmill.functions.bots import is_bot
-from siltmill.functions.text import anonymised, pull_guid
+from siltmill.functions.text import anonymised, let, pull_guid
 
 ISSUE_TYPES = ("IssuesEvent", "IssueCommentEvent")
 REVIEW, REVIEW_COMMENT, PULL = "PullRequestReviewEvent", "PullRequestReviewCommentEvent", "PullRequestEvent"
@@ -183,7 +183,8 @@ def with_stats(histories: DataFrame) -> DataFrame:
         }
     )
     reviews = F.transform(mine(lambda x: x["type"] == REVIEW), lambda x: F.struct(x["review_comment_id"].alias("id"), x["review_state"].alias("state")))
-    last = F.aggregate(reviews, F.array().cast("array<struct<id:bigint,state:string>>"), lambda a, r: F.concat(F.filter(a, lambda o: ~o["id"].eqNullSafe(r["id"])), F.array(r)))
+    by_id = F.array_sort(F.transform(reviews, lambda r, i: F.struct(r["id"].alias("id"), i.alias("i"), r["state"].alias("state"))))
+    last = let(by_id, lambda rs: F.filter(rs, lambda r, i: (i == F.size(rs) - 1) | ~F.get(rs, i + 1)["id"].eqNullSafe(r["id"])))
     out = out.withColumn("__last", last)
     count = lambda keep: F.size(F.filter("__last", keep)).cast("long")
     in_state = lambda state: lambda r: r["state"] == state

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltmill.operators.dedup import first_by
+
 
 def ancestors(path: Column) -> Column:
     """All prefixes of a path that end in `/`; none for a path without one."""
@@ -59,8 +61,9 @@ def licensed(df: DataFrame, licenses: DataFrame, repo: str = "repo_name") -> Dat
 
 
 def full_outer_once(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join after each side is cut to one row per key; which one is the side's business."""
-    return left.dropDuplicates([key]).join(right.dropDuplicates([key]), key, "full")
+    """Full outer join after each side is cut to one row per key: of several, that of the smallest digest."""
+    one = lambda df: first_by(df, [key], [F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])])
+    return one(left).join(one(right), key, "full")
 
 
 def paired_files(df: DataFrame, key: Sequence[str], base: str = "base_files", head: str = "head_files", out: str = "head_base_files") -> DataFrame:

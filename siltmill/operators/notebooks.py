@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.functions.text import cap_output, clean_code, clean_markdown, csv_path, is_progress, strip_prefix
+from siltmill.functions.text import cap_output, clean_code, clean_markdown, csv_path, is_progress, let, strip_prefix
 from siltmill.operators.dedup import uniform
 
 EMPTY = "<empty>"
@@ -136,14 +136,20 @@ def cells_of(notebooks: DataFrame, content: str = "content", drop_share: float =
 
 def segments(cells: Column) -> Column:
     """Runs of cells of one type without output between them, each as one cell with the output of its last."""
-    same = lambda a, c: (F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["output"] == EMPTY) & (F.try_element_at(a, F.lit(-1))["cell_type"] == c["cell_type"])
 
-    def step(a: Column, c: Column) -> Column:
-        last = F.try_element_at(a, F.lit(-1))
-        longer = F.struct(c["cell_type"].alias("cell_type"), F.concat(last["input"], F.lit("\n"), c["input"]).alias("input"), c["output"].alias("output"))
-        return F.when(same(a, c), F.concat(F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(a, F.array(c)))
+    def begins(c: Column, i: Column) -> Column:
+        before, own = F.get(c, i - 1), F.get(c, i)
+        return (i == 0) | (before["output"] != EMPTY) | (before["cell_type"] != own["cell_type"])
 
-    return F.aggregate(cells, F.array().cast("array<struct<cell_type:string,input:string,output:string>>"), step)
+    def run(c: Column, starts: Column, at: Column, k: Column) -> Column:
+        part = F.slice(c, at + 1, F.coalesce(F.get(starts, k + 1), F.size(c)) - at)
+        return let(part, lambda p: F.struct(F.get(p, F.lit(0))["cell_type"].alias("cell_type"), F.array_join(F.transform(p, lambda x: x["input"]), "\n").alias("input"), F.element_at(p, -1)["output"].alias("output")))
+
+    def runs(c: Column) -> Column:
+        places = F.transform(c, lambda _, i: i)
+        return let(F.filter(places, lambda i: F.coalesce(begins(c, i), F.lit(True))), lambda starts: F.transform(starts, lambda at, k: run(c, starts, at, k)))
+
+    return let(cells, runs)
 
 
 def formatted(cell: Column, with_results: bool = False) -> Column:
