@@ -265,7 +265,21 @@ def pull_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("pull_guid", "n_pre", "n_cre", "n_ie", "review_n_approved", "is_merged")
 
 
-@query(None)
+@query("""
+WITH t AS (SELECT conv_id, turn, role, text, CASE WHEN turn = 0 THEN 'P' WHEN turn % 3 = 1 THEN 'R' WHEN turn % 3 = 2 THEN 'I' ELSE 'C' END AS k FROM conversations),
+u AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY min(turn)) - 1 AS number FROM t GROUP BY conv_id, role),
+n AS (SELECT conv_id, list(role ORDER BY number) AS names FROM u GROUP BY conv_id),
+e AS (SELECT t.*, 'username_' || number AS who, regexp_replace(replace(replace(replace(text, names[1], 'username_0'), coalesce(names[2], chr(1)), 'username_1'), coalesce(names[3], chr(1)), 'username_2'), '^\\s+|\\s+$', '', 'g') AS said
+  FROM t JOIN u USING (conv_id, role) JOIN n USING (conv_id)),
+x AS (SELECT *, CASE WHEN length(said) >= 20 THEN who || ': ' || left(said, 1000) END AS whole, CASE WHEN said = '' THEN who ELSE who || ': ' || left(said, 1000) END AS brief,
+  '<pr_diff><pr_file>src/a.py<pr_diff_hunk>@@ -14,3 +14,4 @@' || repeat(chr(10) || ' line of ' || conv_id, 3) || chr(10) || '+new line' AS diff FROM e),
+p AS (SELECT conv_id, turn, k, whole, CASE k
+  WHEN 'P' THEN '<pr>Title: A title of some length' || chr(10) || whole || '<pr_status>opened<pr_base><pr_file>src/a.py<pr_base_code>' || repeat('line of ' || conv_id || chr(10), 15) || 'line of ' || conv_id || diff || '0'
+  WHEN 'R' THEN CASE WHEN turn = 4 THEN diff || '1' ELSE '' END || '<pr_review>' || brief || '<pr_event_id>' || turn || '<pr_review_state>approved'
+  WHEN 'C' THEN coalesce('<pr_review_comment><pr_event_id>' || turn || '<pr_file>src/a.py<pr_diff_hunk>@@ -6,2 +6,2 @@' || chr(10) || '-a' || chr(10) || '+b<pr_comment>' || whole, '')
+  ELSE coalesce('<pr_comment>' || whole || '<pr_event_id>' || turn || '<pr_status>created', '') END AS part FROM x)
+SELECT 'o' || (conv_id % 7) || '/r/pull/' || conv_id AS pull_guid, length(string_agg(part, '' ORDER BY turn)) AS length, string_agg(part, '' ORDER BY turn) AS render FROM p GROUP BY conv_id
+HAVING count(*) FILTER (k IN ('R', 'C')) > 0 AND bool_or(k = 'P' AND whole IS NOT NULL) AND length(string_agg(part, '' ORDER BY turn)) BETWEEN 200 AND 1000000""")
 def pull_renders(spark: SparkSession, sf_dir: str) -> DataFrame:
     pulls = histories.pull_histories(histories.routed(histories.flat_events(_pulls(spark, sf_dir)))[1])
     return pull_render.render(pulls, _pairs(spark, sf_dir), pull_render.Params(randomness=False)).select("pull_guid", "length", "render")
