@@ -3,6 +3,8 @@
 Each document is a set of five-word shingles. A tree of the forest is a trie over labels, a label being a sequence of
 minima under the tree's own permutations; documents meet where they stand below one trie node, that is, share a prefix
 of their labels. The shorter the prefix, the likelier a pair of some similarity meets, and the fuller the nodes.
+A node is named by the hash of its tree, depth and prefix, so the documents below it are those of equal names; they
+need not be sorted to stand together, and a full node is no single task's run.
 
 Every document starts from its longest prefixes. Where a node of the shortest prefix is roomy (holds few others), the
 prefix is shortened that far at once: it costs little. In its crowded trees a document shortens one prefix a level at
