@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltmill.functions.bots import is_bot
 from siltmill.functions.text import anonymised, let, pull_guid
+from siltmill.storage import written
 
 ISSUE_TYPES = ("IssuesEvent", "IssueCommentEvent")
 REVIEW, REVIEW_COMMENT, PULL = "PullRequestReviewEvent", "PullRequestReviewCommentEvent", "PullRequestEvent"
@@ -203,6 +204,7 @@ def without_users(histories: DataFrame, users: DataFrame) -> DataFrame:
 
     The names a history has meet the list in one join; no list is held in a task.
     """
+    histories = written(histories, "histories")  # read twice
     owner = lambda c: F.split_part(F.coalesce(c, F.lit("")), F.lit("/"), F.lit(1))
     names = F.array_distinct(F.array_compact(F.flatten(F.transform("events", lambda x: F.array(x["actor_login"], owner(x["head_repo_name"]), owner(x["base_repo_name"]))))))
     listed = histories.select("pull_guid", F.explode(names).alias("user")).join(users.select("user").distinct(), "user", "left_semi").groupBy("pull_guid").agg(F.collect_set("user").alias("__listed"))
