@@ -254,7 +254,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nothing (without an id or words) stay, repeated ones too.
     """
     text = F.col(text_col)
-    mark = F.struct(F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text"))
+    mark = F.struct(F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("text"))
     marked = docs.withColumn("__mark", F.when(F.col(id_col).isNotNull() & text.rlike(WORD), mark))
     gone = near_duplicates(marked.select("__mark", text_col), "__mark", text_col).filter("NOT kept").select(F.col("__mark").alias("__gone")).distinct()
     order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
