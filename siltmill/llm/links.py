@@ -51,9 +51,11 @@ def meetings(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def met_first(leaders: np.ndarray, marks: np.ndarray, table: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which of the pairs (a, b) that meet in a table of meetings() share neither a leader, unless that is the table,
     nor a node of an earlier table; marks has a row per class and a column per table."""
-    first = np.ones(len(a), bool) if table == 0 else leaders[a] != leaders[b]
-    for t in range(table - 1):
-        first &= marks[a, t] != marks[b, t]
+    if table == 0:
+        return np.ones(len(a), bool)
+    first = leaders[a] != leaders[b]
+    rest = np.flatnonzero(first)
+    first[rest] = (marks[a[rest], : table - 1] != marks[b[rest], : table - 1]).all(axis=1)
     return first
 
 

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
@@ -96,7 +97,31 @@ def linked(x: np.ndarray, leaders: np.ndarray, marks: np.ndarray, table: int, bl
     return a[first], b[first]
 
 
-BY = ["node", "table", "unit_i", "unit_j"]
+BY = ["node", "table", "unit_i", "unit_j", "size"]
+
+
+def _lists(column: pa.ListArray, lo: int, hi: int) -> np.ndarray:
+    """Rows lo to hi of a column of lists of equal length as a matrix."""
+    ends = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[ends[lo] : ends[hi]].reshape(hi - lo, -1)
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Runs of rows with equal BY in sorted batches, which may span batches, as arrays by column."""
+    held: list[dict[str, np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        flat = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*BY, "own", "no", "copies", "leader")}
+        ends = np.flatnonzero(np.any([flat[c][1:] != flat[c][:-1] for c in BY], axis=0)) + 1
+        for lo, hi in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows]):
+            run = {c: x[lo:hi] for c, x in flat.items()} | {c: _lists(batch.column(c), lo, hi) for c in ("vector", "buckets")}
+            if held and any(held[0][c][0] != run[c][0] for c in BY):
+                yield {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+                held = []
+            held.append(run)
+    if held:
+        yield {c: np.concatenate([h[c] for h in held]) for c in held[0]}
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL, strangers: float = STRANGERS, step: float = STEP) -> DataFrame:
@@ -122,15 +147,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                     mine = batch[sizes == size]
                     yield pd.DataFrame({"no": mine["no"], "buckets": list(buckets(np.stack(mine["vector"]).astype(np.float64), tables, projections, step))})
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (_, table, i, j), rows in links.units(batches, BY, "no", lambda row: row):
-            rows.sort(key=lambda r: r.no)  # then the smallest index is the smallest number
-            for size in {len(r.vector) for r in rows}:
-                mine = [r for r in rows if len(r.vector) == size]
-                x = unit_vectors(np.stack([r.vector for r in mine]).astype(np.float64))
-                a, b = linked(x, np.array([r.leader for r in mine]), np.stack([r.buckets for r in mine]), table, np.array([r.own for r in mine]), i != j, threshold)
-                if len(a):
-                    yield links.unit_report(np.array([r.no for r in mine]), np.array([r.copies for r in mine]), a, b)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _units(batches):
+            order = np.argsort(unit["no"])  # then the smallest index is the smallest number
+            u = {c: x[order] for c, x in unit.items()}
+            a, b = linked(unit_vectors(u["vector"].astype(np.float64)), u["leader"], u["buckets"], int(u["table"][0]), u["own"], bool(u["unit_i"][0] != u["unit_j"][0]), threshold)
+            if len(a):
+                yield pa.RecordBatch.from_pandas(links.unit_report(u["no"], u["copies"], a, b), preserve_index=False)
 
     signed = written(classes.select("no", "vector").mapInPandas(sign, "no long, buckets array<int>"), "buckets")
     spread = signed.select("no", F.posexplode("buckets").alias("table", "bucket"))
@@ -139,8 +162,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     shared = every.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(every.join(shared.repartition("node", "n"), "node").select("no", "table", "node"), "members")  # see links.components()
     met, led = links.meetings(members)
-    known = classes.select("no", "copies", "vector").join(signed, "no").join(led, "no")
-    placed = links.in_blocks(met, F.col("n"), F.col("no")).select(*BY, "own", "no")
+    known = classes.select("no", "copies", "vector", F.size("vector").alias("size")).join(signed, "no").join(led, "no")
+    placed = links.in_blocks(met, F.col("n"), F.col("no")).select(*BY[:-1], "own", "no")
     ready = placed.join(known, "no").repartition(*BY).sortWithinPartitions(*BY)
-    found = written(ready.mapInPandas(compare, links.REPORT), "links")
+    found = written(ready.mapInArrow(compare, links.REPORT), "links")
     return links.resolve(keyed.select(F.col("id").alias(id_col), "key"), classes.select("no", "key", "rep", "copies"), found, id_col)
