@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, piece_sampling, rule_ledger, shard_table, source_mix, url_automaton, vector_hash
-from siltmill.llm.tables import new_path, table, written
+from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, periodic_runs, piece_sampling, rule_ledger, shard_table, source_divergence, source_mix, url_automaton, vector_hash
+from siltmill.llm.tables import WORD, new_path, table, written
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_ratio.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def with_tails(docs: DataFrame) -> DataFrame:
+    """doc_id, text of documents; every tenth by the CRC-32 of its id repeats a period from some word to its end. Ids
+    that are null have no digest and keep their text."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w").cast("long")
+    placed = chosen.select("*", F.when(n > 0, F.col("g") % n).alias("a")).select("*", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    place = lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.transform("w", place), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_tails(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longer = lambda a, b: F.when(a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b).otherwise(a)
+    best = F.aggregate("runs", F.lit(None).cast(periodic_runs.RUN), longer)  # the runs are in the order that ties take
+    rows = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    digests = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(rows.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return digests.select("doc_id", "n_runs", "b.*", F.expr("1000 * b.length div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +114,8 @@ QUERIES = {
         op8_source_mix,
         op9_piece_sampling,
         op10_line_dedup,
+        op11_periodic_runs,
+        op12_source_divergence,
         rule_ablations,
         sharded_documents,
         piece_round_trip,
@@ -195,4 +222,36 @@ b AS (SELECT source, list(line) AS keys FROM (SELECT source, line, count(*) AS n
       WHERE n >= {line_ratio.LEAST_PAGES} AND n > CAST({line_ratio.RATIO} AS DOUBLE) * pages GROUP BY source),
 c AS (SELECT d.*, CASE WHEN keys IS NULL THEN lines ELSE list_filter(lines, lambda x: trim(x, {_SPACE}) = '' OR NOT list_contains(keys, trim(x, {_SPACE}))) END AS rest FROM d LEFT JOIN b USING (source))
 SELECT doc_id, source, array_to_string(rest, chr(10)) AS text, coalesce(len(lines), 0)::BIGINT AS n_lines, (coalesce(len(lines), 0) - coalesce(len(rest), 0))::BIGINT AS n_dropped FROM c""",
+    # the CRC-32 bit by bit; equal words that lie p apart, their stretches, and each stretch's smallest period
+    "op11_periodic_runs": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+h AS (SELECT *, len(w)::BIGINT AS n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda x, e: CASE WHEN e >= 0 THEN xor(x, e) ELSE xor(x >> 1, 3988292384 * (x & 1)) END)) AS h FROM d),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM h),
+o AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w FROM a),
+x AS (SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM o),
+e AS (SELECT a.r, b.i - a.i AS p, a.i FROM x a JOIN x b ON a.r = b.r AND a.word = b.word AND b.i > a.i AND b.i - a.i <= a.n // 4),
+s AS (SELECT r, p, min(i) AS start, count(*) + p AS length FROM (SELECT r, p, i, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM e) GROUP BY r, p, island),
+u AS (SELECT r, start, length, min(p) AS period FROM s WHERE length >= greatest(6, 4 * p) GROUP BY r, start, length),
+c AS (SELECT r, count(*) AS n_runs, list({{'start': start, 'length': length, 'period': period}} ORDER BY length * 1.0::DOUBLE / period DESC, start, period)[1] AS b,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM u GROUP BY r),
+g AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM u),
+k AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.i) AS text FROM x LEFT JOIN g ON g.r = x.r AND g.i = x.i WHERE g.i IS NULL GROUP BY x.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.start AS start, b.length AS length, b.period AS period, 1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM o LEFT JOIN c ON c.r = o.r LEFT JOIN k ON k.r = o.r""",
+    "op12_source_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {source_divergence.LEAST_DOCUMENTS}),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 2)::HUGEINT) // (g.total + 2 * v)::HUGEINT AS p, 1 + (1000000000 * (k.n + 2)::HUGEINT) // (v.total + 2 * v)::HUGEINT AS q
+      FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "C") AS rank FROM r)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM o WHERE part = 'pair' OR rank <= {source_divergence.TOP_TERMS}""",
 }
