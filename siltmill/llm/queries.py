@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, periodic_runs, piece_sampling, rule_ledger, shard_table, source_divergence, source_mix, url_automaton, vector_hash
+from siltmill.llm import html_blocks, jaccard_forest, language_id, line_ratio, maxent_lm, periodic_runs, piece_sampling, rule_ledger, shard_table, source_divergence, source_mix, url_automaton, vector_hash
 from siltmill.llm.tables import WORD, new_path, table, written
 
 
@@ -101,6 +101,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,6 +120,7 @@ QUERIES = {
         op10_line_dedup,
         op11_periodic_runs,
         op12_source_divergence,
+        op13_lm_scoring,
         rule_ablations,
         sharded_documents,
         piece_round_trip,
