@@ -118,10 +118,10 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, broadcast: int = BROADCAST) -> Vocabulary:
     """Reads at most `broadcast` rows to the driver, whatever the number of tokens."""
     size = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    rows = counts.filter(F.col("token") != F.lit(END)).orderBy(F.desc("c"), "token").limit(broadcast).toPandas()
+    rows = counts.filter(F.col("token") != F.lit(END)).orderBy(F.desc("c"), "token").limit(broadcast).toArrow()
     ends = counts.filter(F.col("token") == F.lit(END)).first()
-    tokens = [bytes(t) for t in rows["token"]]
-    known = Known(tokens, [ends["c"] if ends else 0, *rows["c"]])
+    tokens = rows["token"].to_pylist()
+    known = Known(tokens, [ends["c"] if ends else 0, *rows["c"].to_pylist()])
     code = F.pandas_udf(lambda tokens: tokens.map(ending), "int")(F.col("token"))
     whole = counts.select(code.alias("code"), "c").groupBy("code").agg(F.sum(F.col("c") + F.lit(PRIOR)).alias("m")).collect()
     masses = np.full(ENDINGS, PRIOR)
@@ -130,7 +130,7 @@ def vocabulary(counts: DataFrame, broadcast: int = BROADCAST) -> Vocabulary:
     for token, c in zip([END, *tokens][:HEAD], known.counts.tolist()):
         if c:
             masses[ending(token) - HEAD] -= c + PRIOR
-    return Vocabulary(known, size[1], size[0], np.maximum(masses, PRIOR), size[0] > len(rows) + 1)
+    return Vocabulary(known, size[1], size[0], np.maximum(masses, PRIOR), size[0] > len(tokens) + 1)
 
 
 # --- codes of texts ---
@@ -295,7 +295,7 @@ def _update(known: DataFrame, weights: np.ndarray, classes: np.ndarray) -> np.nd
         yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(met[rows]), pa.ListArray.from_arrays(offsets, pa.array(change.ravel()))], ["feature", "met", "change"])
 
     told = known.select("codes").mapInArrow(steps, "feature long, met long, change array<float>")
-    sums = told.groupBy("feature").agg(F.sum("met").alias("met"), *[F.sum(F.get("change", F.lit(i))).alias(f"c{i}") for i in range(width)]).toPandas()
+    sums = told.groupBy("feature").agg(F.sum("met").alias("met"), *[F.sum(F.get("change", F.lit(i))).alias(f"c{i}") for i in range(width)]).toArrow().to_pandas()
     new = weights.copy()
     new[sums["feature"]] += (sums[[f"c{i}" for i in range(width)]].to_numpy() / sums[["met"]].to_numpy()).astype(np.float32)
     return new
@@ -397,8 +397,8 @@ def fit(known: DataFrame, words: Vocabulary) -> Model:
     """Learns from all texts of known (uid, codes): a pass for the classes, one over ROUNDS parts for the class weights,
     one for the counts within classes."""
     company = np.zeros(CODES * 2 * _NEIGHBOURS)
-    cells = known.select("codes").mapInArrow(_company, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    company[cells["cell"]] = cells["n"]
+    cells = known.select("codes").mapInArrow(_company, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    company[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     classes = classes_of(company.reshape(CODES, -1))
     model = Model(classes, np.zeros((DIMENSIONS + 1, CLASSES), np.float32), words.masses)
     of = np.bincount(classes, weights=company.reshape(CODES, 2, -1)[:, 0].sum(axis=1), minlength=CLASSES)

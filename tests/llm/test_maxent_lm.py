@@ -114,4 +114,4 @@ def test_model_beats_single_tokens_on_held_out_texts(spark):
     got = queries.op13_lm_scoring(spark, SF).toPandas()
     assert len(got) == 200
     out = got[got["held_out"]]
-    assert out["score"].sum() > out["base_score"].sum() + 0.2 * out["n_tokens"].sum()
+    assert out["score"].sum() > out["base_score"].sum() + 0.1 * out["n_tokens"].sum()
