@@ -140,16 +140,16 @@ _ENCODED = "n_tokens long, n_known long, log_known double, log_shared double, co
 
 def _encode(text: bytes | None, known: Known) -> tuple:
     tokens = tokens_of(text)
-    n = Counter(tokens)
-    place = np.fromiter(map(known.places.__getitem__, n), np.int64, len(n))
-    k = np.fromiter(n.values(), np.int64, len(n))
-    code, c, logs = known.codes[place], known.counts[place], k * known.logs[place]
-    found = place >= 0
-    rest = [(t, x) for t, x, p in zip(n, n.values(), place.tolist()) if p < 0]
-    code[~found] = [ending(t) for t, _ in rest]
-    own = dict(zip(n, code.tolist()))
-    codes = np.fromiter(map(own.__getitem__, tokens), np.int16, len(tokens))
-    return len(tokens), int(k[found & (c > 0)].sum()), float(logs[found].sum()), float(logs[found & (code >= HEAD)].sum()), codes.tobytes(), [t for t, _ in rest], [x for _, x in rest]
+    place = np.fromiter(map(known.places.__getitem__, tokens), np.int64, len(tokens))
+    codes = known.codes[place]
+    other = np.flatnonzero(place < 0)
+    rest = Counter([tokens[i] for i in other.tolist()])
+    if rest:
+        own = {t: ending(t) for t in rest}
+        codes[other] = [own[tokens[i]] for i in other.tolist()]
+        place = place[place >= 0]
+    logs = known.logs[place]
+    return len(tokens), int(np.count_nonzero(known.counts[place])), float(logs.sum()), float(logs[known.codes[place] >= HEAD].sum()), codes.tobytes(), list(rest), list(rest.values())
 
 
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
@@ -248,7 +248,7 @@ def _by_feature(slope: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.nd
     The first tokens of all features are added at once, then the second ones of those that have two, and so on; features
     of very many tokens are summed one by one.
     """
-    flat = found.ravel()
+    flat = found.ravel().astype(np.uint16)  # which are sorted by radix
     order = np.argsort(flat, kind="stable")
     edges = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
     times, token = np.diff(np.append(edges, len(flat))), order % len(slope)
@@ -262,7 +262,7 @@ def _by_feature(slope: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.nd
     for i in left:
         out[i] += slope[token[edges[i] + k : edges[i] + times[i]]].sum(axis=0)
     out[-1] = slope.sum(axis=0)
-    return np.append(flat[order[edges]], DIMENSIONS), np.append(times, len(slope)), out
+    return np.append(flat[order[edges]].astype(np.int64), DIMENSIONS), np.append(times, len(slope)), out
 
 
 def train(weights: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -371,17 +371,21 @@ class Model:
     second: np.ndarray = field(default_factory=lambda: np.zeros((CLASSES + 1, CODES), np.float32))
     norm: np.ndarray = field(default_factory=lambda: np.zeros((CLASSES, CLASSES + 1, CLASSES + 1), np.float32))
 
-    def class_logs(self, found: np.ndarray) -> np.ndarray:
+    def class_logs(self, found: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Natural logarithm of p(class | features) of the class named for each token."""
         z = logits(self.weights, found)
-        z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        top = z.max(axis=1)
+        own = z[np.arange(len(z)), classes] - top
+        z -= top[:, None]
+        np.exp(z, out=z)
+        return own - np.log(z.sum(axis=1))
 
     def code_logs(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Natural logarithm of p(code | codes before) by token."""
         edge = np.append(self.classes, CLASSES)
         one, two = (edge[_before(codes, lengths, k, CODES)] for k in (1, 2))
         c = self.classes[codes]
-        by_class = self.class_logs(features(codes, lengths))[np.arange(len(c)), c].astype(float)
+        by_class = self.class_logs(features(codes, lengths), c).astype(float)
         return by_class + self.first[one, codes] + self.second[two, codes] - self.norm[c, one, two]
 
     def scores(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
