@@ -6,10 +6,9 @@ of their labels. The shorter the prefix, the likelier a pair of some similarity
 A node is named by the hash of its tree, depth and prefix, so the documents below it are those of equal names; they
 need not be sorted to stand together, and a full node is no single task's run.
 
-Every document starts from its longest prefixes. Where a node of the shortest prefix is roomy (holds few others), the
-prefix is shortened that far at once: it costs little. In its crowded trees a document shortens one prefix a level at
-a time, in the least crowded tree first, until its trees together reach the target recall for a pair at the threshold.
-So crowds (documents alike without being near-duplicates) are told apart by long prefixes.
+Every document starts from its longest prefixes, in the trees where it has company at the shortest. It shortens one
+prefix a level at a time, in the least crowded tree first, until its trees together reach the target recall for a pair
+at the threshold. So crowds (documents alike without being near-duplicates) are told apart by long prefixes.
 
 What meets below a node is compared there by exact intersection of the shingle sets, every pair once: those that meet
 the same smallest class in one group, others in the first tree in which they meet. Components are taken of the verified
@@ -33,10 +32,8 @@ from siltmill.operators.dedup import first_by
 WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # Jaccard similarity, as a fraction of integers
 TREES, LONGEST = 24, 8  # tries, and minima of a label
-#: The recall that crowded documents reach for pairs at the threshold, and that of prefixes which are as short in all trees.
-RECALL, SURE = 0.998, 0.9999
-#: Nodes of at most so many classes are roomy.
-ROOMY = 64
+#: The recall that a document's prefixes reach for pairs at the threshold, and that of the shortest in all trees.
+RECALL, SURE = 0.9995, 0.9999
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,15 +118,15 @@ def _need(missed: float) -> float:
     return -math.log(missed)
 
 
-def chosen_depths(sizes: dict[int, list[int]], trees: int, shortest: int, longest: int, similarity: float, recall: float) -> dict[int, int]:
-    """The prefix length in each crowded tree, given the sizes of its nodes from the shortest prefix to the longest.
+def chosen_depths(sizes: dict[int, list[int]], shortest: int, longest: int, similarity: float, recall: float) -> dict[int, int]:
+    """The prefix length in each tree with company, given the sizes of its nodes from the shortest prefix to the longest.
 
-    The other trees count with the shortest. Prefixes shorten, that of the smallest next node first (sizes compare by
+    The other trees add nothing: whoever is no company there at the shortest prefix has to be met in these. Prefixes shorten, that of the smallest next node first (sizes compare by
     powers of two, so that a mate or two don't decide), until a pair of that similarity meets with the target recall.
     """
     gain = {d: _need(1 - similarity**d) for d in range(shortest, longest + 1)}
     depth = dict.fromkeys(sorted(sizes), longest)
-    have = (trees - len(sizes)) * gain[shortest] + len(sizes) * gain[longest]
+    have = len(sizes) * gain[longest]
     while have < _need(1 - recall):
         open_ = [t for t in depth if depth[t] > shortest]
         if not open_:
@@ -140,17 +137,14 @@ def chosen_depths(sizes: dict[int, list[int]], trees: int, shortest: int, longes
     return depth
 
 
-def forest_nodes(classes: DataFrame, trees: int, longest: int, similarity: float, recall: float, roomy: int) -> DataFrame:
+def forest_nodes(classes: DataFrame, trees: int, longest: int, similarity: float, recall: float) -> DataFrame:
     """no, table, node: of each class the tree nodes below which it is to be compared, alone or with others."""
     shortest = matched_depth(similarity, trees, longest, SURE)
     every = classes.select("no", F.explode(F.array(*[F.struct(F.lit(t).alias("table"), _node(F.lit(t), shortest, longest).alias("node")) for t in range(trees)])).alias("x")).select("no", "x.*")
     full = every.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = written(every.join(full.repartition("node", "n"), "node"), "met")  # see links.components()
-    crowded = met.filter(F.col("n") > roomy)
-    if crowded.isEmpty():
-        return met.select("no", "table", "node")
     depths = F.array(*[F.struct(F.lit(d).alias("depth"), _node(F.col("table"), d, longest).alias("node")) for d in range(shortest, longest + 1)])
-    prefixes = crowded.select("no", "table").join(classes.select("no", "labels"), "no").select("no", "table", F.explode(depths).alias("x"))
+    prefixes = met.select("no", "table").join(classes.select("no", "labels"), "no").select("no", "table", F.explode(depths).alias("x"))
     prefixes = written(prefixes.select("no", "table", "x.*"), "prefixes")
     sizes = prefixes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).repartition("node", "n")
     mine = prefixes.join(sizes, "node").groupBy("no").agg(F.sort_array(F.collect_list(F.struct("table", "depth", "n", "node"))).alias("x"))
@@ -162,14 +156,13 @@ def forest_nodes(classes: DataFrame, trees: int, longest: int, similarity: float
                 levels: dict[int, list] = {}
                 for x in rows:  # by tree, then by depth
                     levels.setdefault(x["table"], []).append(x)
-                depth = chosen_depths({t: [int(x["n"]) for x in xs] for t, xs in levels.items()}, trees, shortest, longest, similarity, recall)
+                depth = chosen_depths({t: [int(x["n"]) for x in xs] for t, xs in levels.items()}, shortest, longest, similarity, recall)
                 nodes.update(xs[depth[t] - shortest]["node"] for t, xs in levels.items())
             yield pd.DataFrame({"node": list(nodes)}, dtype="int64")
 
     picked = mine.mapInPandas(choose, "node long").distinct().withColumn("is", F.lit(True))
     # a node that one document chose is that of all below it; of nested ones the outer counts
-    own = prefixes.join(picked.repartition("node", "is"), "node").groupBy("no", "table").agg(F.min_by("node", "depth").alias("node"))
-    return met.filter(F.col("n") <= roomy).select("no", "table", "node").unionByName(own)
+    return prefixes.join(picked.repartition("node", "is"), "node").groupBy("no", "table").agg(F.min_by("node", "depth").alias("node"))
 
 
 def linked(sets: list[np.ndarray], blocks: np.ndarray, crossed: bool, threshold: tuple[int, int] = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +218,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 BY = ["node", "table", "unit_i", "unit_j"]
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, longest: int = LONGEST, recall: float = RECALL, roomy: int = ROOMY) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, longest: int = LONGEST, recall: float = RECALL) -> DataFrame:
     """One row per row of docs: id, component_id, copies, n_links, kept.
 
     n_links counts the other documents of Jaccard similarity >= 0.8 over five-word shingles (words as they are, split
@@ -236,7 +229,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     signed = written(signatures(docs, id_col, text_col, trees, longest), "signatures")
     classes = links.numbered(signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")))
-    members = written(forest_nodes(classes, trees, longest, THRESHOLD[0] / THRESHOLD[1], recall, roomy), "members")
+    members = written(forest_nodes(classes, trees, longest, THRESHOLD[0] / THRESHOLD[1], recall), "members")
     met, led = links.meetings(members)
     nodes = members.groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("table", "node"))).alias("m")).join(led, "no")
     marks = nodes.select("no", "leader", F.array(*[F.coalesce(F.try_element_at("m", F.lit(t)), F.col("no")) for t in range(trees)]).alias("marks"))
