@@ -47,7 +47,10 @@ _SIBLINGS = {
 _TABLE_PARTS = frozenset("table caption tbody thead tfoot tr td th".split())
 #: End tags inside of these end nothing outside of them.
 _WALLS = frozenset("td th caption table template".split())
-_FRAME = frozenset("nav menu aside form footer search".split())
+_FRAME = frozenset("nav menu aside footer search".split())
+_CONTROLS = frozenset("input select textarea button".split())
+#: A form with this many running words a control, and half of the page's, is the page's layout.
+_WORDS_A_CONTROL = 20
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Parts of class names and ids that name what surrounds an article.
 _HINTS = frozenset(
@@ -56,7 +59,7 @@ _HINTS = frozenset(
 #: Such parts that may belong to an article, and the parts that say so.
 _OWN_HINTS = frozenset("header byline tags".split())
 _CONTENT = frozenset("article content entry main post story".split())
-_TALK = frozenset("comment comments disqus reply replies".split())
+_TALK = frozenset("comment comments commentaire commentaires comentario comentarios disqus kommentar kommentare reply replies response responses".split())
 _HOLDERS = frozenset("area block body box container content holder inner item list reader readers section thread user users wrap wrapper".split())
 #: A quote counts at the start of an attribute's value only, and a slash inside a value is part of it.
 _TOKEN = re.compile(
@@ -77,7 +80,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _hidden(found: dict[str, str]) -> bool:
-    return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
+    return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I))
 
 
 def _names(found: dict[str, str]) -> list[list[str]]:
@@ -116,6 +119,8 @@ class _Open:
     p: int
     block: int
     wall: int
+    form: bool = False
+    talk: bool = False
 
 
 class _Reader:
@@ -128,6 +133,10 @@ class _Reader:
         self.places: dict[str, list[int]] = {}  # of open elements in the stack, by name
         self.hints: list[tuple[int, float]] = []  # places of elements whose names hint, the most from the first to each
         self.dropped = self.frames = self.article = self.links = 0
+        #: Of each form outside of others: its controls, and whether it holds an article. What they are is seen at the end.
+        self.forms: list[list] = []
+        self.form = self.talk = False
+        self.articles = 0  # elements that mark an article, those of comments included
         self.text: list[str] = []
         self.linked: list[str] = []
 
@@ -135,7 +144,7 @@ class _Reader:
         words = " ".join("".join(self.text).split())
         if words:
             links, hint = len("".join(self.linked).split()), self.hints[-1][1] if self.hints else 0.0
-            self.out.append({"text": words, "words": words.count(" ") + 1, "links": links, "frame": self.frames > 0, "hint": hint, "other": 0.0, "article": self.article > 0, "beside": False})
+            self.out.append({"text": words, "words": words.count(" ") + 1, "links": links, "frame": self.frames > 0, "hint": hint, "other": 0.0, "article": self.article > 0, "beside": False, "form": len(self.forms) - 1 if self.form else -1, "talk": self.talk})
         self.text.clear()
         self.linked.clear()
 
@@ -163,6 +172,8 @@ class _Reader:
         self.article -= e.holds
         self.links -= e.link
         self.dropped -= e.name in _DROPPED
+        self.form &= not e.form
+        self.talk &= not e.talk
         if self.hints and self.hints[-1][0] == at:
             self.hints.pop()
 
@@ -199,10 +210,13 @@ class _Reader:
         found = _attributes(attributes) if attributes and not attributes.isspace() else {}
         names = _names(found) if "class" in found or "id" in found else []
         page = name in ("html", "body", "main")
+        form, talk = name == "form" and not self.form, False
         frames = name in _FRAME or name == "header" and not self.article or _hidden(found) or not page and found.get("role", "").lower() in _ROLES
         if name == "article":  # its class may name features of the page; a comment may be an article too
             hint = float(self.article > 0 and any(not _TALK.isdisjoint(x) for x in names))
-            frames = frames or any(x and _TALK.issuperset(x) for x in names)
+            if any(x and _TALK.issuperset(x) for x in names):  # the first of a page may be its article, an opinion
+                talk = not self.articles and not frames
+                frames = frames or not talk
         else:
             hint = 0.0 if page else _hint(names, self.article > 0)
             frames = frames or not page and _talks(names)
@@ -210,13 +224,20 @@ class _Reader:
         top = self.stack[-1] if self.stack else None
         self.dropped += name in _DROPPED
         holds = not frames and not hint and not self.dropped and _marks_article(name, found)
+        self.articles += name == "article" and (talk or frames or holds)
+        if form:
+            self.form = True
+            self.forms.append([0, False])
+        if holds and self.form:
+            self.forms[-1][1] = True
+        self.talk |= talk
         if holds and not self.frames:
             # an article inside says that a class like with-sidebar named the page's layout
             self.hints.clear()
         solid = name in _BREAKS or name in _DROPPED
         link = name == "a" and "href" in found
         p, block, wall = (top.p, top.block, top.wall) if top else (-1, -1, -1)
-        self.stack.append(_Open(name, link, frames, holds, at if name == "p" else -1 if solid else p, at if solid else block, at if name in _WALLS else wall))
+        self.stack.append(_Open(name, link, frames, holds, at if name == "p" else -1 if solid else p, at if solid else block, at if name in _WALLS else wall, form, talk))
         self.places.setdefault(name, []).append(at)
         self.frames += frames
         self.article += holds
@@ -246,6 +267,8 @@ class _Reader:
                 self.flush()
             elif name in ("br", "img", "input"):
                 self.put(" ")
+            if self.form and name in _CONTROLS and not m[1] and not re.search(r"type\s*=\s*[\"']?hidden", m[3], re.I):
+                self.forms[-1][0] += 1
             if m[1]:
                 self.end(name)
             elif name in _VOID or m[3].endswith("/") and self.last(*_FOREIGN) >= 0 and _self_closed(m[3]):
@@ -280,7 +303,17 @@ def blocks_of(page: str | None) -> list[dict]:
     """The page's blocks with text, in order. other: of a block whose names hint, the part of the page's running words
     that stands in none such; about 0 where the name is that of the whole page's layout. beside: outside of the article
     of a page that marks one."""
-    out = _Reader().read(page or "")
+    reader = _Reader()
+    out = reader.read(page or "")
+    texts = [b for b in out if not b["frame"] and 2 * b["links"] <= b["words"]]
+    half, inside = sum(b["words"] for b in texts) / 2, [0] * len(reader.forms)
+    for b in texts:
+        if b["form"] >= 0:
+            inside[b["form"]] += b["words"]
+    layout = [article or n >= max(half, controls * _WORDS_A_CONTROL, 1) for (controls, article), n in zip(reader.forms, inside)]
+    for b in out:
+        form, talk = b.pop("form"), b.pop("talk")
+        b["frame"] |= form >= 0 and not layout[form] or talk and reader.articles > 1
     if any(b["article"] and not b["frame"] and not b["hint"] for b in out):
         for b in out:
             b["beside"] = not b["article"]
@@ -333,6 +366,9 @@ _NAMED = (
     # the whole name names what is beside an article
     (9, 0.0, 1, 1.0, 8, 0.0, 0, 1.0, 0.97, 0), (30, 0.0, 6, 1.0, 40, 0.0, 0, 1.0, 0.8, 0), (75, 0.0, 60, 0.0, 52, 0.0, 0, 1.0, 0.4, 0), (4, 1.0, 4, 1.0, 4, 1.0, 0, 1.0, 0.9, 0), (2, 0.0, 50, 0.0, 3, 1.0, 1, 1.0, 0.95, 0), (12, 0.0, 33, 0.0, 28, 0.0, 1, 1.0, 0.7, 0),
     (120, 0.0, 90, 0.0, 80, 0.0, 0, 1.0, 0.15, 0), (6, 0.0, 80, 0.0, 0, 0.0, 0, 1.0, 0.9, 0), (18, 0.0, 0, 0.0, 0, 0.0, 0, 1.0, 0.0, 0), (40, 0.0, 35, 0.0, 44, 0.0, 0, 1.0, 0.0, 0), (3, 0.0, 2, 1.0, 60, 0.0, 0, 1.0, 0.01, 0), (55, 0.1, 0, 0.0, 21, 0.0, 0, 1.0, 0.02, 0),
+    # inside an article, running text of its own is the article's whatever its class is called; boxes are not
+    (60, 0.0, 50, 0.0, 45, 0.0, 1, 1.0, 0.8, 1), (90, 0.0, 70, 0.0, 66, 0.0, 1, 1.0, 0.7, 1), (75, 0.0, 40, 0.0, 30, 0.0, 1, 1.0, 0.75, 1), (48, 0.0, 60, 0.0, 0, 0.0, 1, 1.0, 0.85, 1), (140, 0.0, 20, 0.0, 90, 0.0, 1, 1.0, 0.5, 1), (55, 0.1, 6, 0.0, 70, 0.0, 1, 1.0, 0.6, 1),
+    (30, 0.0, 45, 0.0, 52, 0.0, 1, 1.0, 0.9, 0), (22, 0.0, 60, 0.0, 41, 0.0, 1, 1.0, 0.93, 0), (50, 0.6, 70, 0.0, 33, 0.0, 1, 1.0, 0.8, 0), (16, 0.0, 38, 0.0, 3, 1.0, 1, 1.0, 0.9, 0), (36, 0.0, 80, 0.0, 64, 0.0, 1, 1.0, 0.9, 0), (70, 0.8, 50, 0.0, 40, 0.0, 1, 1.0, 0.7, 0),
     # a part of the name does, and there is other text
     (8, 0.0, 1, 1.0, 9, 0.0, 0, 0.5, 0.96, 0), (25, 0.0, 40, 0.0, 31, 0.0, 0, 0.5, 0.75, 0), (60, 0.0, 8, 0.0, 45, 0.0, 0, 0.5, 0.3, 0), (90, 0.0, 70, 0.0, 66, 0.0, 0, 0.5, 0.1, 0), (3, 1.0, 3, 1.0, 2, 1.0, 0, 0.5, 0.9, 0), (1, 0.0, 40, 0.0, 2, 1.0, 1, 0.5, 0.92, 0),
     (14, 0.0, 50, 0.0, 60, 0.0, 1, 0.5, 0.85, 0), (7, 0.0, 90, 0.0, 0, 0.0, 0, 0.5, 0.94, 0), (33, 0.0, 20, 0.0, 17, 0.0, 0, 0.33, 0.6, 0), (5, 0.0, 30, 0.0, 26, 0.0, 0, 0.33, 0.88, 0), (48, 0.0, 55, 0.0, 3, 1.0, 0, 0.67, 0.2, 0), (10, 0.0, 0, 0.0, 70, 0.0, 0, 0.67, 0.9, 0),

@@ -95,6 +95,33 @@ def test_unmarked_pages_give_their_text(spark):
     assert got == {i: " ".join(text.split()) for i, text in enumerate(UNMARKED.values())}
 
 
+LONG = "It was a long and quiet day and nobody said a word about what had come to pass in the old town by the river before noon. " * 3
+OWN_WORDS = {
+    # a form around a whole page, with and without a marked article, and forms that are none of that
+    "<body><form action=x><input type=hidden name=v><div><h1>Title</h1><p>" + RUNNING + "</p><p>" + LONG + "</p></div><input name=q></form>": "Title " + RUNNING + " " + LONG,
+    "<body><form><nav><a href=/>Home</a></nav><article><h1>T</h1><p>" + RUNNING + "</p></article><footer>no</footer></form>": "T " + RUNNING,
+    "<form><p>Tell us your name and where you live, please.</p><input name=a><input name=b></form><p>" + RUNNING + "</p><p>" + LONG + "</p>": RUNNING + " " + LONG,
+    "<article><p>" + RUNNING + "</p><form><p>" + LONG + "</p><textarea>x</textarea></form></article>": RUNNING,
+    # an opinion piece, and comments behind an article or in numbers
+    '<body><article class="comment"><h1>Opinion</h1><p>' + RUNNING + "</p></article>": "Opinion " + RUNNING,
+    "<body><article><p>" + RUNNING + '</p></article><article class="comment"><p>' + LONG + "</p></article>": RUNNING,
+    "<body><div><p>" + RUNNING + "</p><p>" + LONG + '</p></div><article class="comment"><p>' + LONG + '</p></article><article class="comment"><p>' + LONG + "</p></article>": RUNNING + " " + LONG,
+    # running text in an article whose class hints, a box of such a class, hidden text, comments in other languages
+    "<article><p>" + RUNNING + '</p><p class="social">' + LONG + "</p><p>" + RUNNING + "</p></article>": RUNNING + " " + LONG + " " + RUNNING,
+    "<article><p>" + RUNNING + '</p><div class="social">Share this with all of your friends</div><p>' + RUNNING + "</p></article>": RUNNING + " " + RUNNING,
+    '<article><p style="visibility: hidden">no</p><p>' + RUNNING + "</p></article>": RUNNING,
+    "<div><p>" + RUNNING + '</p></div><div class="kommentare"><p>' + LONG + "</p></div>": RUNNING,
+    "<div><p>" + RUNNING + '</p></div><div class="responses"><p>' + LONG + "</p></div>": RUNNING,
+}
+
+
+def test_forms_and_names_empty_no_page(spark):
+    pages = list(OWN_WORDS)
+    got = h.extract(spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")).collect()
+    for r in got:
+        assert " ".join(r.text.split()) == " ".join(OWN_WORDS[pages[r.page_id]].split()), pages[r.page_id]
+
+
 def test_tree_reads_the_neighbours_on_both_sides(spark):
     assert all(f"f.{x} " in h.train(spark) for x in ("density_before", "words_after", "density_after", "hint", "other"))
 
