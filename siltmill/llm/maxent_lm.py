@@ -236,9 +236,14 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def logits(weights: np.ndarray, found: np.ndarray) -> np.ndarray:
     """By token: the sum of its features' rows and of the last row, the bias."""
-    out = weights[found[0]] + weights[-1]
-    for at in found[1:]:
-        out += weights[at]
+    out = np.empty((found.shape[1], weights.shape[1]), weights.dtype)
+    for i in range(0, len(out), 2048):  # what is added up stays in the processor's cache
+        part = out[i : i + 2048]
+        np.take(weights, found[0, i : i + 2048], axis=0, out=part, mode="clip")
+        part += weights[-1]
+        more = np.empty_like(part)
+        for at in found[1:, i : i + 2048]:
+            part += np.take(weights, at, axis=0, out=more, mode="clip")
     return out
 
 
@@ -253,10 +258,10 @@ def _by_feature(slope: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.nd
     edges = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
     times, token = np.diff(np.append(edges, len(flat))), order % len(slope)
     out = np.empty((len(edges) + 1, slope.shape[1]), slope.dtype)
-    out[:-1] = slope[token[edges]]
+    np.take(slope, token[edges], axis=0, out=out[:-1], mode="clip")
     left, k = np.flatnonzero(times > 1), 1
     while len(left) > 64:
-        out[left] += slope[token[edges[left] + k]]
+        out[left] += np.take(slope, token[edges[left] + k], axis=0)
         k += 1
         left = left[times[left] > k]
     for i in left:
@@ -373,12 +378,15 @@ class Model:
 
     def class_logs(self, found: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Natural logarithm of p(class | features) of the class named for each token."""
-        z = logits(self.weights, found)
-        top = z.max(axis=1)
-        own = z[np.arange(len(z)), classes] - top
-        z -= top[:, None]
-        np.exp(z, out=z)
-        return own - np.log(z.sum(axis=1))
+        out = np.empty(len(classes), np.float32)
+        for i in range(0, len(out), 2048):
+            z = logits(self.weights, found[:, i : i + 2048])
+            top = z.max(axis=1)
+            own = z[np.arange(len(z)), classes[i : i + 2048]] - top
+            z -= top[:, None]
+            np.exp(z, out=z)
+            out[i : i + 2048] = own - np.log(z.sum(axis=1))
+        return out
 
     def code_logs(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Natural logarithm of p(code | codes before) by token."""
