@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.operators import file_language, passages, path_labels
+from siltmill.operators import charsets, file_language, passages, path_labels
 from siltmill.sources.readers import table
 
 QUERIES, ORACLE = {}, {}
@@ -108,3 +109,20 @@ def vendored_and_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages by their paths and the shape of their lines."""
     files = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "://([^?#]*)", 1).alias("path"), F.col("html").alias("content"))
     return path_labels.labelled_files(files, _RULES, minified=("/",)).select("page_id", "path", "is_vendor", "is_generated")
+
+
+_CODECS = (charsets.UTF_8, *charsets.ENCODINGS)
+
+
+@query(f"""
+SELECT doc_id, text AS content, CASE WHEN strlen(text) = length(text) THEN '{charsets.UTF_8}' ELSE [{", ".join(f"'{x}'" for x in _CODECS)}][doc_id % {len(_CODECS)} + 1] END AS src_encoding FROM documents""")
+def charset_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as bytes in five encodings by turns, decoded without being told which; ASCII is UTF-8."""
+
+    @F.pandas_udf("binary")
+    def encode(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([None if text is None else text.encode(name) for text, name in zip(texts, names, strict=True)])
+
+    docs = table(spark, sf_dir, "documents")
+    codec = F.get(F.array(*map(F.lit, _CODECS)), (F.col("doc_id") % len(_CODECS)).cast("int"))
+    return charsets.with_texts(docs.select("doc_id", encode(F.col("text"), codec).alias("raw")), "raw").select("doc_id", "content", "src_encoding")

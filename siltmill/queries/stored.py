@@ -61,6 +61,21 @@ def sharded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stems.agg(F.sum("n_chars").alias("n_chars"), F.count("doc_id").alias("n_docs"), F.count_distinct("stem").alias("n_files"))
 
 
+@query("""
+WITH d AS (SELECT doc_id, octet_length(encode(text)) AS size, coalesce(sum(octet_length(encode(text))) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS start FROM documents),
+t AS (SELECT sum(size)::HUGEINT AS total, (sum(size) // 300000 + 1)::HUGEINT AS n FROM d),
+k AS (SELECT doc_id, size, least(start * n // total, n - 1) AS k, n FROM d, t)
+SELECT format('train-{:05d}-of-{:05d}', k::BIGINT, n::BIGINT) AS shard, 1 AS n_files, count(*) AS n_docs, sum(size)::BIGINT AS bytes, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM k GROUP BY k, n""")
+def contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of consecutive documents and equal bytes, read back by name; a shard out of order loses its first and last."""
+    path = new_path(spark, "contiguous")
+    sinks.contiguous(table(spark, sf_dir, "documents"), path, "octet_length(text)", shard_bytes=300_000, order=["doc_id"])
+    kept = spark.read.parquet(path).select("shard", "doc_id", F.octet_length("text").alias("size"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return kept.groupBy("shard").agg(
+        F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("bytes"), F.min_by("doc_id", "row").alias("first_doc"), F.max_by("doc_id", "row").alias("last_doc")
+    )
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F'")
 def unfinished_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "done")
@@ -89,6 +104,19 @@ def blob_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(F.explode(F.split("content", "\n")).alias("c_name")).filter("c_name <> ''")
 
 
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text END AS content FROM documents WHERE doc_id % 3 <> 2""")
+def fetched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each third document is a blob that a record names, each third a record without a blob, the rest neither."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = new_path(spark, "store")
+    wanted = F.concat(F.lit("b"), F.col("doc_id").cast("string"))
+    held = docs.filter("doc_id % 3 <> 1").select(wanted.alias("blob_id"), F.encode("text", "utf-8").alias("raw"))
+    sinks.blobs(held, path, "blob_id", "raw")
+    records = docs.filter("doc_id % 3 <> 2").select("doc_id", wanted.alias("blob_id"), F.lit(None).cast("string").alias("content"))
+    return readers.fetched_blobs(records, readers.stored(path)).select("doc_id", "content")
+
+
 @query("SELECT '# ' || n_name AS input, 'code' AS cell_type FROM nation UNION ALL SELECT 'x = ' || n_nationkey, 'code' FROM nation")
 def notebook_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A notebook a file, with a cell of one string and a cell of a list of strings."""

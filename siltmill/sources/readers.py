@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import gzip
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltmill.storage import store_of
+
 # A fixed format: a repository as events describe it.
 _REPO = (
     "struct<id: bigint, full_name: string, html_url: string, mirror_url: string, default_branch: string, description: string, fork: boolean, created_at: timestamp, updated_at: timestamp, pushed_at: timestamp, "
@@ -67,6 +70,39 @@ def blobs(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
     return records.drop("content").join(wanted.mapInPandas(unpack, "blob_id string, content string"), "blob_id", "left")
 
 
+def stored(path: str) -> Callable[[str], bytes | None]:
+    """Reads one blob below path by its id, from any store that pyarrow opens; None where there is none."""
+
+    def fetch(blob_id: str) -> bytes | None:
+        store, folder = store_of(path)
+        try:
+            with store.open_input_stream(f"{folder}/{blob_id}.gz", compression=None) as file:
+                return file.read()
+        except FileNotFoundError:
+            return None
+
+    return fetch
+
+
+def fetched_blobs(records: DataFrame, fetch: Callable[[str], bytes | None], at_once: int = 16) -> DataFrame:
+    """records with the content of the blobs they name and no other blob listed or opened: the ids are dealt to tasks,
+    each of which reads its own, so many at once. An id that several records share is read once.
+
+    Null where the blob is missing, broken or binary, or the id null. Memory: a batch's blobs, of MOST_BLOB at most if
+    records are those of file_records. Contents are joined back by id.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(at_once) as pool:
+            for batch in batches:
+                for first in range(0, len(batch), at_once):
+                    ids = batch["blob_id"].iloc[first : first + at_once]
+                    yield pd.DataFrame({"blob_id": ids, "content": [None if raw is None else _text_of(raw) for raw in pool.map(fetch, ids)]})
+
+    texts = records.select("blob_id").filter("blob_id IS NOT NULL").distinct().mapInPandas(read, "blob_id string, content string")
+    return records.drop("content").join(texts, "blob_id", "left")
+
+
 def notebooks(spark: SparkSession, path: str, only: str = "*.ipynb") -> DataFrame:
     """file_id, content (JSON list of cells), local_path of the files named so; those that are no notebooks are left out."""
     raw = spark.read.text(path, wholetext=True, pathGlobFilter=only, recursiveFileLookup=True).withColumn("local_path", F.col("_metadata.file_path"))

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gzip
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltmill.storage import store_of, written
+
 SHARD_BYTES = 1000 << 20
 
 
@@ -33,6 +39,55 @@ def sharded(df: DataFrame, path: str, text: str, shard_bytes: int = SHARD_BYTES)
     return n
 
 
+def blobs(df: DataFrame, path: str, id_col: str, raw_col: str) -> int:
+    """One compressed file per row below path, named by its id, written where the rows are; returns their number. Null
+    ids and contents are left out. A task that runs again writes the same files again; of rows that share an id one is
+    kept, whichever is written last."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, folder = store_of(path)
+        store.create_dir(folder, recursive=True)
+        for batch in batches:
+            for blob_id, raw in zip(batch[id_col], batch[raw_col], strict=True):
+                with store.open_output_stream(f"{folder}/{blob_id}.gz", compression=None) as file:
+                    file.write(gzip.compress(raw, mtime=0))
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows = df.select(id_col, raw_col).dropna()
+    return rows.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def contiguous(df: DataFrame, path: str, size: str, shard_bytes: int = SHARD_BYTES, order: list[str] | None = None, prefix: str = "train") -> int:
+    """Parquet in shards of consecutive rows and equal bytes; returns their number, total // shard_bytes + 1.
+
+    size: an SQL expression of a row's bytes (null: 0). Rows go by order, or else in the order Spark reads them (Spark
+    packs files by size, so of several files only the rows within each keep theirs). Shard
+    k of n holds the rows that begin in the k-th of n equal parts of all bytes, so it differs from that part by less than
+    one row; it is the one file below shard=PREFIX-0000k-of-0000n, its rows in order. A shard without a row (one row
+    larger than a part) has no file; an empty table has none at all, yet its number is 1.
+
+    Running sums are taken within the partitions the rows came in, and only one total a partition is summed across them.
+    Rows meet their shard by partition, through an array of the few shards that begin in it, and are shuffled once.
+    """
+    ordered = (df.orderBy(*order) if order else df).withColumns({"__row": F.monotonically_increasing_id(), "__size": F.coalesce(F.expr(size).cast("long"), F.lit(0))})
+    rows = written(ordered.withColumn("__part", F.shiftright("__row", 33)), "contiguous")  # numbers hold however tasks are rerun
+    totals = rows.groupBy("__part").agg(F.sum("__size").alias("bytes"))
+    before = totals.withColumn("before", F.coalesce(F.sum("bytes").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    total = totals.agg(F.sum("bytes")).first()[0] or 0
+    n = int(total // shard_bytes) + 1
+    within = F.sum("__size").over(Window.partitionBy("__part").orderBy("__row").rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.select("__part", "__row", F.coalesce(within, F.lit(0)).alias("start")).join(before.select("__part", "before"), "__part")
+    shard = F.least(F.expr(f"(start + before) * {n}BD div {max(total, 1)}BD"), F.lit(n - 1)).cast("int")
+    cuts = starts.select("__part", "__row", shard.alias("shard")).groupBy("__part", "shard").agg(F.min("__row").alias("first"))
+    listed = cuts.groupBy("__part").agg(F.array_sort(F.collect_list(F.struct("first", "shard"))).alias("__cuts"))
+    last = F.array_max(F.filter("__cuts", lambda c: c["first"] <= F.col("__row")))["shard"]
+    placed = rows.join(listed, "__part").withColumn("__shard", last)
+    name = F.format_string(f"{prefix}-%05d-of-{n:05d}", "__shard")
+    dealt = placed.repartition(n, "__shard").withColumn("shard", name).sortWithinPartitions("shard", "__row")  # the order that writing by shard asks for, so that it stays
+    dealt.drop("__row", "__size", "__part", "__cuts", "__shard").write.mode("overwrite").option("compression", "snappy").partitionBy("shard").parquet(path)
+    return n
+
+
 def unfinished(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Work whose key has no output yet, so that a job that stopped goes on where it was."""
     return work.join(done.select(*keys).distinct(), keys, "left_anti")

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -48,6 +49,11 @@ def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The store and the folder in it that a path or URL names, for tasks that open single files by key."""
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+
+
 @contextmanager
 def scratch() -> Iterator[None]:
     """Removes on leaving what is written inside. Results that read such tables must be saved or collected by then; a
