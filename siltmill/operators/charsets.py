@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 UTF_8 = "utf-8"
 #: Tried for bytes that are no UTF-8; the first of equally likely ones is taken.
 ENCODINGS = ("cp1252", "cp850", "mac_roman", "hp_roman8")
+#: Added to each pair's count; one would drown what small corpora say in 65,536 pairs never seen.
+ADDED = 0.01
 _PAIRS = 1 << 16
 
 
@@ -52,10 +54,10 @@ def pair_counts(texts: DataFrame, text_col: str, encodings: Sequence[str] = ENCO
 
 
 def pair_scores(counts: DataFrame, encodings: Sequence[str] = ENCODINGS) -> np.ndarray:
-    """Log probability of each byte pair (rows) in each encoding (columns), one added to every count. What the driver
+    """Log probability of each byte pair (rows) in each encoding (columns), ADDED added to every count. What the driver
     gets is at most 65,536 counts an encoding, whatever the input."""
     found = counts.toArrow()
-    seen = np.ones((_PAIRS, len(encodings)))
+    seen = np.full((_PAIRS, len(encodings)), ADDED)
     names = {name: i for i, name in enumerate(encodings)}
     np.add.at(seen, (found["pair"].to_numpy(), [names[x] for x in found["encoding"].to_pylist()]), found["n"].to_numpy())
     return np.log(seen / seen.sum(axis=0))
