@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltmill.functions.text import split_lines
+from siltmill.functions.text import once, split_lines
 
 LEAST_ALPHANUM, MOST_HEX, MOST_LINES, MOST_AVERAGE, MOST_LENGTH = 0.25, 0.25, 100_000, 100, 1000
 # Languages of documents, and words that an English text has.
@@ -19,17 +19,21 @@ def content_stats(text: Column) -> Column:
     All are 0 for an empty text and null for a null one.
     """
     n = F.length(text)
-    share = lambda left: left.cast("double") / n
     zero = lambda c, kind: F.when(n == 0, F.lit(0).cast(kind)).when(n > 0, c.cast(kind))
-    lines = split_lines(text)
-    return F.struct(
-        zero(share(F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))), "double").alias("alphanum_fraction"),
-        zero(share(F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))), "double").alias("alpha_fraction"),
-        zero(share(n - F.length(F.replace(text, F.lit("\\x"), F.lit("")))), "double").alias("hex_fraction"),
-        zero(F.size(lines), "long").alias("num_lines"),
-        zero(F.try_divide(F.length(F.array_join(lines, "")).cast("double"), F.size(lines)), "double").alias("avg_line_length"),
-        zero(F.array_max(F.transform(lines, F.length)), "long").alias("max_line_length"),
+    share = lambda left: zero((n - left).cast("double") / n, "double")
+    without = lambda value, kind: F.regexp_replace(value, rf"\p{{{kind}}}+", "")
+    # Letters are taken out of the whole text, digits only out of the rest.
+    rest = once(without(text, "L"), lambda other: F.struct(F.length(without(other, "N")).alias("symbols"), F.length(other).alias("others")))
+    sizes = once(F.transform(split_lines(text), F.length), lambda of: F.struct(F.size(of).alias("n"), F.aggregate(of, F.lit(0).cast("long"), lambda x, y: x + y).alias("sum"), F.array_max(of).alias("max")))
+    told = lambda rest, sizes: F.struct(
+        share(rest["symbols"]).alias("alphanum_fraction"),
+        share(rest["others"]).alias("alpha_fraction"),
+        share(F.length(F.replace(text, F.lit("\\x"), F.lit("")))).alias("hex_fraction"),
+        zero(sizes["n"], "long").alias("num_lines"),
+        zero(F.try_divide(sizes["sum"].cast("double"), sizes["n"]), "double").alias("avg_line_length"),
+        zero(sizes["max"], "long").alias("max_line_length"),
     )
+    return once(F.struct(rest.alias("rest"), sizes.alias("sizes")), lambda x: told(x["rest"], x["sizes"]))
 
 
 def is_valid(text: Column, language: Column, path: Column | None = None, languages: tuple[str, ...] | None = None, dependency_files: tuple[str, ...] | None = None) -> Column:
@@ -41,9 +45,11 @@ def is_valid(text: Column, language: Column, path: Column | None = None, languag
         listed = F.coalesce(language.isin(*languages), F.lit(False)) | F.element_at(F.split(path, "/", -1), -1).isin(*dependency_files)
     english = ~F.coalesce(language == "Markdown", F.lit(False)) | text.rlike(ENGLISH)
 
-    s = content_stats(text)
-    short = (s["avg_line_length"] < MOST_AVERAGE) & (s["max_line_length"] < MOST_LENGTH)
-    return (s["hex_fraction"] < MOST_HEX) & (s["num_lines"] < MOST_LINES) & (document | short) & (s["alphanum_fraction"] > LEAST_ALPHANUM) & listed & english
+    def passes(s: Column) -> Column:
+        short = (s["avg_line_length"] < MOST_AVERAGE) & (s["max_line_length"] < MOST_LENGTH)
+        return (s["hex_fraction"] < MOST_HEX) & (s["num_lines"] < MOST_LINES) & (document | short) & (s["alphanum_fraction"] > LEAST_ALPHANUM)
+
+    return once(content_stats(text), passes) & listed & english
 
 
 def valid_files(files: Column, text: str = "base_content", language: str = "base_language") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from keyword import kwlist
 
 from pyspark.sql import Column
@@ -55,13 +56,18 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-_SEPARATOR = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+_SEPARATOR = "[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once however often it occurs there."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def split_lines(text: Column) -> Column:
     """Lines by any line separator; a separator at the end begins no line, and an empty text has none."""
-    closed = F.regexp_replace(text, f"(?:{_SEPARATOR})\\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(closed, _SEPARATOR, -1))
+    parts = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), _SEPARATOR, -1)
+    return once(parts, lambda p: F.when(F.get(p, F.size(p) - 1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
 def base_path(path: Column) -> Column:

@@ -7,12 +7,13 @@ fingerprints wherever it stands, and an edited one holds those of its unchanged
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltmill.functions.licenses import any_license_file
+from siltmill.functions.text import once
 
 WIDTH, WINDOW = 3, 3
 #: The part of a reference's fingerprints that a text must hold.
@@ -24,11 +25,6 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _with(value: Column, then: Callable[[Column], Column]) -> Column:
-    """then(value), with value computed once however often it occurs there."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(WORDS), F.lit(0))
 
@@ -40,8 +36,8 @@ def fingerprints(text: Column, width: int = WIDTH, window: int = WINDOW) -> Colu
     shingle = lambda w: lambda x, i: mark(F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, width)]))
     cut = lambda a, n: F.slice(a, F.lit(1), F.greatest(F.size(a) - n + 1, F.lit(1)))
     smallest = lambda g: lambda x, i: F.least(x, *[F.get(g, i + k) for k in range(1, window)])  # noqa: E731  least() passes over nulls
-    shingles = _with(words(text), lambda w: F.transform(cut(w, width), shingle(w)))
-    return F.array_distinct(_with(shingles, lambda g: F.transform(cut(g, window), smallest(g))))
+    shingles = once(words(text), lambda w: F.transform(cut(w, width), shingle(w)))
+    return F.array_distinct(once(shingles, lambda g: F.transform(cut(g, window), smallest(g))))
 
 
 def held_passages(texts: DataFrame, references: DataFrame, id_col: str, text_col: str, ref_col: str, ref_text_col: str, least: float = LEAST, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
