@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,16 +40,16 @@ def pair_counts(texts: DataFrame, text_col: str, encodings: Sequence[str] = ENCO
     """encoding, pair (first byte times 256 plus second), n over all whole texts, characters without a code left out.
     Null texts count nothing. A task adds up what it reads, so at most 65,536 rows an encoding leave it."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((len(encodings), _PAIRS), np.int64)
         for batch in batches:
-            for text in batch[text_col].dropna():
-                for row, name in zip(seen, encodings, strict=True):
-                    row += np.bincount(_pairs(text.encode(name, "ignore")), minlength=_PAIRS)
+            for text in batch.column(0):  # one at a time, so that a batch is held once
+                for row, name in zip(seen, encodings if text.is_valid else (), strict=text.is_valid):
+                    row += np.bincount(_pairs(text.as_py().encode(name, "ignore")), minlength=_PAIRS)
         which, pair = np.nonzero(seen)
-        yield pd.DataFrame({"encoding": np.array(encodings, object)[which], "pair": pair, "n": seen[which, pair]})
+        yield pa.RecordBatch.from_arrays([pa.array([encodings[i] for i in which], pa.string()), pa.array(pair, pa.int32()), pa.array(seen[which, pair])], ["encoding", "pair", "n"])
 
-    parts = texts.select(text_col).mapInPandas(count, "encoding string, pair int, n long")
+    parts = texts.select(text_col).mapInArrow(count, "encoding string, pair int, n long")
     return parts.groupBy("encoding", "pair").agg(F.sum("n").alias("n"))
 
 
@@ -93,10 +93,10 @@ def with_texts(files: DataFrame, raw_col: str, text_col: str = "content", encodi
     known = files.filter(_legible(raw) & ~_binary(raw)).select(raw.cast("string").alias("text"))
     scores = pair_scores(pair_counts(known, "text", encodings), encodings)
 
-    @F.pandas_udf("text string, encoding string")
-    def guess(raws: pd.Series) -> pd.DataFrame:
-        found = [(None, None) if raw is None else likeliest(raw, scores, encodings) for raw in raws]
-        return pd.DataFrame(found, columns=["text", "encoding"], dtype=object)
+    @F.arrow_udf("text string, encoding string")
+    def guess(raws: pa.Array) -> pa.Array:
+        found = [likeliest(raw.as_py(), scores, encodings) if raw.is_valid else (None, None) for raw in raws]
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], ["text", "encoding"])
 
     legible = _legible(raw)
     opened = files.withColumn("__guess", guess(F.when(~legible & ~_binary(raw), raw)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,9 +119,9 @@ SELECT doc_id, text AS content, CASE WHEN strlen(text) = length(text) THEN '{cha
 def charset_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as bytes in five encodings by turns, decoded without being told which; ASCII is UTF-8."""
 
-    @F.pandas_udf("binary")
-    def encode(texts: pd.Series, names: pd.Series) -> pd.Series:
-        return pd.Series([None if text is None else text.encode(name) for text, name in zip(texts, names, strict=True)])
+    @F.arrow_udf("binary")
+    def encode(texts: pa.Array, names: pa.Array) -> pa.Array:
+        return pa.array([text.as_py().encode(name.as_py()) if text.is_valid else None for text, name in zip(texts, names, strict=True)], pa.binary())
 
     docs = table(spark, sf_dir, "documents")
     codec = F.get(F.array(*map(F.lit, _CODECS)), (F.col("doc_id") % len(_CODECS)).cast("int"))
