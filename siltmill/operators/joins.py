@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltmill.functions.text import once
 from siltmill.operators.dedup import first_by
 
 
@@ -79,6 +80,18 @@ def paired_files(df: DataFrame, key: Sequence[str], base: str = "base_files", he
     return df.drop(base, head).join(paired, list(key))
 
 
+def paired(base: Column, head: Column) -> Column:
+    """Files of two arrays with equal paths side by side within the row: an array of struct(base, head) by path; null if
+    an array is. Of files that share a path in one array the last counts. Work and memory are those of sorting the row's
+    files, and nothing is shuffled."""
+    tagged = lambda files, side: F.transform(files, lambda f, i: F.struct(f["path"].alias("path"), F.lit(side).alias("side"), i.alias("pos"), f.alias("file")))
+    follows = lambda all_of, x, i, side: F.coalesce(F.get(all_of, i + 1)["path"].eqNullSafe(x["path"]) & (F.get(all_of, i + 1)["side"] == side), F.lit(False))
+    by_path = F.array_sort(F.concat(tagged(base, 0), tagged(head, 1)))
+    last = once(by_path, lambda all_of: F.filter(all_of, lambda x, i: (i == F.size(all_of) - 1) | ~follows(all_of, x, i, x["side"])))
+    met = lambda all_of: F.transform(all_of, lambda x, i: F.when((x["side"] == 0) & follows(all_of, x, i, 1), F.struct(x["file"].alias("base"), F.get(all_of, i + 1)["file"].alias("head"))))
+    return F.filter(once(last, met), lambda p: p.isNotNull())
+
+
 def without_listed(df: DataFrame, files: str, listed: Sequence[tuple[str, str]], language: str = "base_language", path: str = "base_path") -> DataFrame:
     """df's file arrays without files whose (language, extension) is listed; rows whose files all go, go.
 
