@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltmill.functions.bots import is_bot
 from siltmill.functions.text import anonymised, let, pull_guid
@@ -72,6 +73,29 @@ def flat_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def _read(v: Column, path: str, kind: T.DataType) -> Column:
+    """What a variant holds at a path, as a column of the given type; structs field by field."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_read(v, f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind.fields])
+    return F.try_variant_get(v, path, kind.simpleString())
+
+
+def variant_events(lines: DataFrame, text: str = "value") -> DataFrame:
+    """lines with `event`, the JSON of each as a variant, and the columns of RAW read from it.
+
+    Nothing of an event is lost for want of a schema: whatever flat_events does not read stays in `event`, shapes that
+    nobody knew included, and each field is only looked up where something uses it. A field that is missing, null or of
+    another type is null. Lines that are no JSON, and null ones, have a null event and null columns.
+    """
+    kept = lines.withColumn("event", F.try_parse_json(text))
+    return kept.select("*", *[_read(F.col("event"), f"$.{f.name}", f.dataType).alias(f.name) for f in T.StructType.fromDDL(RAW).fields])
+
+
+def listed_events(events: Column) -> Column:
+    """A JSON list as an array of variants: empty for a null, for what is no list, and for no JSON."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(events), "$", "array<variant>"), F.array().cast("array<variant>"))
+
+
 def routed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events of issues and events of pull requests: issue types belong to a pull request if their group is one."""
     mine = F.col("type").isin(*ISSUE_TYPES) & ~F.col("group_id").contains("/pull/")
@@ -134,9 +158,16 @@ def pull_histories(events: DataFrame) -> DataFrame:
     """One row per pull request: pull_guid and its events in time order, pull-request events before issue events of
     the same time. Groups of issue events only go. Without an opening, one is made from the first pull-request event;
     the first opening of the pull request as an issue goes."""
-    issue = F.col("type").isin(*ISSUE_TYPES)
-    seq = F.xxhash64(*[c for c in events.columns])
-    e = _gathered(events, "group_id", F.col("created_at"), issue, seq)
+    return told_pulls(_gathered(events, "group_id", *pull_order(events)))
+
+
+def pull_order(events: DataFrame) -> tuple[Column, Column, Column]:
+    """What the events of a pull request are ordered by."""
+    return F.col("created_at"), F.col("type").isin(*ISSUE_TYPES), F.xxhash64(*events.columns)
+
+
+def told_pulls(e: DataFrame) -> DataFrame:
+    """Histories of pull requests from group_id and all its events, ordered by pull_order."""
     pulls = F.filter("events", lambda x: ~x["type"].isin(*ISSUE_TYPES))
     issues = F.filter("events", lambda x: x["type"].isin(*ISSUE_TYPES))
     split = e.select(F.col("group_id").alias("pull_guid"), pulls.alias("pulls"), issues.alias("issues")).filter(F.size("pulls") > 0)

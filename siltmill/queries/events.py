@@ -84,7 +84,11 @@ e AS (SELECT * EXCLUDE (bot), bot FROM b UNION ALL SELECT conv_id, -1, text, 'P'
        "CASE k WHEN 'R' THEN review WHEN 'C' THEN turn END AS review_id, CASE WHEN k = 'R' THEN state END AS state, CASE WHEN k = 'C' THEN 'src/' || state END AS path, CASE WHEN NOT iss THEN merged END AS merged, "
        f"CASE WHEN NOT iss THEN base END AS base, turn FROM (SELECT conv_id, turn, text, {_TURNS} FROM conversations)")
 def flat_pull_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = histories.flat_events(pull_events(spark, sf_dir))
+    return shown_events(histories.flat_events(pull_events(spark, sf_dir)))
+
+
+def shown_events(flat: DataFrame) -> DataFrame:
+    """What the query of flat events shows of them."""
     k = F.expr("CASE type WHEN 'PullRequestEvent' THEN 'P' WHEN 'PullRequestReviewEvent' THEN 'R' WHEN 'PullRequestReviewCommentEvent' THEN 'C' WHEN 'IssuesEvent' THEN 'O' ELSE 'I' END")
     return flat.select(
         "group_id", k.alias("k"), "action", F.col("actor_login").alias("login"), F.col("actor_is_bot").alias("is_bot"), "title", "text", F.col("review_comment_id").alias("review_id"), F.col("review_state").alias("state"),

@@ -39,9 +39,9 @@ def sharded(df: DataFrame, path: str, text: str, shard_bytes: int = SHARD_BYTES)
     return n
 
 
-def blobs(df: DataFrame, path: str, id_col: str, raw_col: str) -> int:
-    """One compressed file per row below path, named by its id, written where the rows are; returns their number. Null
-    ids and contents are left out. A task that runs again writes the same files again; of rows that share an id one is
+def blobs(df: DataFrame, path: str, id_col: str, raw_col: str, packed: bool = False) -> int:
+    """One compressed file per row below path, named by its id, written where the rows are; returns their number. packed:
+    the contents are compressed as they come. Null ids and contents are left out. A task that runs again writes the same files again; of rows that share an id one is
     kept, whichever is written last."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,7 +50,7 @@ def blobs(df: DataFrame, path: str, id_col: str, raw_col: str) -> int:
         for batch in batches:
             for blob_id, raw in zip(batch[id_col], batch[raw_col], strict=True):
                 with store.open_output_stream(f"{folder}/{blob_id}.gz", compression=None) as file:
-                    file.write(gzip.compress(raw, mtime=0))
+                    file.write(raw if packed else gzip.compress(raw, mtime=0))
             yield pd.DataFrame({"n": [len(batch)]})
 
     rows = df.select(id_col, raw_col).dropna()

@@ -49,8 +49,16 @@ def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, on any store that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def store_of(path: str) -> tuple[fs.FileSystem, str]:
     """The store and the folder in it that a path or URL names, for tasks that open single files by key."""
+    if path.startswith("file:/") and not path.startswith("file://"):  # as Spark names local files, with signs that a URL would escape
+        return fs.LocalFileSystem(), path.removeprefix("file:")
     return fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
 
 
