@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import jaccard_forest, language_id, line_ratio, piece_sampling, source_mix
-from siltmill.llm.tables import table, written
+from siltmill.llm.tables import new_path, table
+from siltmill.storage import scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language that the labels teach go: null texts, texts without letters, scores too low."""
+    """Documents of no language that the labels teach go: null texts, texts without letters, scores too low.
+    Where no row has a label, texts with a letter stay. Texts are read whole, repeated rows stay or go together, an empty
+    table stays empty, and columns of any names come through."""
     return language_id.understood(docs)
 
 
@@ -55,7 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage over what the others kept. What a stage wrote for itself goes once its result is saved."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch():
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
