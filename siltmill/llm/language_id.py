@@ -205,7 +205,9 @@ def predicted(docs: DataFrame, text_col: str, model: Model) -> Column:
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """id, held_out, lang_pred, score of every row, by a model learned from docs.
 
-    Without a row to learn from, all texts are `und`. Repeated rows give repeated rows; other columns are ignored.
+    Without a row to learn from, all texts are `und`. Null and empty texts and those without a letter are `und` with
+    score 0. A text is read whole, in memory that grows with it. Of equal scores the language first in order wins.
+    Repeated rows give repeated rows; an empty table gives none; other columns are ignored.
     """
     model = fit(docs, id_col, text_col, lang_col)
     return docs.select(F.col(id_col), held_out(id_col).alias("held_out"), predicted(docs, text_col, model).alias("p")).select(id_col, "held_out", "p.*")
@@ -213,7 +215,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def understood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least_score: float = LEAST_SCORE) -> DataFrame:
     """docs without the rows of unknown language or of a score under least_score. Without a label to learn from, the
-    rows whose text has a letter stay."""
+    rows whose text has a letter stay. Null texts go; repeated rows stay or go together; an empty table stays empty, and
+    columns of any names but __p come through."""
     model = fit(docs, id_col, text_col, lang_col)
     if not model.languages:
         return docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))

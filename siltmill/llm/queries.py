@@ -21,7 +21,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rule_ledger.verdicts(rule_ledger.ledger(table(spark, sf_dir, "documents")))
     base = F.col("kept_base")
     kept = {"base_failed": ~base, "kept": base & F.col("kept_v1"), "kept_v2": base & F.col("kept_v2")}
-    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits", *[c.alias(name) for name, c in kept.items()])
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *[c.alias(name) for name, c in kept.items()], "fail_bits")
 
 
 def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,7 +140,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """id, host, path, rule, verdict of every row.
 
     A null URL or one without :// has an empty host and path, fits no rule and is allowed. Repeated rows give
-    repeated rows; other columns are ignored.
+    repeated rows; an empty table gives none; other columns are ignored, whatever their names.
     """
     rules = tuple(rules)
     automaton = GlobAutomaton([r.glob for r in rules])
