@@ -67,7 +67,7 @@ def blobs(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"blob_id": batch["blob_id"], "content": [_text_of(x) for x in batch["raw"]]})
 
-    return records.drop("content").join(wanted.mapInPandas(unpack, "blob_id string, content string"), "blob_id", "left")
+    return records.drop("content").join(wanted.mapInPandas(unpack, "blob_id string, content string").hint("merge"), "blob_id", "left")
 
 
 def stored(path: str) -> Callable[[str], bytes | None]:
@@ -89,7 +89,8 @@ def fetched_blobs(records: DataFrame, fetch: Callable[[str], bytes | None], at_o
     each of which reads its own, so many at once. An id that several records share is read once.
 
     Null where the blob is missing, broken or binary, or the id null. Memory: a batch's blobs, of MOST_BLOB at most if
-    records are those of file_records. Contents are joined back by id.
+    records are those of file_records. Contents are joined back by id, and by sorting: Spark knows the ids' size alone and
+    would send the contents through the driver, and read few bytes of ids in few tasks.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,8 +100,9 @@ def fetched_blobs(records: DataFrame, fetch: Callable[[str], bytes | None], at_o
                     ids = batch["blob_id"].iloc[first : first + at_once]
                     yield pd.DataFrame({"blob_id": ids, "content": [None if raw is None else _text_of(raw) for raw in pool.map(fetch, ids)]})
 
-    texts = records.select("blob_id").filter("blob_id IS NOT NULL").distinct().mapInPandas(read, "blob_id string, content string")
-    return records.drop("content").join(texts, "blob_id", "left")
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = records.select("blob_id").filter("blob_id IS NOT NULL").distinct().repartition(tasks)
+    return records.drop("content").join(ids.mapInPandas(read, "blob_id string, content string").hint("merge"), "blob_id", "left")
 
 
 def notebooks(spark: SparkSession, path: str, only: str = "*.ipynb") -> DataFrame:

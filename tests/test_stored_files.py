@@ -2,6 +2,7 @@ import gzip
 import random
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from siltmill.operators import charsets
@@ -91,3 +92,11 @@ def test_only_named_blobs_are_opened(spark, tmp_path):
     assert got == [(1, "hello"), (2, "hello"), (3, None), (4, None), (5, None), (6, None)]
     assert sorted(p.name for p in seen.iterdir()) == ["k1", "k2", "k3", "k5"]
     assert readers.fetched_blobs(records.limit(0), fetch).count() == 0
+
+
+def test_contents_of_blobs_are_neither_broadcast_nor_read_in_few_tasks(spark):
+    records = spark.range(1000).select(F.col("id").cast("string").alias("blob_id"), F.lit(None).cast("string").alias("content"))
+    found = readers.fetched_blobs(records, lambda _: gzip.compress(str(TaskContext.get().partitionId()).encode()))
+    assert found.groupBy("content").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
