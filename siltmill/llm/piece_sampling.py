@@ -36,7 +36,9 @@ SEED = 7
 _CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are walked at once.
-_BATCH = 800_000
+_BATCH = 200_000
+#: Rows that are decoded at once.
+_ROWS = 500
 _NONE = np.iinfo(np.int32).min
 _DENSE = 4
 
@@ -508,6 +510,11 @@ def decoded_texts(pieces: pa.Array, spelling: pa.Array) -> pa.Array:
     return pa.array([raw[1:].decode("utf-8", "replace") if is_list else None for raw, is_list in zip(pc.binary_join(lists, b"").to_pylist(), known)], pa.string())
 
 
+def decoded_in_parts(pieces: pa.Array, spelling: pa.Array) -> pa.Array:
+    """decoded_texts() of some rows at a time: what a row takes while it is decoded is several times its text."""
+    return pa.concat_arrays([decoded_texts(pieces[at : at + _ROWS], spelling) for at in range(0, len(pieces) or 1, _ROWS)])
+
+
 def decode(encoded: DataFrame, pieces_col: str = "pieces", text_col: str = "text", model: str | None = None) -> DataFrame:
     """encoded with the text of its pieces in text_col, which replaces a column of that name.
 
@@ -521,6 +528,6 @@ def decode(encoded: DataFrame, pieces_col: str = "pieces", text_col: str = "text
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         spelling = pa.array(vocabulary.value, pa.binary())
         for batch in batches:
-            yield decoded_texts(batch, spelling)
+            yield decoded_in_parts(batch, spelling)
 
     return encoded.withColumn(text_col, texts(F.col(pieces_col)))

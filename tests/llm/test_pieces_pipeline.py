@@ -3,6 +3,7 @@ import os
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -236,3 +237,14 @@ def test_pipeline_against_brute_force(spark):
     last = at["piece_sampling"](spark, mixed, sf_dir)
     back = Counter(map(tuple, p.decode(last.filter("sample = 1")).select("doc_id", "text").collect()))
     assert back == Counter((r["doc_id"], r["text"]) for r in mixed.collect()) and last.filter("NOT decodes").count() == 0
+
+
+def test_batches_are_decoded_in_parts_of_bounded_size(monkeypatch):
+    seen, whole = [], p.decoded_texts
+    monkeypatch.setattr(p, "decoded_texts", lambda pieces, spelling: seen.append(len(pieces)) or whole(pieces, spelling))
+    spelling = pa.array([b" a", b"b", None], pa.binary())
+    lists = [None if i % 7 == 3 else [0] + [1] * (i % 5) + [2] for i in range(1203)]
+    got = p.decoded_in_parts(pa.array(lists, pa.list_(pa.int32())), spelling).to_pylist()
+    assert got == [None if x is None else "a" + "b" * (len(x) - 2) for x in lists]
+    assert sum(seen) == 1203 and max(seen) <= 500
+    assert p.decoded_in_parts(pa.array([], pa.list_(pa.int32())), spelling).to_pylist() == []
