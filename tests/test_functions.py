@@ -1,12 +1,13 @@
 import difflib
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siltmill.functions import bots, content, licenses, text
+from siltmill.functions import bots, content, licenses, text, values
 from siltmill.operators import diffs, joins
 from siltmill.operators.notebooks import markdown_of
 
@@ -181,3 +182,13 @@ def test_tables_as_markdown():
     assert markdown_of("<p>none</p>") == markdown_of("<table></table>") == "" and markdown_of(None) is None
     wide = "<table><tr>" + "<th>h</th>" * 9 + "</tr>" + ("<tr>" + "<td>v</td>" * 9 + "</tr>") * 9 + "</table>"
     assert markdown_of(wide).count("\n") == 6 and markdown_of(wide).split("\n")[0].count("h") == 5
+
+
+def test_whole_texts_become_values_of_python_in_parts(monkeypatch):
+    seen, whole = [], values.pa.array
+    monkeypatch.setattr(values.pa, "array", lambda rows, kind: seen.append(len(rows)) or whole(rows, kind))
+    texts = whole([None if i % 9 == 2 else f"x{i}" for i in range(1203)], pa.string())
+    got = values.in_parts(lambda a, b: None if a is None else a + b, pa.string(), texts, texts)
+    assert got.to_pylist() == [None if x is None else x + x for x in texts.to_pylist()]
+    assert sum(seen) == 1203 and max(seen) <= 500
+    assert values.in_parts(len, pa.int64(), whole([], pa.string())).to_pylist() == []
