@@ -9,10 +9,12 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltmill.functions.text import cap_output, clean_code, clean_markdown, csv_path, is_progress, let, strip_prefix
+from siltmill.functions.values import by_value
 from siltmill.operators.dedup import uniform
 
 EMPTY = "<empty>"
@@ -187,11 +189,7 @@ def _compiles(code: str | None) -> bool:
 
 def compiles(code: Column) -> Column:
     """Whether a text is a Python program."""
-
-    def check(texts: pd.Series) -> pd.Series:
-        return texts.map(_compiles)
-
-    return F.pandas_udf(check, "boolean")(code)
+    return by_value(_compiles, pa.bool_(), "boolean")(code)
 
 
 def _read_csv(code: str | None) -> list[str]:
@@ -206,11 +204,7 @@ def _read_csv(code: str | None) -> list[str]:
 
 def read_csv_paths(code: Column) -> Column:
     """Literal first arguments of a program's read_csv calls; lines of magics are left out before it is parsed."""
-
-    def find(texts: pd.Series) -> pd.Series:
-        return texts.map(_read_csv)
-
-    return F.pandas_udf(find, "array<string>")(code)
+    return by_value(_read_csv, pa.list_(pa.string()), "array<string>")(code)
 
 
 def dataset_paths(files: Column) -> Column:
