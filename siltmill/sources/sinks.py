@@ -15,8 +15,10 @@ SHARD_BYTES = 1000 << 20
 
 
 def parquet(df: DataFrame, path: str, files: int | None = None, by: list[str] | None = None) -> None:
-    """Snappy Parquet over what is there, in so many files; by: folders by column values."""
-    out = (df.repartition(files) if files else df).write.mode("overwrite").option("compression", "snappy")
+    """Snappy Parquet over what is there, in so many files; by: folders by column values, each of so many files at most
+    while their rows are few, and of more where a task would get more than the session's advisory size."""
+    dealt = df if not files else df.hint("rebalance", files) if by else df.repartition(files)
+    out = dealt.write.mode("overwrite").option("compression", "snappy")
     (out.partitionBy(*by) if by else out).parquet(path)
 
 
