@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,32 +21,39 @@ PARTS = "group_id string, part long, events array<string>"
 
 
 class _Growing(StatefulProcessor):
-    """Appends a key's new events to its list and emits the list; ends the part of a key that has been idle."""
+    """Appends a key's new events to its list and emits the list; ends the part of a key that has been idle.
+
+    Each call to the state is a message to the JVM, so a key has one timer, set anew only when it fires too early; when
+    events came last stands beside the part's number, null between parts."""
 
     def __init__(self, idle: int) -> None:
-        self.idle = idle
+        self.idle = idle * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.events = handle.getListState("events", "event string")
-        self.part = handle.getValueState("part", "part long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            self.events.appendList([(e,) for e in batch["event"]])
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle * 1000)
-        yield pd.DataFrame({"group_id": [key[0]], "part": [self._part()], "events": [[e[0] for e in self.events.get()]]})
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        self.part.update((self._part() + 1,))
-        self.events.clear()
+        self.part = handle.getValueState("part", "part long, last long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        part, last = self.part.get() or (0, None)
+        before = [] if last is None else [e[0] for e in self.events.get()]
+        new = [row["event"] for row in rows]
+        self.events.appendList([(e,) for e in new])
+        now = timerValues.getCurrentProcessingTimeInMs()
+        if last is None:
+            self.handle.registerTimer(now + self.idle)
+        self.part.update((part, now))
+        yield Row(group_id=key[0], part=part, events=before + new)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        part, last = self.part.get()
+        if last + self.idle > timerValues.getCurrentProcessingTimeInMs():
+            self.handle.registerTimer(last + self.idle)
+        else:
+            self.part.update((part + 1, None))
+            self.events.clear()
         return iter(())
 
-    def _part(self) -> int:
-        return self.part.get()[0] if self.part.exists() else 0
-
     def close(self) -> None:
         return
 
@@ -64,7 +70,7 @@ def growing(events: DataFrame, idle: int = IDLE) -> DataFrame:
     at, kind, seq = pull_order(events)
     event = F.struct(at.alias("at"), kind.alias("kind"), seq.alias("seq"), F.struct(*[c for c in events.columns if c != "group_id"]).alias("event"))
     keyed = events.select("group_id", F.to_json(event).alias("event"))
-    return keyed.groupBy("group_id").transformWithStateInPandas(_Growing(idle), T.StructType.fromDDL(PARTS), "Update", "ProcessingTime")
+    return keyed.groupBy("group_id").transformWithState(_Growing(idle), T.StructType.fromDDL(PARTS), "Update", "ProcessingTime")
 
 
 def followed(events: DataFrame, out: str, state: str, idle: int = IDLE) -> None:

@@ -1,5 +1,6 @@
 import gzip
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,21 @@ def test_all_steps_are_counted_by_one_pass(spark):
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == 1 and plan.count("ranges(") == 1
     assert {r.n_rows for r in commit_pairs.funnel(commit_pairs.prepared(pairs.limit(0), licenses, *none)).collect()} == {0}
+
+
+def test_a_key_sets_its_timer_once_a_part():
+    """Each timer is a message to the JVM; one that fires while events still come is set anew, else the part ends."""
+    calls, kept, listed, now = [], {"part": None}, [], [1000]
+    value = SimpleNamespace(get=lambda: kept["part"], update=lambda x: kept.update(part=x))
+    events = SimpleNamespace(get=lambda: list(listed), appendList=listed.extend, clear=listed.clear)
+    clock = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now[0])
+    grows = growing._Growing(5)
+    grows.init(SimpleNamespace(getListState=lambda *_: events, getValueState=lambda *_: value, registerTimer=calls.append))
+    for now[0], e in ((1000, "a"), (3000, "b"), (5000, "c")):
+        got = list(grows.handleInputRows(("g",), iter([{"event": e}]), clock))
+    assert [tuple(r) for r in got] == [("g", 0, ["a", "b", "c"])] and calls == [6000]
+    now[0] = 7000
+    assert list(grows.handleExpiredTimer(("g",), clock, None)) == [] and calls == [6000, 10000] and len(listed) == 3
+    now[0] = 10001
+    assert list(grows.handleExpiredTimer(("g",), clock, None)) == [] and listed == []
+    assert [tuple(r) for r in grows.handleInputRows(("g",), iter([{"event": "d"}]), clock)] == [("g", 1, ["d"])]
