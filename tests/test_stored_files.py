@@ -43,6 +43,62 @@ def test_pair_counts_and_choice_by_hand(spark):
     assert charsets.likeliest("aé".encode("cp850"), scores, ("cp1252", "cp850")) == ("aé", "cp850")
 
 
+def _sentences(seed: int, words: str) -> list[str]:
+    draw = random.Random(seed)
+    return [" ".join(draw.choice(words.split()) + draw.choice(["", "", "", ",", ".", "\n"]) for _ in range(40)) for _ in range(40)]
+
+
+FRENCH = _sentences(1, "le café du coin elle mangé il reçu éçaille Ê du Ô garçon déçu où est pain éçai ça côté de la forêt français éçar été")
+SPANISH = _sentences(2, "el niño pide ñ y otra ñ en español la es mía pequeño dueño año ñ sueño baño paño ñ")
+
+
+def _read(spark, raws, parts=3):
+    files = spark.createDataFrame(list(enumerate(raws)), "id int, raw binary").repartition(parts)
+    return [(r.content, r.src_encoding) for r in charsets.with_texts(files, "raw").orderBy("id").collect()]
+
+
+def test_bytes_that_two_encodings_can_explain(spark):
+    told = [x.encode() for x in FRENCH + SPANISH]
+    by_chance = "De De De éçai. éçai. éçai.\n"  # valid UTF-8 in hp_roman8
+    assert by_chance.encode("hp_roman8").decode() == "De De De ŵai. ŵai. ŵai.\n"
+    repeated = "il du Ê coin il pain. " * 40  # in cp850 these are ñ, which stand alone more often, but near other words
+    rare = ["snow ☃ falls", "Põhja", "“so” — ‘it’ is…", "日本語の文", "😀 fine"]  # known to no other file
+    files = [*told, by_chance.encode("hp_roman8"), by_chance.encode("hp_roman8"), repeated.encode("hp_roman8"), *(x.encode() for x in rare)]
+    got = _read(spark, files)
+    assert got[len(told) :] == [(by_chance, "hp_roman8")] * 2 + [(repeated, "hp_roman8")] + [(x, "utf-8") for x in rare]
+    assert got[: len(told)] == [(x, "utf-8") for x in FRENCH + SPANISH]
+
+
+def test_files_are_read_alike_alone_and_together(spark):
+    known = spark.createDataFrame([(x,) for x in [*FRENCH, *SPANISH, *TEXTS, None, "", "plain"]], "text string")
+    model = charsets.contexts(charsets.context_counts(known, "text"))
+    assert sum(model[1]) > 50 and model[1][ord("ñ")] > model[1][ord("☃")] == 0
+    raws = [(x[i:] + x[:i]).encode(name) for x in FRENCH[:5] + SPANISH[:4] for i in (0, 9, 30) for name in charsets.ENCODINGS] + [b"\x81", b"\xff", "é".encode()]
+    together = charsets.read(raws, model)
+    assert together == [charsets.read([x], model)[0] for x in raws]
+    assert sum(x[1] == name for x, name in zip(together, charsets.ENCODINGS * 27, strict=False)) == 27 * 4
+    assert charsets.read([b"\x81", b"x\x8d"], model, ("cp1252",)) == [(None, None)] * 2
+
+
+def test_texts_are_encoded_as_python_does(spark):
+    for name in charsets.ENCODINGS:
+        text = "".join({bytes([i]).decode(name, "ignore") for i in range(1, 256)}) + "El niño, Straße"
+        rows = spark.createDataFrame([(text,), ("",), (None,)], "text string").select(charsets.encoded(F.col("text"), name).alias("raw")).collect()
+        assert [x.raw for x in rows] == [text.encode(name), b"", None]
+        lacking = next(x for x in "☃À×" if not x.encode(name, "ignore"))
+        with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+            spark.createDataFrame([(lacking,)], "text string").select(charsets.encoded(F.col("text"), name)).collect()
+
+
+def test_contexts_by_hand():
+    joined = [charsets._codes(x) for x in ("ab é cd é cd é", "no", "é", "Ü12 x \U0001f600")]
+    of, around, words = charsets._sites(joined)
+    assert of.tolist() == [0, 0, 0, 2, 3, 3]
+    assert ["".join(map(chr, x)) for x in around.T] == ["b é c", "d é c", "d é\n\n", "\n\né\n\n", "\n\nÜ12", "x \uffff\n\n"]
+    assert [[bool(x) for x in row] for row in words] == [[True, True, True, False, False, False], [True, True, False, False, False, False]]
+    assert words[0][1] == words[0][2] == words[1][0] != words[0][0]
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_shards_hold_consecutive_rows_of_equal_bytes(spark, tmp_path, parts):
     draw = random.Random(parts)
